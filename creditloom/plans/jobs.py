@@ -13,10 +13,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from creditloom.functions.checks import DUPLICATE
 from creditloom.operators import cleaning, history, quality, scoring
 from creditloom.operators.keyed import DEFAULT_POLICY, KeyedPolicy
 from creditloom.plans import rules
-from creditloom.sources.history_store import publish, read_current
+from creditloom.sources.history_store import history_schema, publish, read_current
 from creditloom.sources.staging import stage
 from creditloom.sources.tables import (
     PRESETS,
@@ -89,6 +90,19 @@ def curated_path(root: str, batch: int) -> str:
     return f"{root}/curated/batch={batch}"
 
 
+def table_rules(name: str) -> list[quality.Rule]:
+    """The shipped rules of a table, and those its key needs to have a history."""
+    job = TABLES[name]
+    shipped = rules.BY_TABLE[job.rules_of]
+    unique = {c for r in shipped if r.check_type == DUPLICATE for c in r.columns}
+    repeats = tuple(k for k in job.keys if k not in unique)
+    return [
+        *shipped,
+        quality.Rule("K1", "null_check", job.keys, "Key should not be null"),
+        quality.Rule("K2", DUPLICATE, repeats, "Key should occur once"),
+    ]
+
+
 def ingest(
     name: str,
     raw: DataFrame,
@@ -104,8 +118,8 @@ def ingest(
     source unless ``hold_rejected`` keeps its last good version.
     """
     spark, job = raw.sparkSession, TABLES[name]
-    keys = list(job.keys)
-    result = quality.split(raw, rules.BY_TABLE[job.rules_of], keys, policy=policy)
+    keys, schema = list(job.keys), history_schema(SCHEMAS[name])
+    result = quality.split(raw, table_rules(name), keys, policy=policy)
     write_table(
         result.detail, "parquet", rejects_path(root, name, batch), "overwrite", "rule_id"
     )
@@ -113,14 +127,11 @@ def ingest(
     if batch == 0:
         versions = history.initial(snapshot, keys, as_of)
     else:
-        held = None
-        if hold_rejected:
-            # Rejected keys, less those that still have a clean row.
-            held = result.bad.select(*keys).join(result.clean.select(*keys), keys, "left_anti")
-        before = read_current(spark, history_path(root, name), batch - 1)
+        held = result.bad.select(*keys) if hold_rejected else None
+        before = read_current(spark, history_path(root, name), batch - 1, schema)
         versions = history.advance(before, snapshot, keys, as_of, held_keys=held)
     publish(versions, history_path(root, name), batch)
-    return read_current(spark, history_path(root, name), batch)
+    return read_current(spark, history_path(root, name), batch, schema)
 
 
 def process(name: str, current: DataFrame, root: str, batch: int, as_of: str | datetime) -> None:

@@ -10,6 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_FOLDERS = "batch int, is_current string"
+_META = (
+    "row_hash string, valid_from timestamp, valid_to timestamp, "
+    "is_deleted_in_source boolean, sk_id string"
+)
+
+
+def history_schema(record: str) -> str:
+    """Columns of a stored history, given the columns of its records."""
+    return f"{record}, {_META}"
 
 
 def publish(versions: DataFrame, path: str, batch: int) -> None:
@@ -17,22 +29,36 @@ def publish(versions: DataFrame, path: str, batch: int) -> None:
     versions.write.mode("overwrite").partitionBy("is_current").parquet(f"{path}/batch={batch}")
 
 
-def read_history(spark: SparkSession, path: str, batch: int) -> DataFrame:
-    """The whole history as of a batch."""
-    live = F.col("is_current") == "true"
-    wanted = F.when(live, F.col("batch") == batch).otherwise(F.col("batch") <= batch)
-    return _typed(_folders(spark, path).filter(wanted))
-
+def read_history(
+    spark: SparkSession, path: str, batch: int, schema: str | None = None
+) -> DataFrame:
+    """The whole history as of a batch.
 
-def read_current(spark: SparkSession, path: str, batch: int) -> DataFrame:
-    """Only the current slice of a batch; no other folder is read."""
+    Superseded current slices are pruned by folder. Without a schema the columns of
+    all files are merged, which reads every footer.
+    """
+    live = F.col("is_current") == "true"
+    superseded = live & (F.col("batch") < batch)
     return _typed(
-        _folders(spark, path).filter((F.col("batch") == batch) & (F.col("is_current") == "true"))
+        _read(spark, path, path, schema).filter((F.col("batch") <= batch) & ~superseded)
     )
 
 
-def _folders(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(path)
+def read_current(
+    spark: SparkSession, path: str, batch: int, schema: str | None = None
+) -> DataFrame:
+    """Only the current slice of a batch; other folders are not even listed."""
+    slice_ = _read(spark, path, f"{path}/batch={batch}", schema)
+    return _typed(slice_.filter(F.col("is_current") == "true"))
+
+
+def _read(spark: SparkSession, root: str, path: str, schema: str | None) -> DataFrame:
+    reader = spark.read.option("basePath", root)
+    if schema is None:
+        reader = reader.option("mergeSchema", "true")
+    else:
+        reader = reader.schema(T.StructType.fromDDL(f"{schema}, {_FOLDERS}"))
+    return reader.parquet(path)
 
 
 def _typed(df: DataFrame) -> DataFrame:
