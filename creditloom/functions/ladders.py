@@ -8,6 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def first_match(cases: Sequence[tuple[Column, object]], otherwise: object = None) -> Column:
+    """Value of the first true condition; ``otherwise`` when none is true."""
+    out = None
+    for condition, result in cases:
+        out = (F if out is None else out).when(condition, result)
+    return out if otherwise is None else out.otherwise(otherwise)
+
+
 def ladder(
     value: Column,
     steps: Sequence[tuple[object, object]],
@@ -17,25 +25,11 @@ def ladder(
 ) -> Column:
     """Points of the first step whose inclusive upper bound holds ``value``.
 
-    ``above`` is paid past the last step and ``missing`` whenever the value or the
-    bounds are null. Values under ``floor`` (when given) score null. Bounds may be
-    columns, so a step can depend on the row.
+    ``above`` is paid past the last step and ``missing`` when the value or its bounds
+    are null. Values under ``floor`` (when given) score null. Bounds may be columns,
+    so a step can depend on the row.
     """
-    bounds = [b if isinstance(b, Column) else F.lit(b) for b, _ in steps]
-    unknown = value.isNull()
-    for b in bounds:
-        unknown = unknown | b.isNull()
-    out = F.when(unknown, F.lit(missing))
-    if floor is not None:
-        out = out.when(value < F.lit(floor), F.lit(None))
-    for bound, (_, points) in zip(bounds, steps):
-        out = out.when(value <= bound, F.lit(points))
-    return out.otherwise(F.lit(above))
-
-
-def first_match(cases: Sequence[tuple[Column, object]], otherwise: object = None) -> Column:
-    """Value of the first true condition; ``otherwise`` when none is true."""
-    out = None
-    for condition, result in cases:
-        out = (F if out is None else out).when(condition, F.lit(result))
-    return out.otherwise(F.lit(otherwise))
+    cases = [] if floor is None else [(value < floor, F.lit(None))]
+    cases += [(value <= bound, points) for bound, points in steps]
+    cases.append((value > steps[-1][0], above))
+    return first_match(cases, missing)

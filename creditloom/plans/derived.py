@@ -6,7 +6,7 @@ keys. Money is exact: cents are handled as integers and end as decimals.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
@@ -16,102 +16,69 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _every(key: Column, n: int) -> Column:
-    return key % n == 0
+def _cents(amount: str) -> str:
+    return f"cast(cast({amount} as {MONEY}) * 100 as bigint)"
 
 
-def _cents(amount: Column) -> Column:
-    return (amount.cast(MONEY) * 100).cast("bigint")
+def _money(cents: str) -> str:
+    return f"cast(cast({cents} as {MONEY}) / 100 as {MONEY})"
 
 
-def _money(cents: Column) -> Column:
-    return (cents.cast(MONEY) / 100).cast(MONEY)
-
-
-def _percent(rate: Column) -> Column:
-    return F.round(rate * 100).cast("bigint")
+def _percent(rate: str) -> str:
+    return f"cast(round({rate} * 100) as bigint)"
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, nation = F.col("c_custkey"), F.col("c_nationkey")
-    segment, balance = F.col("c_mktsegment"), F.col("c_acctbal")
-    home = (
-        F.when(segment == "AUTOMOBILE", "OWN")
-        .when(segment == "BUILDING", "RENT")
-        .when(segment == "FURNITURE", "MORTGAGE")
-        .when(segment == "HOUSEHOLD", "ANY")
-        .when(key % 10 == 0, "NONE")
-        .when(key % 10 == 1, F.lit(None))
-        .otherwise("RENT")
-    )
-    years = key % 12
-    employment = (
-        F.when(years == 0, "n/a")
-        .when(years == 1, "< 1 year")
-        .when(years == 11, "10+ years")
-        .otherwise(F.concat(years.cast("string"), F.lit(" years")))
-    )
-    grade = F.char(F.lit(65) + key % 7)
-    return table(spark, sf_dir, "customer").select(
-        key.cast("string").alias("member_id"),
-        F.col("c_name").alias("emp_title"),
-        employment.alias("emp_length"),
-        home.alias("home_ownership"),
-        F.when(balance >= 0, balance.cast(MONEY)).alias("annual_income"),
-        F.when(nation == 7, "STATE7")
-        .otherwise(F.concat(F.char(F.lit(65) + nation), F.char(F.lit(90) - nation)))
-        .alias("address_state"),
-        F.when(_every(key, 97), "9xx")
-        .otherwise(F.concat(F.lpad((key % 1000).cast("string"), 3, "0"), F.lit("xx")))
-        .alias("zip_code"),
-        F.lit("US").alias("address_country"),
-        grade.alias("grade"),
-        F.concat(grade, (key % 5 + 1).cast("string")).alias("sub_grade"),
-        F.lit("Verified").alias("verification_status"),
-        (balance.cast(MONEY) * 100).cast(MONEY).alias("total_high_credit_limit"),
-        F.lit("Individual").alias("application_type"),
-        F.lit(None).cast(MONEY).alias("join_annual_income"),
-        F.lit(None).cast("string").alias("verification_status_joint"),
-    )
-
-
-def _purpose(priority: Column) -> Column:
-    return (
-        F.when(priority == "1-URGENT", "debt_consolidation")
-        .when(priority == "2-HIGH", "credit_card")
-        .when(priority == "3-MEDIUM", "home_improvement")
-        .when(priority == "4-NOT SPECIFIED", "not_specified")
-        .otherwise("other")
+    return table(spark, sf_dir, "customer").selectExpr(
+        "cast(c_custkey as string) as member_id",
+        "c_name as emp_title",
+        """case c_custkey % 12 when 0 then 'n/a' when 1 then '< 1 year' when 11 then '10+ years'
+           else concat(c_custkey % 12, ' years') end as emp_length""",
+        """case when c_mktsegment = 'AUTOMOBILE' then 'OWN'
+                when c_mktsegment = 'BUILDING' then 'RENT'
+                when c_mktsegment = 'FURNITURE' then 'MORTGAGE'
+                when c_mktsegment = 'HOUSEHOLD' then 'ANY'
+                when c_custkey % 10 = 0 then 'NONE'
+                when c_custkey % 10 = 1 then null
+                else 'RENT' end as home_ownership""",
+        f"if(c_acctbal >= 0, cast(c_acctbal as {MONEY}), null) as annual_income",
+        """if(c_nationkey = 7, 'STATE7', concat(char(65 + c_nationkey), char(90 - c_nationkey)))
+           as address_state""",
+        """if(c_custkey % 97 = 0, '9xx',
+              concat(lpad(cast(c_custkey % 1000 as string), 3, '0'), 'xx')) as zip_code""",
+        "'US' as address_country",
+        "char(65 + c_custkey % 7) as grade",
+        "concat(char(65 + c_custkey % 7), 1 + c_custkey % 5) as sub_grade",
+        "'Verified' as verification_status",
+        f"cast(cast(c_acctbal as {MONEY}) * 100 as {MONEY}) as total_high_credit_limit",
+        "'Individual' as application_type",
+        f"cast(null as {MONEY}) as join_annual_income",
+        "cast(null as string) as verification_status_joint",
     )
 
 
 def _loans(orders: DataFrame) -> DataFrame:
-    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
-    price = F.col("o_totalprice").cast(MONEY)
-    purpose = _purpose(F.col("o_orderpriority"))
-    pending = (
-        F.when(key % 4 == 0, "In Grace Period")
-        .when(key % 4 == 1, "Late (16-30 days)")
-        .when(key % 4 == 2, "Charged Off")
-        .otherwise("Default")
-    )
-    return orders.select(
-        key.cast("string").alias("id"),
-        F.col("o_custkey").cast("string").alias("member_id"),
-        price.alias("loan_amount"),
-        price.alias("funded_amount"),
-        F.when(key % 2 == 0, " 36 months").otherwise(" 60 months").alias("term"),
-        (F.lit(5) + key % 20).cast("double").alias("interest_rate"),
-        F.when(~_every(key, 50), _money(F.floor(_cents(F.col("o_totalprice")) / 36))).alias(
-            "installment"
-        ),
-        F.date_format("o_orderdate", "MMM-yyyy").alias("issue_month_year"),
-        F.when(status == "F", "Fully Paid")
-        .when(status == "O", "Current")
-        .otherwise(pending)
-        .alias("loan_status"),
-        purpose.alias("purpose"),
-        purpose.alias("title"),
+    purpose = """case o_orderpriority when '1-URGENT' then 'debt_consolidation'
+                 when '2-HIGH' then 'credit_card' when '3-MEDIUM' then 'home_improvement'
+                 when '4-NOT SPECIFIED' then 'not_specified' else 'other' end"""
+    installment = _money(f"{_cents('o_totalprice')} div 36")
+    return orders.selectExpr(
+        "cast(o_orderkey as string) as id",
+        "cast(o_custkey as string) as member_id",
+        f"cast(o_totalprice as {MONEY}) as loan_amount",
+        f"cast(o_totalprice as {MONEY}) as funded_amount",
+        "if(o_orderkey % 2 = 0, ' 36 months', ' 60 months') as term",
+        "cast(5 + o_orderkey % 20 as double) as interest_rate",
+        f"if(o_orderkey % 50 = 0, null, {installment}) as installment",
+        "date_format(o_orderdate, 'MMM-yyyy') as issue_month_year",
+        """case when o_orderstatus = 'F' then 'Fully Paid'
+                when o_orderstatus = 'O' then 'Current'
+                when o_orderkey % 4 = 0 then 'In Grace Period'
+                when o_orderkey % 4 = 1 then 'Late (16-30 days)'
+                when o_orderkey % 4 = 2 then 'Charged Off'
+                else 'Default' end as loan_status""",
+        f"{purpose} as purpose",
+        f"{purpose} as title",
     )
 
 
@@ -123,114 +90,121 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loan with the lowest key of each member."""
     orders = table(spark, sf_dir, "orders")
-    first = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"))
-    return _loans(orders.join(first.select("o_orderkey"), "o_orderkey", "left_semi"))
-
-
-def _order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cents = _cents(F.col("l_extendedprice"))
-    returned = F.col("l_returnflag") == "R"
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(
-            F.sum(cents).alias("total"),
-            F.max(cents).alias("largest"),
-            F.sum(cents * (100 - _percent(F.col("l_discount")))).alias("discounted"),
-            F.sum(cents * _percent(F.col("l_tax"))).alias("taxed"),
-            F.count_if(returned).alias("returned"),
-            F.count_if(returned & (F.col("l_linenumber") == 7)).alias("returned_7"),
-            F.count_if(F.col("l_quantity") >= 49).alias("bulk"),
-            F.count_if(_percent(F.col("l_tax")) == 8).alias("top_tax"),
-        )
+    first = orders.groupBy("o_custkey").agg({"o_orderkey": "min"}).selectExpr(
+        "`min(o_orderkey)` as o_orderkey"
+    )
+    return _loans(orders.join(first, "o_orderkey", "left_semi"))
+
+
+def _by_order(spark: SparkSession, sf_dir: str, *totals: str) -> DataFrame:
+    """Totals over the line items of each order."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey as o_orderkey",
+        f"{_cents('l_extendedprice')} as cents",
+        f"{_percent('l_discount')} as discount",
+        f"{_percent('l_tax')} as tax",
+        "l_returnflag = 'R' as returned",
+        "l_linenumber",
+        "l_quantity",
     )
+    return lines.groupBy("o_orderkey").agg(*[F.expr(total) for total in totals])
 
 
 def loan_repayment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items of an order as payments on its loan."""
-    key = F.col("o_orderkey")
-    month = F.date_format("o_orderdate", "MMM-yyyy")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    return orders.join(_order_totals(spark, sf_dir), "o_orderkey").select(
-        key.cast("string").alias("id"),
-        _money(F.floor(F.col("discounted") / 100)).alias("total_principal_received"),
-        _money(F.floor(F.col("taxed") / 100)).alias("total_interest_received"),
-        _money(F.col("returned") * 1500).alias("total_late_fee_received"),
-        _money(F.col("total")).alias("total_payment"),
-        _money(F.floor(F.col("largest") / 8)).alias("last_payment_amount"),
-        F.when(_every(key, 41), "13-2015")
-        .when(_every(key, 43), "2015")
-        .otherwise(month)
-        .alias("last_payment_date"),
-        F.when(F.col("o_orderstatus") != "F", month).alias("next_payment_date"),
+    month = "date_format(o_orderdate, 'MMM-yyyy')"
+    totals = _by_order(
+        spark,
+        sf_dir,
+        "sum(cents * (100 - discount)) as discounted",
+        "sum(cents * tax) as taxed",
+        "count_if(returned) as returned",
+        "sum(cents) as total",
+        "max(cents) as largest",
+    )
+    return table(spark, sf_dir, "orders").join(totals, "o_orderkey").selectExpr(
+        "cast(o_orderkey as string) as id",
+        f"{_money('discounted div 100')} as total_principal_received",
+        f"{_money('taxed div 100')} as total_interest_received",
+        f"{_money('returned * 1500')} as total_late_fee_received",
+        f"{_money('total')} as total_payment",
+        f"{_money('largest div 8')} as last_payment_amount",
+        f"""case when o_orderkey % 41 = 0 then '13-2015' when o_orderkey % 43 = 0 then '2015'
+            else {month} end as last_payment_date""",
+        f"if(o_orderstatus = 'F', null, {month}) as next_payment_date",
     )
 
 
 def balanced_repayment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repayments whose parts sum to the total, except for every third loan."""
-    off = F.when(F.col("id").cast("bigint") % 3 == 0, 1).otherwise(0)
-    return loan_repayment(spark, sf_dir).withColumns(
-        {
-            "total_principal_received": (
-                F.col("total_payment") - F.col("total_late_fee_received") - off
-            ).cast(MONEY),
-            "total_interest_received": F.lit(0).cast(MONEY),
-        }
+    off = "if(cast(id as bigint) % 3 = 0, 1, 0)"
+    return loan_repayment(spark, sf_dir).selectExpr(
+        "id",
+        f"""cast(total_payment - total_late_fee_received - {off} as {MONEY})
+            as total_principal_received""",
+        f"cast(0 as {MONEY}) as total_interest_received",
+        "total_late_fee_received",
+        "total_payment",
+        "last_payment_amount",
+        "last_payment_date",
+        "next_payment_date",
     )
 
 
 def loan_defaulters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Credit record of a member, counted over the line items of all their orders."""
-    key = F.col("o_custkey")
-    late, records = F.col("returned") % 8, F.col("returned_7") % 7
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    by_order = _by_order(
+        spark,
+        sf_dir,
+        "count_if(returned) as late",
+        "count_if(returned and l_linenumber = 7) as records",
+        "count_if(l_quantity >= 49) as bankruptcies",
+        "count_if(tax = 8) as inquiries",
+    )
     counts = (
-        orders.join(_order_totals(spark, sf_dir), "o_orderkey")
+        table(spark, sf_dir, "orders")
+        .join(by_order, "o_orderkey")
         .groupBy("o_custkey")
-        .agg(*[F.sum(c).alias(c) for c in ("returned", "returned_7", "bulk", "top_tax")])
+        .sum("late", "records", "bankruptcies", "inquiries")
+        .toDF("k", "late", "records", "bankruptcies", "inquiries")
     )
-    months = (key % 120).cast("string")
-    return counts.select(
-        key.cast("string").alias("member_id"),
-        late.cast("string").alias("delinq_2_years"),
-        (late * 50).cast(MONEY).alias("delinq_amount"),
-        records.cast("string").alias("public_record"),
-        (F.col("bulk") % 3).cast("string").alias("public_record_bankruptcies"),
-        (F.col("top_tax") % 7).cast("string").alias("inquiry_last_6_months"),
-        F.lit("0.0").alias("total_rec_late_fee"),
-        F.when(late > 0, months).alias("months_since_last_delinq"),
-        F.when(records > 0, months).alias("months_since_last_record"),
+    return counts.selectExpr(
+        "cast(k as string) as member_id",
+        "cast(late % 8 as string) as delinq_2_years",
+        f"cast(late % 8 * 50 as {MONEY}) as delinq_amount",
+        "cast(records % 7 as string) as public_record",
+        "cast(bankruptcies % 3 as string) as public_record_bankruptcies",
+        "cast(inquiries % 7 as string) as inquiry_last_6_months",
+        "'0.0' as total_rec_late_fee",
+        "if(late % 8 > 0, cast(k % 120 as string), null) as months_since_last_delinq",
+        "if(records % 7 > 0, cast(k % 120 as string), null) as months_since_last_record",
     )
 
 
 def messy_defaulters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Credit records with text that is no count, or not a whole one."""
-    key = F.col("member_id").cast("bigint")
-    return loan_defaulters(spark, sf_dir).withColumn(
-        "delinq_2_years",
-        F.when(_every(key, 17), "abc")
-        .when(_every(key, 19), "1.5")
-        .otherwise(F.col("delinq_2_years")),
-    )
+    clean = loan_defaulters(spark, sf_dir)
+    text = """case when cast(member_id as bigint) % 17 = 0 then 'abc'
+                   when cast(member_id as bigint) % 19 = 0 then '1.5'
+                   else delinq_2_years end as delinq_2_years"""
+    return clean.selectExpr(*[text if c == "delinq_2_years" else c for c in clean.columns])
 
 
 def snapshot(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
     """Customers on day 0, 1 or 2, with changed, missing, new and returning ones."""
-    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
     base = table(spark, sf_dir, "customer")
     if day == 0:
         return base
-    suffix = F.when(_every(key, 10), "_1").otherwise("")
-    if day == 2:
-        suffix = F.concat(suffix, F.when(_every(key, 10), "_2").otherwise(""))
-    changed = F.concat(segment, suffix)
-    if day == 2:
-        changed = F.when(_every(key, 26), segment).otherwise(changed)
-    gone = _every(key, 13) & ~_every(key, 26) if day == 2 else _every(key, 13)
-    return (
-        base.filter(~gone)
-        .withColumn("c_mktsegment", changed)
-        .unionByName(
-            base.filter(_every(key, 25)).withColumn("c_custkey", key + 1_000_000)
-        )
+    suffix = "_1" if day == 1 else "_1_2"
+    gone = "c_custkey % 13 = 0" if day == 1 else "c_custkey % 13 = 0 and c_custkey % 26 <> 0"
+    columns = ["c_name", "c_nationkey", "c_acctbal"]
+    kept = base.filter(f"not ({gone})").selectExpr(
+        "c_custkey",
+        *columns,
+        f"""if(c_custkey % 10 = 0 and c_custkey % 26 <> 0, concat(c_mktsegment, '{suffix}'),
+               c_mktsegment) as c_mktsegment""",
+    )
+    new = base.filter("c_custkey % 25 = 0").selectExpr(
+        "c_custkey + 1000000 as c_custkey", *columns, "c_mktsegment"
     )
+    return kept.unionByName(new)
