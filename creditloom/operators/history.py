@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.functions.hashing import framed_md5, joined_md5
-from creditloom.operators.keyed import require_unique
+from creditloom.operators.keyed import require_unique, require_unique_first
 
 # The columns history adds to a record.
 META = ("valid_from", "valid_to", "is_current", "is_deleted_in_source", "row_hash", "sk_id")
@@ -54,10 +54,14 @@ def initial(
     as_of: str | datetime | Column,
     tracked: Sequence[str] | None = None,
     compat_hash: bool = False,
+    trusted: bool = False,
 ) -> DataFrame:
-    """History of the first snapshot: every record is current."""
+    """History of the first snapshot: every record is current.
+
+    Repeated and null keys are refused; ``trusted`` says they were ruled out before.
+    """
     keys = _key_list(keys)
-    rows = require_unique(incoming, keys, "snapshot")
+    rows = incoming if trusted else require_unique_first(incoming, keys, "snapshot")
     return _opened(rows, keys, as_of, tracked, compat_hash)
 
 

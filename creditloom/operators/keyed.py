@@ -142,15 +142,36 @@ def flag_rows(
 def require_unique(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
     """The same rows; running them fails on a null key or a second row of a key.
 
-    Checked while the plan runs. The numbering needs rows grouped and sorted by key,
-    which a following sort-merge join on the same key wants anyway, so no shuffle is
-    added; it holds one row at a time, however often a key repeats.
+    For use right before a join on the key: the check needs rows grouped and sorted by
+    key, which the join wants anyway, so no shuffle is added. It holds one row at a
+    time, however often a key repeats.
     """
     keys = list(keys)
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
-    refuse = (
-        F.when(~has_key(keys), F.raise_error(f"{label}: null in key {keys}").cast("boolean"))
-        .when(F.col("_nth") > 1, F.raise_error(f"{label}: duplicate key {keys}").cast("boolean"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    return (
+        df.withColumn("_nth", nth)
+        .filter(_refuse(~has_key(keys), F.col("_nth") > 1, keys, label))
+        .drop("_nth")
+    )
+
+
+def require_unique_first(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
+    """As :func:`require_unique`, for rows that no join follows.
+
+    The rows stay where they are. A subquery aggregates the keys alone beforehand.
+    """
+    keys = list(keys)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
+    repeats = per_key.agg(F.coalesce(F.max(ROWS), F.lit(0))).scalar()
+    return df.filter(_refuse(~has_key(keys), repeats > 1, keys, label))
+
+
+def _refuse(null_key: Column, repeated: Column, keys: list[str], label: str) -> Column:
+    def fail(why: str) -> Column:
+        return F.raise_error(f"{label}: {why} {keys}").cast("boolean")
+
+    return (
+        F.when(null_key, fail("null in key"))
+        .when(repeated, fail("duplicate key"))
         .otherwise(F.lit(True))
     )
-    return df.withColumn("_nth", position).filter(refuse).drop("_nth")

@@ -6,7 +6,7 @@ import json
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 from operator import or_
 from typing import Any
 
@@ -223,14 +223,35 @@ def repeated_rows(
     return flagged.filter("_repeated").drop("_repeated")
 
 
-@dataclass(frozen=True)
 class DqResult:
-    clean: DataFrame
-    bad: DataFrame
-    detail: DataFrame
-    metrics: DataFrame
-    audit: DataFrame
-    skipped: list[tuple[str, str]]
+    """Outcome of :func:`split`; each part is planned when first asked for."""
+
+    def __init__(
+        self, df: DataFrame, rules: list[Rule], checked: _Checked, clean: DataFrame
+    ) -> None:
+        self._df, self._rules, self._checked = df, rules, checked
+        self.clean = clean
+
+    @cached_property
+    def bad(self) -> DataFrame:
+        return _bad(self._checked)
+
+    @cached_property
+    def detail(self) -> DataFrame:
+        return _details(self._checked)
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return metrics(self._df, self._rules)
+
+    @cached_property
+    def audit(self) -> DataFrame:
+        return audit(self._df, self.clean, self.bad)
+
+    @cached_property
+    def skipped(self) -> list[tuple[str, str]]:
+        """(rule id, column) pairs the table has no column for."""
+        return applicable(self._df, self._rules)[1]
 
 
 def split(
@@ -252,22 +273,13 @@ def split(
     """
     rules = list(rules)
     checked = _check(df, rules, strict, policy)
-    _, skipped = applicable(df, rules)
-    bad = _bad(checked)
     if keys:
         clean = _clean_by_key(checked, list(keys), compat, policy)
     elif compat:
         clean = _clean_minus_one_copy(checked)
     else:
         clean = checked.df.filter(~checked.failed).select(*checked.columns)
-    return DqResult(
-        clean=clean,
-        bad=bad,
-        detail=_details(checked),
-        metrics=metrics(df, rules),
-        audit=audit(df, clean, bad),
-        skipped=skipped,
-    )
+    return DqResult(df, rules, checked, clean)
 
 
 def _clean_by_key(

@@ -666,20 +666,21 @@ def parquet_merged_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- whole jobs -----------------------------------------------------------------------
 
 
-def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
+@query
+def job_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four tables from raw files to graded loans."""
+    root = stage_path(spark, "batch")
+    arriving = {
         "members": derived.members(spark, sf_dir),
         "loans": derived.first_loans(spark, sf_dir),
         "loan_repayment": derived.balanced_repayment(spark, sf_dir),
         "loan_defaulters": derived.messy_defaulters(spark, sf_dir),
     }
-
-
-@query
-def job_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All four tables from raw rows to graded loans."""
-    root = stage_path(spark, "batch")
-    return portable(jobs.run_batch(spark, _raw(spark, sf_dir), root, 0, DAYS[0]))
+    raw = {}
+    for name, df in arriving.items():
+        tables.write_table(df, "parquet", f"{root}/raw/{name}")
+        raw[name] = jobs.read_raw(spark, "parquet", f"{root}/raw/{name}")
+    return portable(jobs.run_batch(spark, raw, root, 0, DAYS[0]))
 
 
 @query

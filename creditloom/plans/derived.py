@@ -12,20 +12,35 @@ from pyspark.sql import functions as F
 MONEY = "decimal(18,2)"
 
 
+# Columns of the test tables that are read. Naming them spares a job per
+# read that would look them up in the files.
+COLUMNS = {
+    "customer": """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+        o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+        value double, props string""",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _cents(amount: str) -> str:
-    return f"cast(cast({amount} as {MONEY}) * 100 as bigint)"
+    """Hundredths of a double with two decimals, as an integer."""
+    return f"cast(rint({amount} * 100) as bigint)"
 
 
 def _money(cents: str) -> str:
-    return f"cast(cast({cents} as {MONEY}) / 100 as {MONEY})"
-
-
-def _percent(rate: str) -> str:
-    return f"cast(round({rate} * 100) as bigint)"
+    return f"cast(cast({cents} as decimal(16,0)) * 0.01BD as {MONEY})"
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +56,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
                 when c_custkey % 10 = 0 then 'NONE'
                 when c_custkey % 10 = 1 then null
                 else 'RENT' end as home_ownership""",
-        f"if(c_acctbal >= 0, cast(c_acctbal as {MONEY}), null) as annual_income",
+        f"if(c_acctbal >= 0, {_money(_cents('c_acctbal'))}, null) as annual_income",
         """if(c_nationkey = 7, 'STATE7', concat(char(65 + c_nationkey), char(90 - c_nationkey)))
            as address_state""",
         """if(c_custkey % 97 = 0, '9xx',
@@ -50,7 +65,7 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
         "char(65 + c_custkey % 7) as grade",
         "concat(char(65 + c_custkey % 7), 1 + c_custkey % 5) as sub_grade",
         "'Verified' as verification_status",
-        f"cast(cast(c_acctbal as {MONEY}) * 100 as {MONEY}) as total_high_credit_limit",
+        f"cast({_cents('c_acctbal')} as {MONEY}) as total_high_credit_limit",
         "'Individual' as application_type",
         f"cast(null as {MONEY}) as join_annual_income",
         "cast(null as string) as verification_status_joint",
@@ -65,8 +80,8 @@ def _loans(orders: DataFrame) -> DataFrame:
     return orders.selectExpr(
         "cast(o_orderkey as string) as id",
         "cast(o_custkey as string) as member_id",
-        f"cast(o_totalprice as {MONEY}) as loan_amount",
-        f"cast(o_totalprice as {MONEY}) as funded_amount",
+        f"{_money(_cents('o_totalprice'))} as loan_amount",
+        f"{_money(_cents('o_totalprice'))} as funded_amount",
         "if(o_orderkey % 2 = 0, ' 36 months', ' 60 months') as term",
         "cast(5 + o_orderkey % 20 as double) as interest_rate",
         f"if(o_orderkey % 50 = 0, null, {installment}) as installment",
@@ -101,8 +116,8 @@ def _by_order(spark: SparkSession, sf_dir: str, *totals: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey as o_orderkey",
         f"{_cents('l_extendedprice')} as cents",
-        f"{_percent('l_discount')} as discount",
-        f"{_percent('l_tax')} as tax",
+        f"{_cents('l_discount')} as discount",
+        f"{_cents('l_tax')} as tax",
         "l_returnflag = 'R' as returned",
         "l_linenumber",
         "l_quantity",

@@ -120,12 +120,18 @@ def ingest(
     spark, job = raw.sparkSession, TABLES[name]
     keys, schema = list(job.keys), history_schema(SCHEMAS[name])
     result = quality.split(raw, table_rules(name), keys, policy=policy)
+    # Balanced by rule: few files per folder, and a rule that rejects much is split.
     write_table(
-        result.detail, "parquet", rejects_path(root, name, batch), "overwrite", "rule_id"
+        result.detail.hint("rebalance", "rule_id"),
+        "parquet",
+        rejects_path(root, name, batch),
+        "overwrite",
+        "rule_id",
     )
     snapshot = cast_by_name(result.clean, SCHEMAS[name])
     if batch == 0:
-        versions = history.initial(snapshot, keys, as_of)
+        # The key rules above leave no key null or repeated.
+        versions = history.initial(snapshot, keys, as_of, trusted=True)
     else:
         held = result.bad.select(*keys) if hold_rejected else None
         before = read_current(spark, history_path(root, name), batch - 1, schema)

@@ -49,16 +49,25 @@ def test_hot_keys(spark, sides):
     assert few.count() == 2
 
 
+@pytest.mark.parametrize("check", [keyed.require_unique, keyed.require_unique_first])
 @pytest.mark.parametrize("keys", [["k"], ["k", "l"]])
-def test_require_unique(spark, keys):
+def test_require_unique(spark, keys, check):
     good = spark.createDataFrame([(1, 1), (2, 1)], "k int, l int")
-    assert keyed.require_unique(good, keys, "t").count() == 2
+    assert check(good, keys, "t").count() == 2
+    assert check(good.filter("k > 9"), keys, "t").count() == 0
     twice = spark.createDataFrame([(1, 1), (2, 1), (1, 1)], "k int, l int")
     with pytest.raises(Exception, match="t: duplicate key"):
-        keyed.require_unique(twice, keys, "t").collect()
+        check(twice, keys, "t").collect()
     null = spark.createDataFrame([(1, 1), (None, 1)], "k int, l int")
     with pytest.raises(Exception, match="t: null in key"):
-        keyed.require_unique(null, keys, "t").collect()
+        check(null, keys, "t").collect()
+
+
+def test_first_check_moves_keys_only(spark):
+    rows = spark.createDataFrame([(k, "x") for k in range(9)], "k int, wide string")
+    plan = final_plan(keyed.require_unique_first(rows, ["k"], "t"))
+    assert "Exchange hashpartitioning(k" in plan
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "wide" in line]
 
 
 def final_plan(df):
