@@ -1,9 +1,10 @@
 """Type-2 history: every version of a record, with the span in which it was valid.
 
-Each batch is a full snapshot of the source. One full outer join of the current
-versions with the snapshot decides, per key, between insert, update, delete and no
-change; closed versions never enter the join. Time is an argument (``as_of``), so a
-batch that is run twice gives the same result.
+Each batch is a full snapshot of the source, or with ``partial`` only its new and
+changed records. One full outer join of the current versions with the batch decides,
+per key, between insert, update, delete and no change; closed versions never enter the
+join. Time is an argument (``as_of``), so a batch that is run twice gives the same
+result.
 """
 
 from __future__ import annotations
@@ -94,6 +95,7 @@ def _matched(
     tracked: Sequence[str] | None,
     compat_hash: bool,
     held_keys: DataFrame | None,
+    partial: bool,
 ) -> tuple[DataFrame, list[str]]:
     """Current versions beside incoming ones, one row per key, with ``change_type``."""
     if held_keys is not None:
@@ -120,7 +122,7 @@ def _matched(
     change = (
         F.when(F.col("_held"), F.when(F.col("_old").isNull(), HELD).otherwise(NOOP))
         .when(F.col("_old").isNull(), INSERT)
-        .when(F.col("_new").isNull(), DELETE)
+        .when(F.col("_new").isNull(), NOOP if partial else DELETE)
         .when(F.col("_old.row_hash").eqNullSafe(F.col("_new.row_hash")), NOOP)
         .otherwise(UPDATE)
     )
@@ -146,6 +148,7 @@ def changes(
     tracked: Sequence[str] | None = None,
     compat_hash: bool = False,
     held_keys: DataFrame | None = None,
+    partial: bool = False,
 ) -> DataFrame:
     """Only what a batch writes: opened and closed versions, with ``change_type``.
 
@@ -153,7 +156,9 @@ def changes(
     An update gives one row of each kind.
     """
     keys = _key_list(keys)
-    joined, columns = _matched(current, incoming, keys, as_of, tracked, compat_hash, held_keys)
+    joined, columns = _matched(
+        current, incoming, keys, as_of, tracked, compat_hash, held_keys, partial
+    )
     opened, closed = F.col("_new"), _closed(columns, as_of)
     merge_key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
 
@@ -182,13 +187,16 @@ def advance(
     tracked: Sequence[str] | None = None,
     compat_hash: bool = False,
     held_keys: DataFrame | None = None,
+    partial: bool = False,
 ) -> DataFrame:
     """The new current versions together with those this batch closed.
 
     Versions closed earlier are not needed and not returned.
     """
     keys = _key_list(keys)
-    joined, columns = _matched(current, incoming, keys, as_of, tracked, compat_hash, held_keys)
+    joined, columns = _matched(
+        current, incoming, keys, as_of, tracked, compat_hash, held_keys, partial
+    )
     opened, closed = F.col("_new"), _closed(columns, as_of)
     versions = (
         F.when(F.col("change_type") == NOOP, F.array(F.col("_old")))
@@ -207,12 +215,17 @@ def apply_batch(
     tracked: Sequence[str] | None = None,
     compat_hash: bool = False,
     held_keys: DataFrame | None = None,
+    partial: bool = False,
 ) -> DataFrame:
-    """The complete history after a snapshot; ``history`` is None on the first one."""
+    """The complete history after a snapshot; ``history`` is None on the first one.
+
+    Write the result before the next batch: both its current and its closed part are
+    used there. To write only what a batch touches, see ``sources.history_store``.
+    """
     if history is None:
         return initial(incoming, keys, as_of, tracked, compat_hash)
     moved = advance(
-        current(history), incoming, keys, as_of, tracked, compat_hash, held_keys
+        current(history), incoming, keys, as_of, tracked, compat_hash, held_keys, partial
     )
     return history.filter(~F.col("is_current")).unionByName(moved, allowMissingColumns=True)
 

@@ -370,10 +370,13 @@ TRACKED = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
 
 
 def _history(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
+    """History after a day; each earlier day's is written before the next is applied."""
     past = None
     for n in range(day + 1):
         batch = derived.snapshot(spark, sf_dir, n)
         past = history.apply_batch(past, batch, KEYS, DAYS[n], TRACKED)
+        if n < day:
+            past = stage(past, "history")
     return past
 
 

@@ -110,12 +110,14 @@ def ingest(
     batch: int,
     as_of: str | datetime,
     hold_rejected: bool = False,
+    partial: bool = False,
     policy: KeyedPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Check a snapshot, write its rejects and bring the history up to date.
 
     Returns the new current slice. A key rejected today counts as deleted in the
-    source unless ``hold_rejected`` keeps its last good version.
+    source unless ``hold_rejected`` keeps its last good version. With ``partial`` the
+    rows are new and changed records only, and no key counts as deleted.
     """
     spark, job = raw.sparkSession, TABLES[name]
     keys, schema = list(job.keys), history_schema(SCHEMAS[name])
@@ -135,7 +137,9 @@ def ingest(
     else:
         held = result.bad.select(*keys) if hold_rejected else None
         before = read_current(spark, history_path(root, name), batch - 1, schema)
-        versions = history.advance(before, snapshot, keys, as_of, held_keys=held)
+        versions = history.advance(
+            before, snapshot, keys, as_of, held_keys=held, partial=partial
+        )
     publish(versions, history_path(root, name), batch)
     return read_current(spark, history_path(root, name), batch, schema)
 
@@ -184,6 +188,8 @@ def run_batch(
 ) -> DataFrame:
     """One batch over all four tables; returns the graded loans."""
     for name in TABLES:
-        current = ingest(name, raw[name], root, batch, as_of, hold_rejected, policy)
+        current = ingest(
+            name, raw[name], root, batch, as_of, hold_rejected, policy=policy
+        )
         process(name, current, root, batch, as_of)
     return grade(spark, root, batch, params)

@@ -10,19 +10,20 @@ from hypothesis import strategies as st
 
 from creditloom.operators import history
 from creditloom.sources import history_store
+from creditloom.sources.staging import stage
 
 DAY = [f"2024-01-0{n} 00:00:00" for n in range(1, 9)]
 SCHEMA = "id int, a string, b string"
 
 
 def snapshot(spark, rows):
-    return spark.createDataFrame(rows, SCHEMA)
+    return spark.createDataFrame(rows, SCHEMA).coalesce(2)
 
 
 def run(spark, days, **kwargs):
     past = None
     for n, rows in enumerate(days):
-        past = history.apply_batch(past, snapshot(spark, rows), "id", DAY[n], **kwargs)
+        past = stage(history.apply_batch(past, snapshot(spark, rows), "id", DAY[n], **kwargs), "t")
     return past
 
 
@@ -141,6 +142,17 @@ def test_held_keys(spark):
     assert got[3][0][4:] == (False, True)
 
 
+def test_partial_batches_delete_nothing(spark):
+    past = run(spark, SCENARIO[:1])
+    after = history.apply_batch(
+        past, snapshot(spark, [(2, "y", "new"), (4, "n", "n")]), "id", DAY[1], partial=True
+    )
+    got = {k: [v[4:] for v in vs] for k, vs in versions(after).items()}
+    assert got == {
+        1: [(True, False)], 2: [(False, False), (True, False)], 3: [(True, False)], 4: [(True, False)]
+    }
+
+
 def test_only_tracked_columns_matter(spark):
     days = [[(1, "a", "p")], [(1, "a", "q")]]
     assert len(versions(run(spark, days, tracked=["a"]))[1]) == 1
