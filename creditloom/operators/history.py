@@ -63,81 +63,110 @@ def initial(
     """
     keys = _key_list(keys)
     rows = incoming if trusted else require_unique_first(incoming, keys, "snapshot")
-    return _opened(rows, keys, as_of, tracked, compat_hash)
+    return _hashed(rows, tracked, compat_hash).withColumns(_opening(keys, as_of))
 
 
-def _opened(
-    rows: DataFrame,
-    keys: list[str],
-    as_of: str | datetime | Column,
-    tracked: Sequence[str] | None,
-    compat_hash: bool,
+def _hashed(
+    rows: DataFrame, tracked: Sequence[str] | None, compat_hash: bool
 ) -> DataFrame:
     watched = tracked_columns(rows.columns if tracked is None else tracked)
+    return rows.withColumn("row_hash", row_hash(watched, compat_hash))
+
+
+def _opening(keys: list[str], as_of: str | datetime | Column) -> dict[str, Column]:
+    """What history adds to a record whose version starts now."""
     start = timestamp(as_of)
-    return rows.withColumns(
-        {
-            "row_hash": row_hash(watched, compat_hash),
-            "valid_from": start,
-            "valid_to": F.lit(None).cast("timestamp"),
-            "is_current": F.lit(True),
-            "is_deleted_in_source": F.lit(False),
-            "sk_id": surrogate_key(keys, start),
-        }
-    )
+    return {
+        "valid_from": start,
+        "valid_to": F.lit(None).cast("timestamp"),
+        "is_current": F.lit(True),
+        "is_deleted_in_source": F.lit(False),
+        "sk_id": surrogate_key(keys, start),
+    }
 
 
 def _matched(
     current: DataFrame,
     incoming: DataFrame,
     keys: list[str],
-    as_of: str | datetime | Column,
     tracked: Sequence[str] | None,
     compat_hash: bool,
     held_keys: DataFrame | None,
     partial: bool,
 ) -> tuple[DataFrame, list[str]]:
-    """Current versions beside incoming ones, one row per key, with ``change_type``."""
+    """Current beside incoming records, one row per key, with ``change_type``.
+
+    Column *n* of a version is ``_old_n`` on one side and ``_new_n`` on the other. The
+    columns stay flat, as nesting them would copy every row once more.
+    """
+    incoming = incoming.withColumn("_held", F.lit(False))
+    watched = [c for c in incoming.columns if c != "_held"] if tracked is None else tracked
     if held_keys is not None:
         # A held key takes part as a row without values, so no second join is needed.
-        held = held_keys.select(*keys).dropDuplicates().withColumn("_held", F.lit(True))
-        incoming = incoming.withColumn("_held", F.lit(False)).unionByName(
-            held.dropna(subset=keys), allowMissingColumns=True
-        )
-    else:
-        incoming = incoming.withColumn("_held", F.lit(False))
+        held = held_keys.select(*keys).dropna().dropDuplicates().withColumn("_held", F.lit(True))
+        incoming = incoming.unionByName(held, allowMissingColumns=True)
     incoming = require_unique(incoming, keys, "snapshot")
-    watched = [c for c in incoming.columns if c != "_held"] if tracked is None else tracked
-    fresh = _opened(incoming, keys, as_of, watched, compat_hash)
-    columns = [c for c in fresh.columns if c != "_held"]
-    extra = [c for c in current.columns if c not in columns]
-    old = [
-        (F.col(c) if c in current.columns else F.lit(None)).alias(c) for c in [*columns, *extra]
-    ]
-    new = [F.col(c) for c in columns] + [
-        F.lit(None).cast(current.schema[c].dataType).alias(c) for c in extra
-    ]
-    left = current.select(*keys, F.struct(*old).alias("_old"))
-    right = fresh.select(*keys, "_held", F.struct(*new).alias("_new"))
+    fresh = _hashed(incoming, watched, compat_hash)
+    columns = [c for c in fresh.columns if c not in ("_held", *META)]
+    columns += [c for c in current.columns if c not in (*columns, *META)] + list(META)
+
+    def side(df: DataFrame, prefix: str) -> list[Column]:
+        return [
+            F.col(c).alias(f"{prefix}_{n}") for n, c in enumerate(columns) if c in df.columns
+        ]
+
+    left = current.select(*keys, F.lit(True).alias("_had"), *side(current, "_old"))
+    right = fresh.select(*keys, "_held", *side(fresh, "_new"))
+    had, has = F.col("_had").isNotNull(), F.col("_held").isNotNull()
+    hash_at = columns.index("row_hash")
+    same = F.col(f"_old_{hash_at}").eqNullSafe(F.col(f"_new_{hash_at}"))
     change = (
-        F.when(F.col("_held"), F.when(F.col("_old").isNull(), HELD).otherwise(NOOP))
-        .when(F.col("_old").isNull(), INSERT)
-        .when(F.col("_new").isNull(), NOOP if partial else DELETE)
-        .when(F.col("_old.row_hash").eqNullSafe(F.col("_new.row_hash")), NOOP)
+        F.when(F.col("_held"), F.when(had, NOOP).otherwise(HELD))
+        .when(~had, INSERT)
+        .when(~has, NOOP if partial else DELETE)
+        .when(same, NOOP)
         .otherwise(UPDATE)
     )
     joined = left.join(right, keys, "full_outer").withColumn("change_type", change)
-    return joined, [*columns, *extra]
+    return joined, columns
 
 
-def _closed(columns: list[str], as_of: str | datetime | Column) -> Column:
-    """The old version, ended."""
-    ended = {
+def _versions(
+    joined: DataFrame,
+    columns: list[str],
+    keys: list[str],
+    as_of: str | datetime | Column,
+    *extra: Column,
+) -> DataFrame:
+    """One row for each version a key has after the batch: the old one, closed if it
+    changed or is gone, and the opened one, if any. ``_opens`` tells them apart."""
+    change = F.col("change_type")
+    opens = (
+        F.when(change == INSERT, F.array(F.lit(True)))
+        .when(change == UPDATE, F.array(F.lit(False), F.lit(True)))
+        .otherwise(F.array(F.lit(False)))
+    )
+    kept, opening = change == NOOP, _opening(keys, as_of)
+    closing = {
         "valid_to": timestamp(as_of),
         "is_current": F.lit(False),
-        "is_deleted_in_source": F.col("change_type") == DELETE,
+        "is_deleted_in_source": change == DELETE,
     }
-    return F.struct(*[ended.get(c, F.col(f"_old.`{c}`")).alias(c) for c in columns])
+    present = set(joined.columns)
+
+    def column(n: int, name: str) -> Column:
+        def given(side: str) -> Column:
+            # A column that only the other side has is null on this one.
+            return F.col(f"{side}_{n}") if f"{side}_{n}" in present else F.lit(None)
+
+        value = F.when(F.col("_opens"), opening.get(name, given("_new")))
+        if name in closing:
+            value = value.when(~kept, closing[name])
+        return value.otherwise(given("_old")).alias(name)
+
+    return joined.withColumn("_opens", F.explode(opens)).select(
+        *[column(n, c) for n, c in enumerate(columns)], *extra
+    )
 
 
 def changes(
@@ -157,25 +186,18 @@ def changes(
     """
     keys = _key_list(keys)
     joined, columns = _matched(
-        current, incoming, keys, as_of, tracked, compat_hash, held_keys, partial
+        current, incoming, keys, tracked, compat_hash, held_keys, partial
     )
-    opened, closed = F.col("_new"), _closed(columns, as_of)
-    merge_key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-
-    def staged(version: Column, key: Column) -> Column:
-        return F.struct(version.alias("_version"), key.alias("merge_key"))
-
-    opening = staged(opened, F.lit(None).cast("string"))
-    closing = staged(closed, merge_key)
-    rows = (
-        F.when(F.col("change_type") == INSERT, F.array(opening))
-        .when(F.col("change_type") == DELETE, F.array(closing))
-        .otherwise(F.array(closing, opening))
+    merge_key = F.when(
+        ~F.col("_opens"), F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
     )
-    return (
-        joined.filter(F.col("change_type").isin(INSERT, UPDATE, DELETE))
-        .select("change_type", F.inline(rows))
-        .select("_version.*", "merge_key", "change_type")
+    return _versions(
+        joined.filter(F.col("change_type").isin(INSERT, UPDATE, DELETE)),
+        columns,
+        keys,
+        as_of,
+        merge_key.alias("merge_key"),
+        F.col("change_type"),
     )
 
 
@@ -195,16 +217,9 @@ def advance(
     """
     keys = _key_list(keys)
     joined, columns = _matched(
-        current, incoming, keys, as_of, tracked, compat_hash, held_keys, partial
-    )
-    opened, closed = F.col("_new"), _closed(columns, as_of)
-    versions = (
-        F.when(F.col("change_type") == NOOP, F.array(F.col("_old")))
-        .when(F.col("change_type") == INSERT, F.array(opened))
-        .when(F.col("change_type") == DELETE, F.array(closed))
-        .otherwise(F.array(closed, opened))
+        current, incoming, keys, tracked, compat_hash, held_keys, partial
     )
-    return joined.filter(F.col("change_type") != HELD).select(F.inline(versions))
+    return _versions(joined.filter(F.col("change_type") != HELD), columns, keys, as_of)
 
 
 def apply_batch(
