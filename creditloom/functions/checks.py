@@ -81,6 +81,7 @@ def missing(column: str) -> Column:
 # metric rows.
 DUPLICATE = "member_id_duplication"
 CALCULATION = "calculation_check"
+ALLOWED = "allowed_values_check"
 LABELS = {
     "float_check": "Datatype - float",
     "int_check": "Datatype - int",

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.functions.checks import CALCULATION, DUPLICATE, LABELS, ROW_CHECKS
+from creditloom.functions.checks import ALLOWED, CALCULATION, DUPLICATE, LABELS, ROW_CHECKS
 from creditloom.operators.keyed import (
     DEFAULT_POLICY,
     ROWS,
@@ -28,6 +28,7 @@ from creditloom.operators.keyed import (
 DETAIL_COLUMNS = ("rule_id", "check_type", "check_description", "failed_column")
 FAILS = "_fails"
 TEXT_NUMBER = "decimal(38,6)"
+LONG_LIST = 500
 
 
 @dataclass(frozen=True)
@@ -155,22 +156,45 @@ def _check(
     if nested:
         raise ValueError(f"map columns cannot be compared for distinct rows: {nested}")
     usable, _ = applicable(df, rules, strict)
-    out, flags = df, {}
-    for rule, column in usable:
-        if rule.check_type == DUPLICATE and column not in flags:
+    out, predicates = _row_predicates(df, usable)
+    flags = {}
+    for n, (rule, column) in enumerate(usable):
+        if rule.check_type != DUPLICATE:
+            continue
+        if column not in flags:
             flags[column] = f"_repeated_{len(flags)}"
             out = flag_rows(out, repeated_keys(df, [column]), [column], flags[column], policy)
-    checks = [
-        (
-            rule,
-            column,
-            F.col(flags[column]) if rule.check_type == DUPLICATE else rule.predicate(column, df.schema),
-        )
-        for rule, column in usable
-    ]
+        predicates[n] = F.col(flags[column])
+    checks = [(rule, column, predicates[n]) for n, (rule, column) in enumerate(usable)]
     return _Checked(out, df.columns, checks)
 
 
+def _row_predicates(
+    df: DataFrame, usable: list[tuple[Rule, str]]
+) -> tuple[DataFrame, dict[int, Column]]:
+    """Predicates of the row checks by position, and the table they apply to.
+
+    A long list of allowed values becomes a broadcast table instead of an expression;
+    it comes from the rule, so it does not grow with the data.
+    """
+    out, predicates = df, {}
+    for n, (rule, column) in enumerate(usable):
+        values = rule.params.get("allowed_values", ())
+        if rule.check_type == DUPLICATE:
+            continue
+        if rule.check_type == ALLOWED and len(values) > LONG_LIST:
+            flag, kind = f"_known_{n}", T.StructType([df.schema[column]])
+            known = df.sparkSession.createDataFrame(
+                [(v,) for v in set(values) if v is not None], kind
+            ).withColumn(flag, F.lit(True))
+            kept = out.columns
+            out = out.join(F.broadcast(known), column, "left").select(*kept, flag)
+            predicates[n] = F.col(column).isNotNull() & F.col(flag).isNull()
+        else:
+            predicates[n] = rule.predicate(column, df.schema)
+    return out, predicates
+
+
 def annotate(
     df: DataFrame,
     rules: Iterable[Rule],
@@ -367,11 +391,10 @@ def metrics(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
 
     parts = []
     if row_checks:
-        counts = [
-            F.count_if(r.predicate(c, df.schema)).alias(f"_failed_{i}") for i, (r, c) in enumerate(row_checks)
-        ]
+        rows, predicates = _row_predicates(df, row_checks)
+        counts = [F.count_if(p).alias(f"_failed_{i}") for i, p in predicates.items()]
         parts.append(
-            report(df.agg(F.count(F.lit(1)).alias("total_rows"), *counts), row_checks)
+            report(rows.agg(F.count(F.lit(1)).alias("total_rows"), *counts), row_checks)
         )
     for pair in key_checks:
         per_key = df.groupBy(pair[1]).agg(F.count(F.lit(1)).alias(ROWS))

@@ -106,6 +106,18 @@ def test_unkeyed_compat_in_chunks(spark, monkeypatch):
     assert multiset(got) == Counter({(1, "bad"): 49, (2, "bad"): 7, (3, "bad"): 6})
 
 
+def test_long_list_of_allowed_values(spark):
+    values = [f"v{n}" for n in range(quality.LONG_LIST + 1)]
+    rule = Rule("L", "allowed_values_check", ("v",), params={"allowed_values": [*values, None, "v1"]})
+    rows = [(1, "v1"), (2, "v500"), (3, "nope"), (3, "v2"), (4, None), (5, "nope"), (5, "nope")]
+    df = table(spark, rows)
+    got = quality.split(df, [rule, OK], ["k"])
+    assert got.bad.columns == ["k", "v"]
+    assert multiset(quality.failed_rows(df, rule)) == Counter([(3, "nope"), (5, "nope")])
+    assert multiset(quality.split(df, [rule]).clean) == Counter([(1, "v1"), (2, "v500"), (3, "v2"), (4, None)])
+    assert quality.metrics(df, [rule]).first().failed_rows == 3
+
+
 def test_details_and_annotate(spark):
     null = Rule("N", "null_check", ("v", "k"), "must be there")
     df = table(spark, [(1, "bad"), (1, "bad"), (None, None), (5, "ok")])
