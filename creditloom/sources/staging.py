@@ -8,10 +8,13 @@ measured number instead of an estimate.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCK = threading.Lock()
+
 
 def stage_root(spark: SparkSession) -> str:
     """Folder of ``spark.checkpoint.dir``; a temporary one only in local mode."""
@@ -19,13 +22,14 @@ def stage_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir must name a folder that all executors share"
-            )
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="creditloom-"))
-    return context.getCheckpointDir().rstrip("/")
+    with _LOCK:
+        if context.getCheckpointDir() is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError(
+                    "spark.checkpoint.dir must name a folder that all executors share"
+                )
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="creditloom-"))
+        return context.getCheckpointDir().rstrip("/")
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
