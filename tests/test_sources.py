@@ -117,3 +117,27 @@ def test_stage_folder_follows_the_setting(spark):
     else:
         assert staging.stage_root(spark) == configured.rstrip("/")
     assert staging.stage_path(spark, "a") != staging.stage_path(spark, "a")
+
+
+class FakeContext:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = f"{folder}/"
+
+
+class FakeSession:
+    def __init__(self, master, configured=None):
+        self.sparkContext, self.conf = FakeContext(master), {"spark.checkpoint.dir": configured}
+
+
+def test_stage_folder_when_nothing_is_set(monkeypatch, tmp_path):
+    monkeypatch.setattr(staging.tempfile, "mkdtemp", lambda prefix: f"{tmp_path}/{prefix}1")
+    assert staging.stage_root(FakeSession("local[2]")) == f"{tmp_path}/creditloom-1"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.stage_root(FakeSession("yarn"))
+    assert staging.stage_root(FakeSession("yarn", "hdfs://shared/tmp/")) == "hdfs://shared/tmp"
