@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm import chat, exact_dedup, mixing
+from creditloom.llm import chat, exact_dedup, mixing, packing
 from creditloom.llm.common import table
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that tries to break the template, read back."""
     rows = table(spark, sf_dir, "conversations").select(
@@ -54,6 +61,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_chat_formatting": op4_chat_formatting,
     "op7_source_mixing": op7_source_mixing,
     "op10_exact_dedup": op10_exact_dedup,

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from creditloom.llm.common import slices, text_of
 
-WINDOW = 24
+WINDOW = 12
 """Words that are averaged; windows overlap by half."""
 BUCKETS = 1 << 17
 GRAMS = (3, 4, 5)
@@ -68,7 +68,7 @@ def gram_ids(word: str, buckets: int = BUCKETS) -> list[int]:
     return out
 
 
-def window_bounds(count: int, window: int = WINDOW) -> list[tuple[int, int]]:
+def window_bounds(count: int, window: int) -> list[tuple[int, int]]:
     """Half-overlapping windows that cover ``count`` words; one empty window for none."""
     step = window // 2
     return [(i, min(count, i + window)) for i in range(0, max(1, count - step), step)]
@@ -88,7 +88,7 @@ class Model:
     def text(self, scores: np.ndarray) -> float:
         """Probability of the toxic class for the words' scores of one text."""
         sums = np.concatenate([[0.0], np.cumsum(scores)])
-        bounds = np.array(window_bounds(len(scores)))
+        bounds = np.array(window_bounds(len(scores), WINDOW))
         sizes = np.maximum(1, bounds[:, 1] - bounds[:, 0])
         logits = self.bias + (sums[bounds[:, 1]] - sums[bounds[:, 0]]) / sizes
         return float(_sigmoid(_pool(logits, self.sharpness)))
@@ -132,7 +132,7 @@ def train(
         own = [index.setdefault(w, len(index)) for w in words_of(text)]
         tokens.append(np.array(own, np.int32))
         texts_of.append(np.full(len(own), doc, np.int32))
-        for start, end in window_bounds(len(own)):
+        for start, end in window_bounds(len(own), WINDOW):
             bounds.append((at + start, at + end))
             owner.append(doc)
         at += len(own)
@@ -186,7 +186,13 @@ def train(
         table[learned] -= moved[0]
         soft -= moved[1]
         bias -= moved[2]
-    return Model((table @ soft).astype(np.float32), float(bias[0]))
+    # Centred on the clean class: an n-gram without weight then counts as a usual one does.
+    line = table @ soft
+    per_word = np.bincount(gram_word, line[grams], len(counts)) / np.maximum(1, counts)
+    clean = per_word[tokens[y[texts_of] == 0]]
+    usual = float(clean.mean()) if len(clean) else 0.0
+    line[learned] -= usual
+    return Model(line.astype(np.float32), float(bias[0]) + usual)
 
 
 def _documents_of_grams(
