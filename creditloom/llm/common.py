@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ def slices(
     steps of a task hold, whatever the length of the texts around it.
     """
     for batch in batches:
-        sizes = pa.compute.binary_length(batch[column]).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch[column]).fill_null(0).to_pylist()
         start = total = 0
         for i, size in enumerate(sizes):
             if i > start and total + size > limit:

@@ -33,8 +33,6 @@ SAMPLE = 3_000
 SAMPLE_CHARS = 24_000_000
 """At most so many characters of them, in the same order."""
 WORD_CACHE = 300_000
-LONG_WORD = 40
-"""Of longer words the first and the last so many characters are taken as two words."""
 SHARPNESS = 4.0
 HELD_OUT = 5
 
@@ -44,6 +42,7 @@ DECAY = 1e-6
 CLEAN_SHARE = 0.6
 """Part of the total weight that the clean class has in training."""
 
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -51,21 +50,35 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def gram_ids(word: str, buckets: int = BUCKETS) -> list[int]:
-    """Rows of the n-grams of a word, and of the word itself (32-bit FNV-1a, folded)."""
-    if len(word) > 2 * LONG_WORD:
-        return gram_ids(word[:LONG_WORD], buckets) + gram_ids(word[-LONG_WORD:], buckets)
-    marked = f"<{word}>"
-    size = len(marked)
-    grams = {marked[i : i + n] for n in GRAMS for i in range(size - n + 1)}
-    grams.add(marked)
-    out = []
-    for gram in sorted(grams):
-        h = 2166136261
-        for byte in gram.encode("utf-8", "surrogatepass"):
-            h = ((h ^ byte) * 16777619) & 0xFFFFFFFF
-        out.append((h ^ (h >> 15)) % buckets)
-    return out
+def gram_ids(words: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """Table rows of all n-grams of the words, whole words included, and whose they are.
+
+    Polynomial hashes over code points, modulo 2**64, mixed and folded to the table.
+    """
+    marked = "".join([f"<{word}>" for word in words])
+    code = np.frombuffer(marked.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    room = ends[owner] - np.arange(len(code))  # characters from here to the word's end
+    rows, whose = [], []
+    for n in GRAMS:
+        start = np.flatnonzero(room >= n)
+        h = np.full(len(start), n, np.uint64)
+        for i in range(n):
+            h = h * _STEP + code[start + i]
+        rows.append(h)
+        whose.append(owner[start])
+    power = np.cumprod(np.full(len(code), _STEP, np.uint64)) if len(code) else code
+    # Place within the word decides the power, so equal words hash alike.
+    place = np.arange(len(code)) - (ends - sizes)[owner]
+    rows.append(np.add.reduceat(code * power[place], ends - sizes) if len(code) else code)
+    whose.append(np.arange(len(words)))
+    h = np.concatenate(rows)
+    h ^= h >> np.uint64(29)
+    h *= _MIX
+    h ^= h >> np.uint64(32)
+    return (h % np.uint64(buckets)).astype(np.int64), np.concatenate(whose)
 
 
 def window_bounds(count: int, window: int) -> list[tuple[int, int]]:
@@ -82,8 +95,11 @@ class Model:
     bias: float
     sharpness: float = SHARPNESS
 
-    def word(self, word: str) -> float:
-        return float(self.weights[gram_ids(word, len(self.weights))].mean())
+    def words(self, words: list[str]) -> np.ndarray:
+        """The weight of each word: the mean over its n-grams."""
+        grams, owner = gram_ids(words, len(self.weights))
+        counts = np.bincount(owner, minlength=len(words))
+        return np.bincount(owner, self.weights[grams], len(words)) / np.maximum(1, counts)
 
     def text(self, scores: np.ndarray) -> float:
         """Probability of the toxic class for the words' scores of one text."""
@@ -114,6 +130,7 @@ def train(
     min_texts: int = MIN_TEXTS,
     decay: float = DECAY,
     clean_share: float = CLEAN_SHARE,
+    sharpness: float = SHARPNESS,
 ) -> Model:
     """Fit table and softmax to texts and labels of 0 and 1; classes weigh the same.
 
@@ -139,12 +156,10 @@ def train(
     tokens, texts_of = np.concatenate(tokens), np.concatenate(texts_of)
     bounds, owner = np.array(bounds), np.array(owner)
     sizes = np.maximum(1, bounds[:, 1] - bounds[:, 0]).astype(float)
-    grams = [np.array(gram_ids(w, buckets), np.int32) for w in index]
-    counts = np.array([len(g) for g in grams], float)
-    gram_word = np.repeat(np.arange(len(grams)), counts.astype(int))
-    grams = np.concatenate(grams) if len(grams) else np.zeros(0, np.int32)
+    grams, gram_word = gram_ids(list(index), buckets)
+    counts = np.bincount(gram_word, minlength=len(index))
     # An n-gram of a few texts would only learn those texts by heart.
-    spread = _documents_of_grams(tokens, texts_of, gram_word, grams, buckets)
+    spread = _texts_of_grams(tokens, texts_of, gram_word, grams, buckets)
     learned = np.flatnonzero(spread >= min_texts)
     first = np.searchsorted(owner, np.arange(len(texts)))
 
@@ -160,9 +175,9 @@ def train(
         sums = np.concatenate([[0.0], np.cumsum(per_word[tokens])])
         logits = bias[0] + (sums[bounds[:, 1]] - sums[bounds[:, 0]]) / sizes
         top = np.maximum.reduceat(logits, first)
-        share = np.exp((logits - top[owner]) * SHARPNESS)
+        share = np.exp((logits - top[owner]) * sharpness)
         total = np.add.reduceat(share, first)
-        pooled = top + np.log(total) / SHARPNESS
+        pooled = top + np.log(total) / sharpness
         wrong = (_sigmoid(pooled) - y) * weight
         # Back: text to windows, to words, to n-grams; all are scalars along one direction.
         to_window = wrong[owner] * share / total[owner]
@@ -192,16 +207,16 @@ def train(
     clean = per_word[tokens[y[texts_of] == 0]]
     usual = float(clean.mean()) if len(clean) else 0.0
     line[learned] -= usual
-    return Model(line.astype(np.float32), float(bias[0]) + usual)
+    return Model(line.astype(np.float32), float(bias[0]) + usual, sharpness)
 
 
-def _documents_of_grams(
+def _texts_of_grams(
     tokens: np.ndarray, texts: np.ndarray, gram_word: np.ndarray, grams: np.ndarray, buckets: int
 ) -> np.ndarray:
     """How many texts hold a word with the n-gram; texts count per word, so at least that."""
     if not len(tokens):
         return np.zeros(buckets)
-    words = int(gram_word[-1]) + 1
+    words = int(gram_word.max()) + 1
     pairs = np.unique(tokens.astype(np.int64) * (int(texts[-1]) + 1) + texts)
     per_word = np.bincount(pairs // (int(texts[-1]) + 1), minlength=words)
     return np.bincount(grams, per_word[gram_word], buckets)
@@ -245,9 +260,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if total > SAMPLE_CHARS:  # whole texts that fit the bound, by the same order
         share = SAMPLE_CHARS / total
         rows = rows.filter(F.pmod("at", F.lit(1 << 20)) < int(share * (1 << 20)))
-    got = rows.select("text", "toxic", "at", "doc_id").toArrow().to_pylist()
-    got.sort(key=lambda r: (r["at"], r["doc_id"]))
-    return train([r["text"] for r in got], [r["toxic"] for r in got])
+    def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [row for batch in batches for row in batch.to_pylist()]
+        got.sort(key=lambda r: (r["at"], r["doc_id"]))
+        model = train([r["text"] for r in got], [r["toxic"] for r in got])
+        row = ([model.weights.tobytes()], [model.bias], [model.sharpness])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c) for c in row], names=["weights", "bias", "sharpness"]
+        )
+
+    # The bounded sample in one task; a table of fixed size comes back.
+    made = (
+        rows.select("text", "toxic", "at", "doc_id")
+        .repartition(1)
+        .mapInArrow(learn, "weights binary, bias double, sharpness double")
+        .first()
+    )
+    return Model(np.frombuffer(made.weights, np.float32), made.bias, made.sharpness)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -266,8 +295,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             words = set().union(*split)
             if len(known) + len(words) > WORD_CACHE:
                 known.clear()
-            for word in words.difference(known):
-                known[word] = model.word(word)
+            new = list(words.difference(known))
+            known.update(zip(new, model.words(new).tolist()))
             scores = [
                 model.text(np.fromiter(map(known.__getitem__, own), float, len(own)))
                 for own in split
