@@ -8,15 +8,16 @@ bin would be one too many, the fullest is closed. A shard holds its open bins an
 
 from __future__ import annotations
 
+import os
 import re
 from collections import deque
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from creditloom.llm.common import slices, text_of
 from creditloom.sources.staging import stage
@@ -30,21 +31,6 @@ WORD_CACHE = 400_000
 """Words whose ids a worker remembers, so that each is looked up in the vocabulary once."""
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    """The tokenizer, and which ids end a word."""
-    import os
-
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
-    closes = np.zeros(max(vocabulary.values()) + 1, bool)
-    closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-    return tokenizer, closes
-
-
 #: Fixed values of the vocabulary's pre-tokenizer, for lower-case text below U+0180: what
 #: its classes of letters, numbers and white space hold there. A match is one word.
 LATIN_WORD = re.compile(
@@ -73,7 +59,11 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        self.path = path
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.chunks: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
@@ -103,14 +93,13 @@ class Encoder:
 
     def _learn(self, groups: list[list[str]]) -> None:
         """Ask for the ids of words: several at once where the tokenizer sees each as one."""
-        tokenizer, closes = _tokenizer(self.path)
         joined = [" ".join(group) for group in groups]
-        encoded = tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
         for group, got in zip(groups, encoded):
             ids = np.array(got.ids, "<u4")
             ends = [4 * len(ids)]
             if len(group) > 1:
-                ends = (4 * (np.flatnonzero(closes[ids]) + 1)).tolist()
+                ends = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
                 if len(ends) != len(group):  # a control character that counts as white space
                     self._learn([[word] for word in group])
                     continue

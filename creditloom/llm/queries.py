@@ -6,16 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm import chat, exact_dedup, mixing, packing
+from creditloom.llm import chat, exact_dedup, html_text, mixing, packing, toxicity, url_rules
 from creditloom.llm.common import table
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document lies."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and class of every document."""
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one that tries to break the template, read back."""
     rows = table(spark, sf_dir, "conversations").select(
@@ -55,15 +65,23 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    return url_rules.filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row that stays for every document."""
     return exact_dedup.dedup_exact(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_toxicity": op3_toxicity,
     "op4_chat_formatting": op4_chat_formatting,
     "op7_source_mixing": op7_source_mixing,
+    "op8_url_filters": op8_url_filters,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

@@ -33,12 +33,12 @@ SAMPLE = 3_000
 SAMPLE_CHARS = 24_000_000
 """At most so many characters of them, in the same order."""
 WORD_CACHE = 300_000
-SHARPNESS = 4.0
+SHARPNESS = 8.0
 HELD_OUT = 5
 
-MIN_TEXTS = 4
+MIN_TEXTS = 6
 """N-grams of fewer texts of the sample get no weight."""
-DECAY = 1e-6
+DECAY = 1e-5
 CLEAN_SHARE = 0.6
 """Part of the total weight that the clean class has in training."""
 
@@ -123,8 +123,8 @@ def train(
     texts: list[str],
     labels: list[int],
     dim: int = 8,
-    steps: int = 120,
-    rate: float = 0.08,
+    steps: int = 100,
+    rate: float = 0.1,
     seed: int = 5,
     buckets: int = BUCKETS,
     min_texts: int = MIN_TEXTS,
@@ -285,11 +285,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     A null or empty text has one empty window. The model is sent to the tasks once; its
     size is that of the table, whatever the data.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    parts = (model.weights, model.bias, model.sharpness)
+    shared = docs.sparkSession.sparkContext.broadcast(parts)
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = shared.value, {}
+        model, known = Model(*shared.value), {}
         for batch in slices(batches, "text"):
             split = [words_of(t) for t in batch["text"].to_pylist()]
             words = set().union(*split)
