@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm import chat, exact_dedup, html_text, mixing, packing, toxicity, url_rules
+from creditloom.llm import (
+    chat,
+    exact_dedup,
+    fuzzy_hash,
+    html_text,
+    mixing,
+    packing,
+    toxicity,
+    url_rules,
+)
 from creditloom.llm.common import table
 
 
@@ -58,6 +67,11 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    return fuzzy_hash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents")).select(
@@ -80,6 +94,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
     "op4_chat_formatting": op4_chat_formatting,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_source_mixing": op7_source_mixing,
     "op8_url_filters": op8_url_filters,
     "op10_exact_dedup": op10_exact_dedup,
