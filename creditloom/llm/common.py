@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -99,3 +100,87 @@ def meet(rows: DataFrame, facts: DataFrame, key: list[str], count: str, total: i
     )
     fact = F.coalesce("_hot", "_fact")
     return met.select(*rows.columns, *[fact[c].alias(c) for c in keep])
+
+
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+def byte_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a polynomial over bytes, and the inverse powers of its base."""
+    back = np.uint64(pow(int(_STEP), -1, 1 << 64))
+    powers, inverse = np.full((2, len(data) + 1), _STEP)
+    inverse[:] = back
+    powers[0] = inverse[0] = 1
+    np.cumprod(powers, out=powers)
+    np.cumprod(inverse, out=inverse)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(data * powers[:-1], out=sums[1:])
+    return sums, inverse
+
+
+def span_hashes(
+    prefix: tuple[np.ndarray, np.ndarray], starts: np.ndarray, stops: np.ndarray
+) -> np.ndarray:
+    """64-bit hashes of spans of bytes, the same wherever a span lies.
+
+    ``prefix`` is that of :func:`byte_sums`; one serves all spans, as powers of an odd number
+    can be divided out modulo 2**64.
+    """
+    sums, inverse = prefix
+    h = (sums[stops] - sums[starts]) * inverse[starts]
+    h += (stops - starts).astype(np.uint64) * _STEP
+    h = (h ^ (h >> np.uint64(31))) * _MIX
+    return h ^ (h >> np.uint64(29))
+
+
+#: Word characters of lower-cased UTF-8: digits, a-z and all bytes of non-ASCII characters.
+_IS_WORD = np.zeros(256, bool)
+_IS_WORD[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+_PAIR = np.uint64(0xD6E8FEB86659FD93)
+
+
+def word_grams(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all ``k`` consecutive words, the number of words and of hashes per text.
+
+    Words are runs of digits, letters (A-Z in lower case) and non-ASCII characters. All
+    texts are hashed at once; a hash never spans two of them.
+    """
+    encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
+    joined = np.frombuffer(b" ".join([*encoded, b""]).lower(), np.uint8)
+    inside = np.concatenate([[False], _IS_WORD[joined], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, stops = edges[::2], edges[1::2]
+    begins = np.cumsum([0, *[len(e) + 1 for e in encoded]])
+    counts = np.diff(np.searchsorted(starts, begins))
+    words = span_hashes(byte_sums(joined), starts, stops)
+    size = max(0, len(words) - k + 1)
+    grams = words[:size].copy()
+    for i in range(1, k):
+        grams = grams * _PAIR + words[i : size + i]
+    grams ^= grams >> np.uint64(32)
+    owner = np.repeat(np.arange(len(texts)), counts)
+    whole = owner[:size] == owner[len(words) - size :]
+    return grams[whole], counts, np.maximum(0, counts - k + 1)
+
+
+def text_key(column: str = "text") -> Column:
+    """A hash that, with the identifier, names a row of the documents."""
+    return F.xxhash64(text_of(column))
+
+
+def leave_out(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents without the rows that ``gone`` names, with all their columns.
+
+    ``gone`` has ``doc_id``, ``text_key`` and ``repeat``, one row per name. Where ``repeat``
+    is true, the row that stays has the same name; one of the rows of that name is left.
+    """
+    # Packed, so that no column of the documents can clash with a name used here.
+    packed = docs.select(
+        F.struct("*").alias("d"), F.col("doc_id").cast("long").alias("a"), text_key().alias("b")
+    )
+    same = F.col("a").eqNullSafe(F.col("doc_id")) & (F.col("b") == F.col("text_key"))
+    joined = packed.join(gone, same, "left")
+    single = joined.filter(F.col("repeat").isNull()).select("d.*")
+    if gone.filter("repeat").isEmpty():
+        return single
+    return single.unionByName(joined.filter("repeat").dropDuplicates(["a", "b"]).select("d.*"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import ascii_lower, meet, text_of
+from creditloom.llm.common import ascii_lower, leave_out, meet, text_key, text_of
 from creditloom.sources.staging import stage
 
 FAN_IN = 8
@@ -35,6 +35,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.col(id_col).cast("long").alias("doc_id"),
         F.pmod(F.spark_partition_id(), F.lit(RUNS)).alias("run"),
         normalised(text_col).alias("_text"),
+        text_key(text_col).alias("text_key"),
     )
     return stage(
         thin.select(
@@ -44,6 +45,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             F.unhex(F.sha2("_text", 256)).alias("digest"),
             F.octet_length("_text").alias("size"),
             F.xxhash64("_text").alias("proof"),
+            "text_key",
         ),
         "digests",
     )
@@ -56,7 +58,7 @@ def merge_runs(runs: DataFrame) -> DataFrame:
     ones the last row. A row without an identifier stays only in a group of such rows.
     """
     merged = runs.select(
-        *KEY, "run", F.struct("doc_id", "row").alias("top"), F.lit(1).cast("long").alias("rows")
+        *KEY, "run", F.struct("doc_id", "row", "text_key").alias("top"), F.lit(1).cast("long").alias("rows")
     )
     width = RUNS
     while width > 1:
@@ -72,47 +74,34 @@ def merge_runs(runs: DataFrame) -> DataFrame:
 def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document with the identifier that stays for its text.
 
-    Columns: ``doc_id``, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``. One row
-    per input row. Null and empty texts are one group. Of equal texts the row with the
+    Columns: ``doc_id``, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``, and
+    ``text_key`` and ``keep_key``, the hashes that name the row and the one that stays. One
+    row per input row. Null and empty texts are one group. Of equal texts the row with the
     largest identifier stays; of rows that also share the identifier exactly one is
     ``kept``. Null identifiers are smaller than all others. Other columns are ignored.
     """
     rows = digests(docs, id_col, text_col)
     groups = stage(merge_runs(rows).filter("rows > 1"), "digest-groups")
     met = meet(rows.drop("run"), groups, KEY, "rows", rows.count())
-    top = F.coalesce("top", F.struct("doc_id", "row"))
+    top = F.coalesce("top", F.struct("doc_id", "row", "text_key"))
     return met.select(
         "doc_id",
         top["doc_id"].alias("keep_id"),
         F.coalesce("rows", F.lit(1).cast("long")).alias("group_size"),
         (top["row"] == F.col("row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        "text_key",
+        F.coalesce(top["text_key"], F.col("text_key")).alias("keep_key"),
     )
 
 
 def keep_documents(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns.
 
-    The dropped rows are known by identifier and text digest. Where a dropped row repeats
-    the identifier of the one that stays, exactly one row of the repeats is left.
+    Of rows that repeat both identifier and text, one stays if its group keeps them.
     """
     judged = dedup_exact(docs).filter(~F.col("kept"))
-    gone = stage(
-        judged.groupBy("doc_id", "text_sha256").agg(
-            F.max(F.expr("doc_id <=> keep_id")).alias("repeat")
-        ),
-        "exact-copies",
-    )
-    # Packed, so that no column of the documents can clash with a name used here.
-    packed = docs.select(
-        F.struct("*").alias("d"),
-        F.col("doc_id").cast("long").alias("id"),
-        F.lower(F.sha2(normalised("text"), 256)).alias("sha"),
+    gone = judged.groupBy("doc_id", "text_key").agg(
+        F.max(F.expr("doc_id <=> keep_id AND text_key = keep_key")).alias("repeat")
     )
-    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("sha") == F.col("text_sha256"))
-    joined = packed.join(gone, same, "left")
-    single = joined.filter(F.col("repeat").isNull()).select("d.*")
-    if gone.filter("repeat").isEmpty():
-        return single
-    repeats = joined.filter("repeat").dropDuplicates(["id", "sha"]).select("d.*")
-    return single.unionByName(repeats)
+    return leave_out(docs, stage(gone, "exact-copies"))

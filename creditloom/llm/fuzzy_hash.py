@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import text_of
+from creditloom.llm.common import byte_sums, span_hashes, text_of
 from creditloom.sources.staging import stage
 
 SPAN = 7
@@ -31,15 +31,9 @@ COMMON_RUN = 4
 """Signatures without a common run of so many letters (or the shorter one's) are unlike."""
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
-_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _ROLL = np.uint32(0x01000193)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * _MIX
-    return h ^ (h >> np.uint64(29))
-
-
 def fingerprint(text: str) -> str:
     """The fingerprint of a whole text, over its UTF-8 bytes."""
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
@@ -59,40 +53,23 @@ def fingerprint(text: str) -> str:
     while len(ends) >= LETTERS:
         block *= 2
         ends = ends[rolling[ends] % np.uint32(block) == block - 1]
-    # Hash of any chunk from one prefix sum: powers of an odd number can be divided out.
-    powers, inverse = _powers(size)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(data * powers[:size], dtype=np.uint64)])
-    signatures = [_letters(sums, ends, inverse)]
+    prefix = byte_sums(data)
+    signatures = [_letters(prefix, ends)]
     for times in (2, 4):
-        size = np.uint32(times * block)
-        ends = ends[rolling[ends] % size == size - 1]
-        signatures.append(_letters(sums, ends, inverse))
+        wider = np.uint32(times * block)
+        ends = ends[rolling[ends] % wider == wider - 1]
+        signatures.append(_letters(prefix, ends))
     return ":".join([str(block), *signatures])
 
 
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < size:
-        count = 1 << max(16, int(size).bit_length())
-        back = pow(int(_STEP), -1, 1 << 64)
-        _POWERS[:] = [
-            np.cumprod(np.concatenate([[1], np.full(count - 1, step, np.uint64)]), dtype=np.uint64)
-            for step in (int(_STEP), back)
-        ]
-    return _POWERS[0], _POWERS[1]
-
-
-def _letters(sums: np.ndarray, ends: np.ndarray, inverse: np.ndarray) -> str:
-    size = len(sums) - 1
+def _letters(prefix: tuple[np.ndarray, np.ndarray], ends: np.ndarray) -> str:
+    """A letter for each chunk; the last chunk reaches to the end of the text."""
+    size = len(prefix[0]) - 1
     stops = ends + 1
     if not len(stops) or stops[-1] != size:
         stops = np.append(stops, size)
-    starts = np.concatenate([[0], stops[:-1]])
-    chunk = (sums[stops] - sums[starts]) * inverse[starts]
-    chunk = _mixed(chunk + (stops - starts).astype(np.uint64) * _STEP)
-    return "".join([ALPHABET[i] for i in (chunk >> np.uint64(58)).tolist()])
+    chunks = span_hashes(prefix, np.concatenate([[0], stops[:-1]]), stops)
+    return "".join([ALPHABET[i] for i in (chunks >> np.uint64(58)).tolist()])
 
 
 def edit_distance(a: str, b: str) -> int:

@@ -11,6 +11,7 @@ from creditloom.llm import (
     exact_dedup,
     fuzzy_hash,
     html_text,
+    licenses,
     mixing,
     packing,
     toxicity,
@@ -67,6 +68,11 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text."""
     return fuzzy_hash.fingerprints(table(spark, sf_dir, "documents"))
@@ -86,7 +92,9 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row that stays for every document."""
-    return exact_dedup.dedup_exact(table(spark, sf_dir, "documents"))
+    return exact_dedup.dedup_exact(table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256"
+    )
 
 
 QUERIES = {
@@ -94,6 +102,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_toxicity": op3_toxicity,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_license_scans": op5_license_scans,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_source_mixing": op7_source_mixing,
     "op8_url_filters": op8_url_filters,
