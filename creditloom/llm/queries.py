@@ -13,6 +13,7 @@ from creditloom.llm import (
     html_text,
     licenses,
     mixing,
+    near_dup,
     packing,
     toxicity,
     url_rules,
@@ -90,6 +91,13 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies of every document."""
+    return near_dup.classify(table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "class_size", "kept"
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row that stays for every document."""
     return exact_dedup.dedup_exact(table(spark, sf_dir, "documents")).select(
@@ -106,6 +114,7 @@ QUERIES = {
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_source_mixing": op7_source_mixing,
     "op8_url_filters": op8_url_filters,
+    "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

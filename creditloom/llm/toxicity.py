@@ -18,11 +18,12 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import slices, text_of
+from creditloom.llm.common import text_of
 
 WINDOW = 12
 """Words that are averaged; windows overlap by half."""
@@ -35,6 +36,7 @@ SAMPLE_CHARS = 24_000_000
 WORD_CACHE = 300_000
 SHARPNESS = 8.0
 HELD_OUT = 5
+THRESHOLD = 0.5
 
 MIN_TEXTS = 6
 """N-grams of fewer texts of the sample get no weight."""
@@ -279,35 +281,33 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(np.frombuffer(made.weights, np.float32), made.bias, made.sharpness)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Add ``score`` (0 to 1) to ``doc_id``: the toxic class of each whole text.
+def score(text: Column, model: Model) -> Column:
+    """0 to 1: the toxic class of a whole text.
 
     A null or empty text has one empty window. The model is sent to the tasks once; its
     size is that of the table, whatever the data.
     """
     parts = (model.weights, model.bias, model.sharpness)
-    shared = docs.sparkSession.sparkContext.broadcast(parts)
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+    shared = SparkSession.active().sparkContext.broadcast(parts)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model, known = Model(*shared.value), {}
-        for batch in slices(batches, "text"):
-            split = [words_of(t) for t in batch["text"].to_pylist()]
+        for series in texts:
+            split = [words_of(t) for t in series]
             words = set().union(*split)
             if len(known) + len(words) > WORD_CACHE:
                 known.clear()
             new = list(words.difference(known))
-            known.update(zip(new, model.words(new).tolist()))
+            for start in range(0, len(new), 10_000):
+                part = new[start : start + 10_000]
+                known.update(zip(part, model.words(part).tolist()))
             scores = [
                 model.text(np.fromiter(map(known.__getitem__, own), float, len(own)))
                 for own in split
             ]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"].cast(pa.int64()), pa.array(scores, pa.float64())], schema=schema
-            )
+            yield pd.Series(scores, dtype="float64")
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double")
+    return F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)(text_of(text))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -316,9 +316,18 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Labels are read from the training folds only. One row per input row; repeated rows and
     null identifiers are scored like any other.
     """
-    return score(docs, fit(docs, labels)).select(
+    scored = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        score(F.col("text"), fit(docs, labels)).alias("score"),
+    )
+    return scored.select(
         "doc_id",
         (fold(F.col("doc_id")) == 0).alias("held_out"),
         "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not judged toxic, with all their columns."""
+    return docs.filter(score(F.col("text"), fit(docs, labels)) < THRESHOLD)
