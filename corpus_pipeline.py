@@ -1,38 +1,59 @@
 """A corpus pipeline: filter, deduplicate, balance and pack documents.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; it is written as
-Parquet and read again as the next stage's ``docs``.
+Parquet and read again as the next stage's ``docs``. All but the last return the columns of
+documents.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from creditloom.llm import exact_dedup, mixing
+from creditloom.llm import exact_dedup, mixing, near_dup, packing, toxicity
 from creditloom.sources.staging import stage
 
 
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents judged toxic go."""
+    return toxicity.clean_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact_dedup.keep_documents(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies stays."""
+    return near_dup.keep_documents(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources meet their target weights by whole and partial repetitions."""
     return mixing.mixed_documents(docs)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each token piece of each document lies in the training sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
+    ("toxicity", not_toxic),
     ("exact_dedup", exact),
+    ("near_dedup", near),
     ("mixing", mixture),
+    ("packing", packed),
 ]
 
+#: Training and sketches have no SQL form; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; every result is written before the next stage."""
+    """All stages over the documents; every result but the last is written before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, step in STAGES:
+    for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), f"stage-{name}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)
