@@ -83,16 +83,17 @@ def reconstruct(events: DataFrame) -> DataFrame:
     step = F.struct("seq", (F.col("kind") != "delta").cast("int").alias("_reset"), *order[2:])
     # Where the text of a turn starts: its last reset.
     start = F.max(F.when(F.col("kind").isin(*RESETS), step))
+    role = F.max_by("role", F.when(F.col("role").isNotNull(), step))
     turn = Window.partitionBy("conv_id", "turn")
     folded = (
         live.withColumn("_step", step)
         .withColumn("_start", start.over(turn))
+        .withColumn("_role", role.over(turn))
         .filter(F.col("_start").isNull() | (F.col("_step") >= F.col("_start")))
     )
     parts = F.sort_array(F.collect_list(F.struct("_step", "text")))
-    role = F.max_by("role", F.when(F.col("role").isNotNull(), F.col("_step")))
     return folded.groupBy("conv_id", "turn").agg(
-        role.alias("role"), F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text")
+        F.first("_role").alias("role"), F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text")
     )
 
 

@@ -278,6 +278,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         .mapInArrow(learn, "weights binary, bias double, sharpness double")
         .first()
     )
+    if made is None:  # nothing to learn from
+        return train([], [])
     return Model(np.frombuffer(made.weights, np.float32), made.bias, made.sharpness)
 
 
@@ -307,7 +309,7 @@ def score(text: Column, model: Model) -> Column:
             ]
             yield pd.Series(scores, dtype="float64")
 
-    return F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)(text_of(text))
+    return F.pandas_udf(run, "double")(text_of(text))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
