@@ -92,7 +92,7 @@ def meet(rows: DataFrame, facts: DataFrame, key: list[str], count: str, total: i
     found = rows.join(
         F.broadcast(hot.select(*key, F.struct(*keep).alias("_hot"))), key, "left"
     )
-    aside = F.when(F.col("_hot").isNotNull(), F.xxhash64(*rows.columns).bitwiseOR(F.lit(1)))
+    aside = F.when(F.col("_hot").isNotNull(), F.xxhash64(*rows.columns, F.spark_partition_id()).bitwiseOR(F.lit(1)))
     met = found.withColumn("_aside", F.coalesce(aside, F.lit(0).cast("long"))).join(
         rest.select(*key, F.struct(*keep).alias("_fact"), F.lit(0).cast("long").alias("_aside")),
         [*key, "_aside"],
