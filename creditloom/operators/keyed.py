@@ -3,8 +3,8 @@
 The rows are wide and may pile up on few keys; the facts are one thin row per key.
 Facts are aggregated first (partial aggregation keeps a hot key to one record per
 map task), staged, and counted. Few facts are broadcast, so the wide rows are not
-shuffled at all. With many facts the wide rows are shuffled by key, except those of
-the hottest keys, which meet a broadcast of at most ``hot_keys`` facts instead.
+shuffled at all. With many facts both sides meet in one shuffle, in which the rows of a
+hot key are dealt over several salts and its one fact is repeated for each of them.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from creditloom.sources.staging import stage
 
 ROWS = "_rows"
+HOT_SHARE = 10_000
+"""Hot keys hold 1 / HOT_SHARE of all rows each, so there are no more than that."""
 
 
 @dataclass(frozen=True)
@@ -31,9 +33,8 @@ class KeyedPolicy:
     broadcast_bytes: int = 64 << 20
     """... and up to this many bytes of key text."""
     hot_rows: int = 1_000_000
-    """A key with at least this many rows is hot."""
-    hot_keys: int = 2_000
-    """At most this many hot keys are broadcast; the others shuffle as usual."""
+    """A key with at least this many rows, and 1 / HOT_SHARE of all, is hot; a salt of it
+    gets about so many rows."""
 
 
 DEFAULT_POLICY = KeyedPolicy()
@@ -54,26 +55,25 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return key_facts(df, keys).filter(F.col(ROWS) > 1)
 
 
-def hottest(facts: DataFrame, keys: Sequence[str], policy: KeyedPolicy) -> DataFrame:
-    """The keys whose rows would overload a single task; at most ``hot_keys`` rows."""
-    return (
-        facts.filter(F.col(ROWS) >= policy.hot_rows)
-        .orderBy(F.col(ROWS).desc(), *keys)
-        .limit(policy.hot_keys)
-        .select(*keys)
-    )
+def hottest(
+    facts: DataFrame, rows: DataFrame, keys: Sequence[str], policy: KeyedPolicy
+) -> DataFrame | None:
+    """Staged keys whose rows would overload a single task, with a number of ``_salts``.
+
+    ``facts`` counts the rows per key. None when there are no such keys.
+    """
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    least = F.greatest(F.lit(policy.hot_rows), F.ceil(total / HOT_SHARE))
+    salts = F.ceil(F.col(ROWS) / least).cast("int") + 1
+    hot = stage(facts.filter(F.col(ROWS) >= least).select(*keys, salts.alias("_salts")), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], policy: KeyedPolicy = DEFAULT_POLICY
 ) -> DataFrame | None:
     """Staged hot keys of ``df``, or None when it has none."""
-    return _staged_hot(key_facts(df, keys), keys, policy)
-
-
-def _staged_hot(facts: DataFrame, keys: Sequence[str], policy: KeyedPolicy) -> DataFrame | None:
-    hot = stage(hottest(facts, keys, policy), "hot-keys")
-    return None if hot.isEmpty() else hot
+    return hottest(key_facts(df, keys), df, keys, policy)
 
 
 def join_one(
@@ -85,8 +85,9 @@ def join_one(
 ) -> DataFrame:
     """Join ``rows`` to ``facts`` (unique on ``keys``) without a hot shuffle partition.
 
-    ``hot`` lists the keys to serve by broadcast; since facts are unique per key the
-    broadcast side has no more rows than ``hot``. Rows lacking a key never travel to
+    ``hot`` lists the keys to deal over salts (see :func:`hottest`). The salt of a row
+    follows from its values and its task, so a task that is run again deals alike, and
+    copies of one row are spread as their tasks are. Rows lacking a key never travel to
     the partition of the null key.
     """
     if how not in ("left", "inner"):
@@ -97,12 +98,15 @@ def join_one(
         out = keyed.join(facts, keys, how)
     else:
         few = F.broadcast(hot)
-        hot_facts = facts.join(few, keys, "left_semi")
-        out = (
-            keyed.join(few, keys, "left_semi")
-            .join(F.broadcast(hot_facts), keys, how)
-            .unionByName(keyed.join(few, keys, "left_anti").join(facts, keys, how))
+        draw = F.pmod(F.xxhash64(*keyed.columns) + F.spark_partition_id(), F.col("_salts"))
+        dealt = keyed.join(few, keys, "left").select(
+            *keyed.columns, F.coalesce(draw, F.lit(0)).cast("int").alias("_salt")
+        )
+        each = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+        repeated = facts.join(few, keys, "left").select(
+            *facts.columns, F.explode(each).alias("_salt")
         )
+        out = dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
     if how == "left":
         out = out.unionByName(rows.filter(~has_key(keys)), allowMissingColumns=True)
     return out
@@ -135,7 +139,7 @@ def flag_rows(
     if fits_broadcast(facts, keys, policy):
         out = rows.join(F.broadcast(marks), keys, "left")
     else:
-        out = join_one(rows, marks, keys, "left", _staged_hot(facts, keys, policy))
+        out = join_one(rows, marks, keys, "left", hottest(facts, rows, keys, policy))
     return out.select(*rows.columns, F.coalesce(F.col(flag), F.lit(False)).alias(flag))
 
 

@@ -29,9 +29,9 @@ def sides(spark):
 def test_join_one(spark, sides, how, hot):
     left, right = sides
     plain = left.join(right, "k", how).select("k", "copy", "fact")
-    hot_df = spark.createDataFrame([(k,) for k in hot], "k bigint") if hot else None
-    got = keyed.join_one(left, right, ["k"], how, hot_df).select("k", "copy", "fact")
-    assert rows(got) == rows(plain)
+    hot_df = spark.createDataFrame([(k, 1 + k % 5) for k in hot], "k bigint, _salts int")
+    got = keyed.join_one(left, right, ["k"], how, hot_df if hot else None)
+    assert rows(got.select("k", "copy", "fact")) == rows(plain)
 
 
 def test_join_one_rejects_other_joins(sides):
@@ -41,12 +41,26 @@ def test_join_one_rejects_other_joins(sides):
 
 
 def test_hot_keys(spark, sides):
+    """Every key over the limit is dealt out, however many there are."""
     left, _ = sides
     assert keyed.hot_keys(left, ["k"], KeyedPolicy(hot_rows=1000)) is None
     hot = keyed.hot_keys(left, ["k"], KeyedPolicy(hot_rows=50))
-    assert [r.k for r in hot.collect()] == [7]
-    few = keyed.hot_keys(left, ["k"], KeyedPolicy(hot_rows=1, hot_keys=2))
-    assert few.count() == 2
+    assert [(r.k, r._salts) for r in hot.collect()] == [(7, 6)]
+    every = keyed.hot_keys(left, ["k"], KeyedPolicy(hot_rows=1))
+    assert every.count() == left.filter("k is not null").select("k").distinct().count()
+
+
+def test_hot_rows_are_dealt_over_tasks_and_joined_once(spark, sides):
+    left, right = sides
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hot = keyed.hot_keys(left, ["k"], KeyedPolicy(hot_rows=50))
+        joined = keyed.join_one(left, right, ["k"], "inner", hot)
+        plan = final_plan(joined)
+        assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 1
+        assert plan.count("Exchange hashpartitioning(k") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("check", [keyed.require_unique, keyed.require_unique_first])

@@ -5,12 +5,13 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_point
+from creditloom.plans.catalog import CATALOG
+from creditloom.plans.oracles import ORACLES
 from tests.compare import differences, oracle
 
 SF_DIR = "/root/testdata/sf0.001"
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES, SQL = CATALOG, ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert QUERIES.items() <= entry_point.queries().items()
+    assert SQL.items() <= entry_point.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

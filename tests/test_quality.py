@@ -22,7 +22,7 @@ POLICIES = {
     "broadcast": KeyedPolicy(),
     "too many bytes": KeyedPolicy(broadcast_bytes=0),
     "shuffle": KeyedPolicy(broadcast_rows=0),
-    "hot": KeyedPolicy(broadcast_rows=0, hot_rows=2, hot_keys=1),
+    "hot": KeyedPolicy(broadcast_rows=0, hot_rows=2),
     "all hot": KeyedPolicy(broadcast_rows=0, hot_rows=1),
 }
 
