@@ -8,8 +8,10 @@ pairs are verified by aligning their shingles: what two texts share in the same
 all that either has, must reach ``SIMILAR``. Links join rows to classes.
 
 A group of copies is a star and not a clique: rows of equal words are one node, and nodes
-meet a chosen one per sketch, and one per pair of sketches. Nodes that this leaves apart from
-others of their pair of sketches meet again, until each has met one of its own class.
+meet a chosen one per sketch, and one per pair of sketches. That joins most of what is alike.
+Few sketches are then left that nodes of several classes share. Up to ``FEW`` nodes that
+share one all meet; where more do, a further sketch divides them and they meet a chosen one
+again.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ SIMILAR = 0.8
 SKETCHES = 16
 TAKEN = 3
 SEED = 29
+FEW = 64
 PARTNERS = 512
 """Partners of one node that a task meets together; more are spread by a salt."""
 
@@ -201,7 +204,7 @@ def _buckets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     each = nodes.filter(F.size("sketches") > 0).select(
         "node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(SKETCHES - 1)), pair)).alias("s")
     )
-    one = each.select("node", F.xxhash64("s.i", "s.this").alias("bucket"))
+    one = each.select("node", F.xxhash64("s.i", "s.this").alias("bucket"), "s.i")
     two = each.select("node", F.xxhash64("s.i", "s.this", "s.next").alias("bucket"))
     return one, two
 
@@ -363,31 +366,85 @@ def classify(docs: DataFrame, policy: KeyedPolicy | None = None) -> DataFrame:
     texts = candidate_texts(docs, named, policy)
     links = _linked(pairs, texts)
     classes = components(links)
-    # Nodes that share two sketches with one of another class meet again without it.
-    apart = _apart(stage(two.join(met, "node", "left_semi"), "pairs-of-sketches"), classes)
-    while not apart.isEmpty():
-        again = _pairs(apart).select("node", "other").filter("node != other").distinct()
-        again = stage(again.join(pairs, ["node", "other"], "left_anti"), "again")
+    mixed = _mixed(stage(one.join(met, "node", "left_semi"), "met-buckets"), classes)
+    depth = 1
+    while not mixed.isEmpty():
+        few, many = _by_size(mixed)
+        again = _all_of_few(few)
+        if not many.isEmpty():
+            if depth < SKETCHES:
+                many, depth = _divided(many, nodes, depth), depth + 1
+            else:
+                many = _without_chosen(many)
+            again = again.unionByName(_pairs(many).select("node", "other"))
+        again = stage(
+            again.filter("node != other")
+            .distinct()
+            .join(pairs, ["node", "other"], "left_anti")
+            .join(pairs.toDF("other", "node"), ["node", "other"], "left_anti"),
+            "again",
+        )
         pairs = stage(pairs.unionByName(again), "candidates")
         more = _linked(again, texts)
         if not more.isEmpty():
             links = stage(links.unionByName(more), "links")
             classes = components(links)
-        apart = _apart(apart, classes)
+        mixed = _mixed(many, classes)
     return _judged(rows, nodes, classes)
 
 
-def _apart(bucket_rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of buckets that are not in the class of their bucket's chosen node; staged.
+def _mixed(bucket_rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """All rows of the buckets in which several classes are left, with ``class``; staged."""
+    rows = bucket_rows.select("node", "bucket", "i")
+    known = rows.join(classes, "node", "left").select(
+        "node", "bucket", "i", F.coalesce("class", "node").alias("class")
+    )
+    known = stage(known, "bucket-classes")
+    several = stage(
+        known.groupBy("bucket")
+        .agg(
+            (F.min("class") != F.max("class")).alias("several"), F.count(F.lit(1)).alias("nodes")
+        )
+        .filter("several"),
+        "mixed-buckets",
+    )
+    met = meet(known, several, ["bucket"], "nodes", known.count())
+    return stage(met.filter("several").drop("several"), "mixed")
+
+
+def _by_size(mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the buckets of up to FEW rows, and of the larger ones."""
+    return mixed.filter(F.col("nodes") <= FEW), mixed.filter(F.col("nodes") > FEW)
+
 
-    Every bucket loses its chosen node at least, so taking this again and again ends.
+def _all_of_few(few: DataFrame) -> DataFrame:
+    """The pairs of different classes in buckets of up to FEW rows: as many per row at most."""
+    a = few.select("bucket", "node", "class")
+    b = few.select("bucket", F.col("node").alias("other"), F.col("class").alias("its"))
+    return a.join(b, "bucket").filter("node > other and class != its").select("node", "other")
+
+
+def _without_chosen(many: DataFrame) -> DataFrame:
+    """The rows that are not in the class of their bucket's chosen node.
+
+    For nodes of several classes that share all sketches: every bucket loses a class, so
+    this ends, whatever their number.
     """
-    met = _pairs(bucket_rows)
-    own = classes.withColumnRenamed("class", "own")
-    its = classes.select(F.col("node").alias("other"), F.col("class").alias("its"))
-    known = met.join(own, "node", "left").join(its, "other", "left")
-    different = F.coalesce("own", "node") != F.coalesce("its", "other")
-    return stage(known.filter(different).select("node", "bucket"), "apart")
+    rows = many.drop("nodes")
+    its = rows.select(F.col("node").alias("other"), "bucket", F.col("class").alias("its"))
+    met = _pairs(rows).join(its, ["bucket", "other"])
+    return stage(met.filter("class != its").select("node", "bucket", "i"), "without-chosen")
+
+
+def _divided(many: DataFrame, nodes: DataFrame, depth: int) -> DataFrame:
+    """The rows with their buckets divided by the sketch that follows the ones they share."""
+    following = F.get("sketches", (F.col("i") + depth) % SKETCHES)
+    return stage(
+        many.join(nodes.select("node", "sketches"), "node").select(
+            "node", F.xxhash64("bucket", following).alias("bucket"), "i"
+        ),
+        "divided",
+    )
 
 
 def _judged(rows: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
