@@ -31,7 +31,7 @@ def ascii_lower(column: Column) -> Column:
 
 
 def slices(
-    batches: Iterable[pa.RecordBatch], column: str, limit: int = 2 << 20
+    batches: Iterable[pa.RecordBatch], column: str, limit: int = 1 << 20
 ) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose texts have about ``limit`` bytes at most.
 

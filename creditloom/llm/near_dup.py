@@ -10,8 +10,8 @@ all that either has, must reach ``SIMILAR``. Links join rows to classes.
 A group of copies is a star and not a clique: rows of equal words are one node, and nodes
 meet a chosen one per sketch, and one per pair of sketches. That joins most of what is alike.
 Few sketches are then left that nodes of several classes share. Up to ``FEW`` nodes that
-share one all meet; where more do, a further sketch divides them and they meet a chosen one
-again.
+share one all meet; where more do, each meets some of the others at random, and a further
+sketch divides those that are still of several classes.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ SKETCHES = 16
 TAKEN = 3
 SEED = 29
 FEW = 64
+MEETING = 6
+"""Nodes that meet at random, about, of those that share a sketch with more than FEW."""
 PARTNERS = 512
 """Partners of one node that a task meets together; more are spread by a salt."""
 
@@ -370,13 +372,13 @@ def classify(docs: DataFrame, policy: KeyedPolicy | None = None) -> DataFrame:
     depth = 1
     while not mixed.isEmpty():
         few, many = _by_size(mixed)
-        again = _all_of_few(few)
+        again = _all_of(few.unionByName(_at_random(many, depth)))
         if not many.isEmpty():
             if depth < SKETCHES:
                 many, depth = _divided(many, nodes, depth), depth + 1
             else:
                 many = _without_chosen(many)
-            again = again.unionByName(_pairs(many).select("node", "other"))
+                again = again.unionByName(_pairs(many).select("node", "other"))
         again = stage(
             again.filter("node != other")
             .distinct()
@@ -386,9 +388,10 @@ def classify(docs: DataFrame, policy: KeyedPolicy | None = None) -> DataFrame:
         )
         pairs = stage(pairs.unionByName(again), "candidates")
         more = _linked(again, texts)
-        if not more.isEmpty():
-            links = stage(links.unionByName(more), "links")
-            classes = components(links)
+        if more.isEmpty():  # what shares more and more sketches is still unlike
+            break
+        links = stage(links.unionByName(more), "links")
+        classes = components(links)
         mixed = _mixed(many, classes)
     return _judged(rows, nodes, classes)
 
@@ -417,10 +420,16 @@ def _by_size(mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return mixed.filter(F.col("nodes") <= FEW), mixed.filter(F.col("nodes") > FEW)
 
 
-def _all_of_few(few: DataFrame) -> DataFrame:
-    """The pairs of different classes in buckets of up to FEW rows: as many per row at most."""
-    a = few.select("bucket", "node", "class")
-    b = few.select("bucket", F.col("node").alias("other"), F.col("class").alias("its"))
+def _at_random(many: DataFrame, turn: int) -> DataFrame:
+    """The rows dealt into meetings of about MEETING rows of a bucket, others in each turn."""
+    salt = F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("nodes") / MEETING))
+    return many.withColumn("bucket", F.xxhash64("bucket", salt, F.lit(turn)))
+
+
+def _all_of(small: DataFrame) -> DataFrame:
+    """The pairs of different classes in buckets that hold up to about FEW rows each."""
+    a = small.select("bucket", "node", "class")
+    b = small.select("bucket", F.col("node").alias("other"), F.col("class").alias("its"))
     return a.join(b, "bucket").filter("node > other and class != its").select("node", "other")
 
 
