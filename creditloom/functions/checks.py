@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,7 +38,8 @@ def length_differs(column: str, exact_len: int) -> Column:
 
 
 def not_allowed(column: str, allowed_values: Sequence[object] = ()) -> Column:
-    """With no allowed values, every value that is present fails."""
+    """With no allowed values, every value that is present fails; with a null among them
+    none does, as ``not in`` has it in SQL."""
     c = F.col(column)
     if not allowed_values:
         return c.isNotNull()
@@ -54,7 +54,8 @@ def sum_differs(
 ) -> Column:
     """Value is not the sum of other columns; a null operand never fails.
 
-    ``read_as`` names the numeric type to read text columns with.
+    ``read_as`` names the numeric type to read text columns with. Text that is no such
+    number, and a sum past the type, count as null: other checks report them.
     """
     if not dependent_columns:
         raise ValueError("a calculation check needs dependent_columns")
@@ -62,10 +63,12 @@ def sum_differs(
     def number(name: str) -> Column:
         return F.col(name) if read_as is None else F.col(name).try_cast(read_as)
 
-    total = reduce(add, [number(d) for d in dependent_columns])
+    total = reduce(F.try_add, [number(d) for d in dependent_columns])
+    if read_as is not None:
+        total = total.try_cast(read_as)
     if tolerance is None:
         return number(column) != total
-    return F.abs(number(column) - total) > F.lit(tolerance)
+    return F.abs(F.try_subtract(number(column), total)) > F.lit(tolerance)
 
 
 def not_month_year(column: str) -> Column:
@@ -73,6 +76,16 @@ def not_month_year(column: str) -> Column:
     return c.isNotNull() & text.month_year(c).isNull()
 
 
+def not_storable(column: str, type: str, numbers_only: bool = False) -> Column:
+    """The value is present, but null once it is read as the type.
+
+    ``numbers_only`` leaves text that is no number to the check for numbers.
+    """
+    c = F.col(column)
+    lost = c.isNotNull() & c.try_cast(type).isNull()
+    return lost & c.try_cast("float").isNotNull() if numbers_only else lost
+
+
 def missing(column: str) -> Column:
     return F.col(column).isNull()
 
@@ -93,6 +106,7 @@ LABELS = {
     "calculation_check": "Calculation check",
     "string_check": "String check",
     "null_check": "Null check",
+    "storable_check": "Storable",
 }
 
 ROW_CHECKS: dict[str, Callable[..., Column]] = {
@@ -105,4 +119,5 @@ ROW_CHECKS: dict[str, Callable[..., Column]] = {
     "calculation_check": sum_differs,
     "string_check": not_month_year,
     "null_check": missing,
+    "storable_check": not_storable,
 }

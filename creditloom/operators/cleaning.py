@@ -48,12 +48,13 @@ def to_vocabulary(
 
 
 def with_total(df: DataFrame, target: str, parts: Sequence[str]) -> DataFrame:
-    """Sum of columns, null when one is null; keeps the type of an existing target."""
+    """Sum of columns, null when one is null or the sum fits no number; keeps the type of an
+    existing target."""
     total = F.col(parts[0])
     for part in parts[1:]:
-        total = total + F.col(part)
+        total = F.try_add(total, F.col(part))
     if target in df.columns:
-        total = total.cast(df.schema[target].dataType)
+        total = total.try_cast(df.schema[target].dataType)
     return df.withColumn(target, total)
 
 

@@ -201,6 +201,23 @@ def changes(
     )
 
 
+def opened_and_closed(
+    written: DataFrame, keys: Sequence[str] | str, as_of: str | datetime | Column
+) -> DataFrame:
+    """The versions that a batch opened and closed, with ``change_type``, from what it wrote.
+
+    Only changed records are joined: those that were closed tell updates from inserts.
+    """
+    keys = _key_list(keys)
+    closed = written.filter(~F.col("is_current")).withColumn(
+        "change_type", F.when(F.col("is_deleted_in_source"), DELETE).otherwise(UPDATE)
+    )
+    updated = closed.filter(F.col("change_type") == UPDATE).select(*keys, "change_type")
+    opened = written.filter(F.col("is_current") & (F.col("valid_from") == timestamp(as_of)))
+    opened = opened.join(updated, keys, "left").fillna({"change_type": INSERT})
+    return closed.unionByName(opened)
+
+
 def advance(
     current: DataFrame,
     incoming: DataFrame,

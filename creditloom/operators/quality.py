@@ -27,8 +27,7 @@ from creditloom.operators.keyed import (
 
 DETAIL_COLUMNS = ("rule_id", "check_type", "check_description", "failed_column")
 FAILS = "_fails"
-TEXT_NUMBER = "decimal(38,6)"
-LONG_LIST = 500
+TEXT_NUMBER = "decimal(38,18)"
 
 
 @dataclass(frozen=True)
@@ -156,7 +155,7 @@ def _check(
     if nested:
         raise ValueError(f"map columns cannot be compared for distinct rows: {nested}")
     usable, _ = applicable(df, rules, strict)
-    out, predicates = _row_predicates(df, usable)
+    out, predicates = _row_predicates(df, usable, policy)
     flags = {}
     for n, (rule, column) in enumerate(usable):
         if rule.check_type != DUPLICATE:
@@ -170,26 +169,25 @@ def _check(
 
 
 def _row_predicates(
-    df: DataFrame, usable: list[tuple[Rule, str]]
+    df: DataFrame, usable: list[tuple[Rule, str]], policy: KeyedPolicy = DEFAULT_POLICY
 ) -> tuple[DataFrame, dict[int, Column]]:
     """Predicates of the row checks by position, and the table they apply to.
 
-    A long list of allowed values becomes a broadcast table instead of an expression;
-    it comes from the rule, so it does not grow with the data.
+    Allowed values come as a list, which is one expression whatever its length, or as a
+    table of one column, which may be large. The table is read as the checked column's type
+    and met by key; as with a list, a null in it means that nothing fails.
     """
     out, predicates = df, {}
     for n, (rule, column) in enumerate(usable):
         values = rule.params.get("allowed_values", ())
         if rule.check_type == DUPLICATE:
             continue
-        if rule.check_type == ALLOWED and len(values) > LONG_LIST:
-            flag, kind = f"_known_{n}", T.StructType([df.schema[column]])
-            known = df.sparkSession.createDataFrame(
-                [(v,) for v in set(values) if v is not None], kind
-            ).withColumn(flag, F.lit(True))
-            kept = out.columns
-            out = out.join(F.broadcast(known), column, "left").select(*kept, flag)
-            predicates[n] = F.col(column).isNotNull() & F.col(flag).isNull()
+        if rule.check_type == ALLOWED and isinstance(values, DataFrame):
+            flag, kind = f"_known_{n}", df.schema[column].dataType
+            listed = values.select(F.col(values.columns[0]).try_cast(kind).alias(column))
+            out = flag_rows(out, key_facts(listed, [column]), [column], flag, policy)
+            nulls = values.agg(F.count_if(F.col(values.columns[0]).isNull())).scalar()
+            predicates[n] = F.col(column).isNotNull() & ~F.col(flag) & (nulls == 0)
         else:
             predicates[n] = rule.predicate(column, df.schema)
     return out, predicates
@@ -211,11 +209,10 @@ def _bad(checked: _Checked) -> DataFrame:
 
 
 def _details(checked: _Checked) -> DataFrame:
-    return (
-        checked.df.filter(checked.failed)
-        .select(*checked.columns, F.inline(checked.fails))
-        .dropDuplicates()
-    )
+    # Equal rows fail alike, so each distinct row travels once, whatever it fails.
+    bad = checked.df.filter(checked.failed).select(*checked.columns, checked.fails.alias(FAILS))
+    distinct = bad.dropDuplicates(checked.columns)
+    return distinct.select(*checked.columns, F.inline(F.array_distinct(FAILS)))
 
 
 def failed_rows(
@@ -251,10 +248,15 @@ class DqResult:
     """Outcome of :func:`split`; each part is planned when first asked for."""
 
     def __init__(
-        self, df: DataFrame, rules: list[Rule], checked: _Checked, clean: DataFrame
+        self,
+        df: DataFrame,
+        rules: list[Rule],
+        checked: _Checked,
+        clean: DataFrame,
+        judged: tuple[DataFrame, Column] | None,
     ) -> None:
         self._df, self._rules, self._checked = df, rules, checked
-        self.clean = clean
+        self.clean, self._judged = clean, judged
 
     @cached_property
     def bad(self) -> DataFrame:
@@ -270,7 +272,16 @@ class DqResult:
 
     @cached_property
     def audit(self) -> DataFrame:
-        return audit(self._df, self.clean, self.bad)
+        if self._judged is None:
+            return audit(self._df, self.clean, self.bad)
+        # One pass: bad rows are told apart in the same aggregation, after a partial one.
+        rows, keep = self._judged
+        bad = F.when(self._checked.failed, F.struct(*self._checked.columns))
+        return rows.agg(
+            F.count(F.lit(1)).alias("raw_rows"),
+            F.count_if(keep).alias("clean_rows"),
+            F.count_distinct(bad).alias("bad_rows"),
+        )
 
     @cached_property
     def skipped(self) -> list[tuple[str, str]]:
@@ -297,18 +308,19 @@ def split(
     """
     rules = list(rules)
     checked = _check(df, rules, strict, policy)
-    if keys:
-        clean = _clean_by_key(checked, list(keys), compat, policy)
-    elif compat:
-        clean = _clean_minus_one_copy(checked)
-    else:
-        clean = checked.df.filter(~checked.failed).select(*checked.columns)
-    return DqResult(df, rules, checked, clean)
+    if compat and not keys:
+        return DqResult(df, rules, checked, _clean_minus_one_copy(checked), None)
+    judged = _judged_by_key(checked, list(keys), compat, policy) if keys else (
+        checked.df, ~checked.failed
+    )
+    rows, keep = judged
+    return DqResult(df, rules, checked, rows.filter(keep).select(*checked.columns), judged)
 
 
-def _clean_by_key(
+def _judged_by_key(
     checked: _Checked, keys: list[str], compat: bool, policy: KeyedPolicy
-) -> DataFrame:
+) -> tuple[DataFrame, Column]:
+    """The checked rows, and which of them stay."""
     failed = checked.failed
     rows = checked.df
     # When the key itself is under a duplicate check, every row of a shared key is bad
@@ -324,7 +336,7 @@ def _clean_by_key(
     keep = ~failed
     if compat:
         keep = keep | ~has_key(keys)
-    return rows.filter(keep).select(*checked.columns)
+    return rows, keep
 
 
 COPIES_PER_TASK = 100_000

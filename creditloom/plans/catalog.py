@@ -48,9 +48,9 @@ def portable(df: DataFrame) -> DataFrame:
 
 
 def _score(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
-    loans = derived.loans if grain == "loan" else derived.first_loans
+    loans = derived.loans if grain == "loan" else derived.member_loans
     return scoring.score(
-        derived.loan_repayment(spark, sf_dir),
+        derived.loan_repayment(spark, sf_dir, grain == "member"),
         loans(spark, sf_dir),
         derived.members(spark, sf_dir),
         cleaning.credit_counts(derived.loan_defaulters(spark, sf_dir)),
@@ -60,10 +60,10 @@ def _score(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
 
 
 def _points(spark: SparkSession, sf_dir: str, grain: str = "member") -> DataFrame:
-    loans = derived.loans if grain == "loan" else derived.first_loans
+    loans = derived.loans if grain == "loan" else derived.member_loans
     late, records = cleaning.split_defaulters(derived.loan_defaulters(spark, sf_dir))
     return scoring.all_points(
-        derived.loan_repayment(spark, sf_dir),
+        derived.loan_repayment(spark, sf_dir, grain == "member"),
         loans(spark, sf_dir),
         derived.members(spark, sf_dir),
         records,
@@ -221,6 +221,26 @@ def dq_allowed_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.failed_rows(orders, check)
 
 
+@query
+def dq_allowed_values_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Allowed values that are the keys of another table."""
+    known = derived.table(spark, sf_dir, "customer").filter("c_custkey % 7 <> 0").select("c_custkey")
+    orders = derived.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    check = Rule(
+        "V", "allowed_values_check", ("o_custkey",), params={"allowed_values": known}
+    )
+    return quality.failed_rows(orders, check)
+
+
+@query
+def dq_calculation_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums over raw text: exact to the last digit, and no amount stops the check."""
+    repaid = derived.text_repayment(spark, sf_dir)
+    return quality.failed_rows(repaid, rules.rule("R8")).select(
+        "id", "total_principal_received", "total_interest_received", "total_payment"
+    )
+
+
 @query
 def dq_calculation(spark: SparkSession, sf_dir: str) -> DataFrame:
     repaid = derived.balanced_repayment(spark, sf_dir)
@@ -630,25 +650,52 @@ def csv_corrupt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "json")
     events = derived.table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", "value", "props"
+        "event_id", "ts", "user_id", "event_type", "value", "props"
     )
     tables.write_table(events, "jsonl", path)
-    return tables.read_table(
-        spark, "jsonl", path, events.schema, tables.read_options("jsonl")
+    return portable(
+        tables.read_table(spark, "jsonl", path, events.schema, tables.read_options("jsonl"))
     )
 
 
 @query
-def parquet_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written by partition, read back with one partition's filter pruned to its folder."""
+def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON documents that span lines, read by the multi-line preset."""
+    path = stage_path(spark, "json")
+    events = derived.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    shown = F.to_json(F.struct("*"), {"pretty": "true"}).alias("value")
+    # A file is one array of documents; each task reads one.
+    files = events.groupBy(F.pmod(F.xxhash64("event_id"), F.lit(64)).alias("file")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(shown), ",\n"), F.lit("]")).alias("value")
+    )
+    files.repartition(64, "file").select("value").write.text(path)
+    read = tables.read_table(
+        spark, "json", path, events.schema, tables.read_options("json")
+    )
+    return read.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.count_distinct("user_id").alias("users")
+    )
+
+
+def _partitioned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "parquet")
     orders = derived.table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"
     )
     tables.write_table(orders, "parquet", path, partition_by=["o_orderstatus"])
-    return tables.read_table(
-        spark, "parquet", path, options=tables.read_options("parquet")
-    ).filter(F.col("o_orderstatus") == "F")
+    return tables.read_table(spark, "parquet", path, options=tables.read_options("parquet"))
+
+
+@query
+def parquet_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written by partition and read back from all folders."""
+    return _partitioned_orders(spark, sf_dir)
+
+
+@query
+def parquet_one_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filter on the partition reads its folder alone."""
+    return _partitioned_orders(spark, sf_dir).filter(F.col("o_orderstatus") == "F")
 
 
 @query
@@ -675,8 +722,8 @@ def job_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = stage_path(spark, "batch")
     arriving = {
         "members": derived.members(spark, sf_dir),
-        "loans": derived.first_loans(spark, sf_dir),
-        "loan_repayment": derived.balanced_repayment(spark, sf_dir),
+        "loans": derived.member_loans(spark, sf_dir),
+        "loan_repayment": derived.balanced_repayment(spark, sf_dir, per_member=True),
         "loan_defaulters": derived.messy_defaulters(spark, sf_dir),
     }
     raw = {}
@@ -700,10 +747,40 @@ def job_members_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def job_loans_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def job_unstorable_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts that pass as numbers but fit no money column are rejected, never nulled."""
+    root = stage_path(spark, "repayment")
+    jobs.ingest("loan_repayment", derived.text_repayment(spark, sf_dir), root, 0, DAYS[0])
+    rejects = jobs.read_rejects(spark, root, "loan_repayment", 0)
+    return rejects.filter("rule_id = 'K3'").select("id", "total_payment", "failed_column")
+
+
+@query
+def rejects_when_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of a batch of good members, and how many became current."""
+    root = stage_path(spark, "members")
+    members = quality.split(
+        derived.members(spark, sf_dir), jobs.table_rules("members"), ["member_id"]
+    ).clean
+    now = jobs.ingest("members", members, root, 0, DAYS[0])
+    rejects = jobs.read_rejects(spark, root, "members", 0)
+    return now.agg(F.count(F.lit(1)).alias("members")).withColumn(
+        "rejects", rejects.agg(F.count(F.lit(1))).scalar()
+    )
+
+
+@query
+def job_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts that the job stores for each batch."""
+    root = stage_path(spark, "members")
+    jobs.ingest("members", derived.members(spark, sf_dir), root, 0, DAYS[0])
+    return tables.read_table(spark, "parquet", jobs.audit_path(root, "members", 0))
+
+
+def _two_batches(spark: SparkSession, sf_dir: str) -> str:
     """Loans in two batches from CSV; loans without a line item leave in the second."""
     root = stage_path(spark, "loans")
-    first = derived.first_loans(spark, sf_dir)
+    first = derived.member_loans(spark, sf_dir)
     shipped = derived.table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("id")
     )
@@ -715,6 +792,12 @@ def job_loans_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = stage_path(spark, "loans-raw")
         tables.write_table(loans, "csv", path)
         jobs.ingest("loans", jobs.read_raw(spark, "csv", path), root, batch, DAYS[batch])
+    return root
+
+
+@query
+def job_loans_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _two_batches(spark, sf_dir)
     past = history_store.read_history(spark, jobs.history_path(root, "loans"), 1)
     return portable(
         past.select(
@@ -722,3 +805,11 @@ def job_loans_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
             "is_current", "is_deleted_in_source",
         )
     )
+
+
+@query
+def job_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second batch changed, as the job stores it."""
+    root = _two_batches(spark, sf_dir)
+    changes = tables.read_table(spark, "parquet", jobs.changes_path(root, "loans", 1))
+    return changes.select("id", "loan_status", "change_type", "is_current")

@@ -102,17 +102,28 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loans(table(spark, sf_dir, "orders"))
 
 
-def first_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The loan with the lowest key of each member."""
-    orders = table(spark, sf_dir, "orders")
-    first = orders.groupBy("o_custkey").agg({"o_orderkey": "min"}).selectExpr(
-        "`min(o_orderkey)` as o_orderkey"
+def _member_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of a member as one: the lowest key, the sum of the prices."""
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy("o_custkey")
+        .agg(
+            F.min("o_orderkey").alias("o_orderkey"),
+            F.expr(f"sum({_cents('o_totalprice')}) / 100D").alias("o_totalprice"),
+            F.max("o_orderstatus").alias("o_orderstatus"),
+            F.max("o_orderdate").alias("o_orderdate"),
+            F.min("o_orderpriority").alias("o_orderpriority"),
+        )
     )
-    return _loans(orders.join(first, "o_orderkey", "left_semi"))
 
 
-def _by_order(spark: SparkSession, sf_dir: str, *totals: str) -> DataFrame:
-    """Totals over the line items of each order."""
+def member_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One loan per member, made of all their orders."""
+    return _loans(_member_orders(spark, sf_dir))
+
+
+def _by_order(spark: SparkSession, sf_dir: str, *totals: str, by: str = "o_orderkey") -> DataFrame:
+    """Totals over the line items of each order, or of all orders ``by`` another column."""
     lines = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey as o_orderkey",
         f"{_cents('l_extendedprice')} as cents",
@@ -122,11 +133,15 @@ def _by_order(spark: SparkSession, sf_dir: str, *totals: str) -> DataFrame:
         "l_linenumber",
         "l_quantity",
     )
-    return lines.groupBy("o_orderkey").agg(*[F.expr(total) for total in totals])
+    if by != "o_orderkey":
+        lines = lines.join(table(spark, sf_dir, "orders").select("o_orderkey", by), "o_orderkey")
+    return lines.groupBy(by).agg(*[F.expr(total) for total in totals])
 
 
-def loan_repayment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items of an order as payments on its loan."""
+def loan_repayment(spark: SparkSession, sf_dir: str, per_member: bool = False) -> DataFrame:
+    """Line items of an order as payments on its loan, or on its member's only loan."""
+    orders = _member_orders(spark, sf_dir) if per_member else table(spark, sf_dir, "orders")
+    key = "o_custkey" if per_member else "o_orderkey"
     month = "date_format(o_orderdate, 'MMM-yyyy')"
     totals = _by_order(
         spark,
@@ -136,8 +151,9 @@ def loan_repayment(spark: SparkSession, sf_dir: str) -> DataFrame:
         "count_if(returned) as returned",
         "sum(cents) as total",
         "max(cents) as largest",
+        by=key,
     )
-    return table(spark, sf_dir, "orders").join(totals, "o_orderkey").selectExpr(
+    return orders.join(totals, key).selectExpr(
         "cast(o_orderkey as string) as id",
         f"{_money('discounted div 100')} as total_principal_received",
         f"{_money('taxed div 100')} as total_interest_received",
@@ -150,10 +166,12 @@ def loan_repayment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def balanced_repayment(spark: SparkSession, sf_dir: str) -> DataFrame:
+def balanced_repayment(
+    spark: SparkSession, sf_dir: str, per_member: bool = False
+) -> DataFrame:
     """Repayments whose parts sum to the total, except for every third loan."""
     off = "if(cast(id as bigint) % 3 = 0, 1, 0)"
-    return loan_repayment(spark, sf_dir).selectExpr(
+    return loan_repayment(spark, sf_dir, per_member).selectExpr(
         "id",
         f"""cast(total_payment - total_late_fee_received - {off} as {MONEY})
             as total_principal_received""",
@@ -223,3 +241,19 @@ def snapshot(spark: SparkSession, sf_dir: str, day: int) -> DataFrame:
         "c_custkey + 1000000 as c_custkey", *columns, "c_mktsegment"
     )
     return kept.unionByName(new)
+
+
+def text_repayment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repayments as raw text, some with amounts that no money column can hold."""
+    odd = """case when cast(id as bigint) % 11 = 0 then 'NaN'
+                  when cast(id as bigint) % 13 = 0 then '1e30'
+                  when cast(id as bigint) % 17 = 0 then '12345678901234567890'
+                  when cast(id as bigint) % 19 = 0 then '12345678901234567890123456789012'
+                  else cast(total_payment as string) end as total_payment"""
+    tiny = """if(cast(id as bigint) % 7 = 0, '0.0000004', cast(total_interest_received as string))
+              as total_interest_received"""
+    changed = {"total_payment": odd, "total_interest_received": tiny}
+    balanced = balanced_repayment(spark, sf_dir)
+    return balanced.selectExpr(
+        *[changed.get(c, f"cast({c} as string) as {c}") for c in balanced.columns]
+    )

@@ -12,17 +12,25 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from creditloom.functions.checks import DUPLICATE
 from creditloom.operators import cleaning, history, quality, scoring
 from creditloom.operators.keyed import DEFAULT_POLICY, KeyedPolicy
 from creditloom.plans import rules
-from creditloom.sources.history_store import history_schema, publish, read_current
-from creditloom.sources.staging import stage
+from creditloom.sources.history_store import (
+    history_schema,
+    last_batch,
+    publish,
+    read_batch,
+    read_current,
+)
+from creditloom.sources.staging import scope, stage
 from creditloom.sources.tables import (
     PRESETS,
     SCHEMAS,
+    as_schema,
     cast_by_name,
     read_options,
     read_table,
@@ -83,6 +91,31 @@ def rejects_path(root: str, name: str, batch: int) -> str:
     return f"{root}/rejects/{name}/batch={batch}"
 
 
+def audit_path(root: str, name: str, batch: int) -> str:
+    return f"{root}/audit/{name}/batch={batch}"
+
+
+def metrics_path(root: str, name: str, batch: int) -> str:
+    return f"{root}/metrics/{name}/batch={batch}"
+
+
+def changes_path(root: str, name: str, batch: int) -> str:
+    return f"{root}/changes/{name}/batch={batch}"
+
+
+def read_rejects(spark: SparkSession, root: str, name: str, batch: int) -> DataFrame:
+    """The rejects of a batch; a batch without any gives an empty table."""
+    path = rejects_path(root, name, batch)
+    try:
+        return read_table(spark, "parquet", path)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+    columns = [f.name for f in as_schema(SCHEMAS[name]).fields]
+    columns += [c for c in quality.DETAIL_COLUMNS if c != "rule_id"] + ["rule_id"]
+    return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+
+
 def processed_path(root: str, name: str, batch: int) -> str:
     return f"{root}/processed/{name}/batch={batch}"
 
@@ -92,15 +125,32 @@ def curated_path(root: str, batch: int) -> str:
 
 
 def table_rules(name: str) -> list[quality.Rule]:
-    """The shipped rules of a table, and those its key needs to have a history."""
+    """The shipped rules of a table, those its key needs to have a history, and one that
+    rejects what its columns cannot hold, so that no cast makes a value null."""
     job = TABLES[name]
     shipped = rules.BY_TABLE[job.rules_of]
     unique = {c for r in shipped if r.check_type == DUPLICATE for c in r.columns}
     repeats = tuple(k for k in job.keys if k not in unique)
+    numbers = {c for r in shipped if r.check_type == "float_check" for c in r.columns}
+    columns: dict[tuple[str, bool], list[str]] = {}
+    for column in as_schema(SCHEMAS[name]).fields:
+        kind = column.dataType.simpleString()
+        if kind != "string":
+            columns.setdefault((kind, column.name in numbers), []).append(column.name)
     return [
         *shipped,
         quality.Rule("K1", "null_check", job.keys, "Key should not be null"),
         quality.Rule("K2", DUPLICATE, repeats, "Key should occur once"),
+        *[
+            quality.Rule(
+                "K3",
+                "storable_check",
+                tuple(held),
+                f"Value should fit {kind}",
+                params={"type": kind, "numbers_only": checked},
+            )
+            for (kind, checked), held in columns.items()
+        ],
     ]
 
 
@@ -114,34 +164,46 @@ def ingest(
     partial: bool = False,
     policy: KeyedPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """Check a snapshot, write its rejects and bring the history up to date.
+    """Check a snapshot and bring the history up to date.
 
+    Rejects, row counts, metrics and (after the first batch) the changes are written beside
+    it. A batch follows the last one or replaces it; any other number is refused.
     Returns the new current slice. A key rejected today counts as deleted in the
     source unless ``hold_rejected`` keeps its last good version. With ``partial`` the
     rows are new and changed records only, and no key counts as deleted.
     """
     spark, job = raw.sparkSession, TABLES[name]
     keys, schema = list(job.keys), history_schema(SCHEMAS[name])
-    result = quality.split(raw, table_rules(name), keys, policy=policy)
-    # Balanced by rule: few files per folder, and a rule that rejects much is split.
-    write_table(
-        result.detail.hint("rebalance", "rule_id"),
-        "parquet",
-        rejects_path(root, name, batch),
-        "overwrite",
-        "rule_id",
-    )
-    snapshot = cast_by_name(result.clean, SCHEMAS[name])
-    if batch == 0:
-        # The key rules above leave no key null or repeated.
-        versions = history.initial(snapshot, keys, as_of, trusted=True)
-    else:
-        held = result.bad.select(*keys) if hold_rejected else None
-        before = read_current(spark, history_path(root, name), batch - 1, schema)
-        versions = history.advance(
-            before, snapshot, keys, as_of, held_keys=held, partial=partial
+    stored = last_batch(spark, history_path(root, name))
+    if stored is not None and batch not in (stored, stored + 1):
+        raise ValueError(f"{name}: batch {batch} cannot follow batch {stored} under {root}")
+    with scope(spark):
+        result = quality.split(raw, table_rules(name), keys, policy=policy)
+        # Balanced by rule: few files per folder, and a rule that rejects much is split.
+        write_table(
+            result.detail.hint("rebalance", "rule_id"),
+            "parquet",
+            rejects_path(root, name, batch),
+            "overwrite",
+            "rule_id",
         )
-    publish(versions, history_path(root, name), batch)
+        write_table(result.audit, "parquet", audit_path(root, name, batch), "overwrite")
+        write_table(result.metrics, "parquet", metrics_path(root, name, batch), "overwrite")
+        snapshot = cast_by_name(result.clean, SCHEMAS[name])
+        if batch == 0:
+            # The key rules above leave no key null or repeated.
+            versions = history.initial(snapshot, keys, as_of, trusted=True)
+        else:
+            held = result.bad.select(*keys) if hold_rejected else None
+            before = read_current(spark, history_path(root, name), batch - 1, schema)
+            versions = history.advance(
+                before, snapshot, keys, as_of, held_keys=held, partial=partial
+            )
+        publish(versions, history_path(root, name), batch)
+    written = read_batch(spark, history_path(root, name), batch, schema)
+    if batch > 0:
+        changes = history.opened_and_closed(written, keys, as_of)
+        write_table(changes, "parquet", changes_path(root, name, batch), "overwrite")
     return read_current(spark, history_path(root, name), batch, schema)
 
 

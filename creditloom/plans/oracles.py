@@ -60,10 +60,21 @@ loans AS (
          CASE o_orderpriority WHEN '1-URGENT' THEN 'debt_consolidation'
               WHEN '2-HIGH' THEN 'credit_card' WHEN '3-MEDIUM' THEN 'home_improvement'
               WHEN '4-NOT SPECIFIED' THEN 'not_specified' ELSE 'other' END AS title
-  FROM orders),
-first_loans AS (
-  SELECT * FROM loans
-  WHERE id IN (SELECT CAST(min(o_orderkey) AS VARCHAR) FROM orders GROUP BY o_custkey))
+  FROM orders)
+"""
+
+# All orders of a member as one, and their line items under its key.
+MEMBER_ORDERS = """
+member_orders AS (
+  SELECT min(o_orderkey) AS o_orderkey, o_custkey,
+         sum(CAST(o_totalprice AS DECIMAL(18,2))) AS o_totalprice,
+         max(o_orderstatus) AS o_orderstatus, max(o_orderdate) AS o_orderdate,
+         min(o_orderpriority) AS o_orderpriority
+  FROM orders GROUP BY o_custkey),
+member_lines AS (
+  SELECT l.* REPLACE (m.o_orderkey AS l_orderkey)
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN member_orders m ON m.o_custkey = o.o_custkey)
 """
 
 REPAYMENT = """
@@ -97,6 +108,20 @@ balanced AS (
   FROM loan_repayment)
 """
 
+RAW_REPAYMENT = """
+raw AS (
+  SELECT id, CAST(total_principal_received AS VARCHAR) AS total_principal_received,
+         CASE WHEN CAST(id AS BIGINT) % 7 = 0 THEN '0.0000004'
+              ELSE CAST(total_interest_received AS VARCHAR) END AS total_interest_received,
+         CAST(total_late_fee_received AS VARCHAR) AS total_late_fee_received,
+         CASE WHEN CAST(id AS BIGINT) % 11 = 0 THEN 'NaN'
+              WHEN CAST(id AS BIGINT) % 13 = 0 THEN '1e30'
+              WHEN CAST(id AS BIGINT) % 17 = 0 THEN '12345678901234567890'
+              WHEN CAST(id AS BIGINT) % 19 = 0 THEN '12345678901234567890123456789012'
+              ELSE CAST(total_payment AS VARCHAR) END AS total_payment
+  FROM balanced)
+"""
+
 DEFAULTERS = """
 counted AS (
   SELECT o_custkey AS k,
@@ -153,11 +178,21 @@ PAYMENT_POINTS = """
 """
 
 
+def per_member(sql: str) -> str:
+    """The same over the orders of a member as one."""
+    return sql.replace("FROM orders", "FROM member_orders").replace(
+        "FROM lineitem", "FROM member_lines"
+    )
+
+
 def points(loans: str) -> str:
     """CTEs up to ``points``: every point column of every loan in ``loans``."""
     # Limits are compared times ten, so that decimals stay exact.
     limit, funded = "m.total_high_credit_limit", "l.funded_amount"
-    return f"""WITH {MEMBERS}, {LOANS}, {REPAYMENT}, {DEFAULTERS},
+    given = f"{LOANS}, {REPAYMENT}"
+    if loans == "member_loans":
+        loans, given = "loans", f"{MEMBER_ORDERS}, {per_member(LOANS)}, {per_member(REPAYMENT)}"
+    return f"""WITH {MEMBERS}, {given}, {DEFAULTERS},
     points AS (
       SELECT l.id, l.member_id, {PAYMENT_POINTS},
         {ladder("CAST(d.delinq_2_years AS INT)", 750)} AS delinq_pts,
@@ -402,17 +437,17 @@ def cleaned_members(where: str) -> str:
 
 
 ORACLES: dict[str, str] = {
-    "flagship_loan_grade": f"""{scored("first_loans")}
+    "flagship_loan_grade": f"""{scored("member_loans")}
       SELECT member_id, payment_history_pts, defaulters_history_pts, financial_health_pts,
              loan_score, loan_final_grade FROM graded""",
     "loan_grain_grade": f"""{scored("loans")}
       SELECT id, member_id, payment_history_pts, defaulters_history_pts, financial_health_pts,
              loan_score, loan_final_grade FROM graded""",
-    "grade_distribution": f"""{scored("first_loans")}
+    "grade_distribution": f"""{scored("member_loans")}
       SELECT loan_final_grade, count(member_id) AS loans FROM graded GROUP BY 1""",
     "payment_points": f"""WITH {LOANS}, {REPAYMENT}
       SELECT l.id, l.member_id, {PAYMENT_POINTS} FROM loan_repayment p JOIN loans l ON l.id = p.id""",
-    "default_points": f"""{points("first_loans")}
+    "default_points": f"""{points("member_loans")}
       SELECT member_id, last_payment_pts, total_payment_pts, delinq_pts, public_records_pts,
              public_bankruptcies_pts, enq_pts FROM points""",
     "health_points": f"""{points("loans")}
@@ -455,6 +490,15 @@ ORACLES: dict[str, str] = {
       FROM n""",
     "dq_allowed_values": """
       SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED'""",
+    "dq_allowed_values_long": """
+      SELECT DISTINCT o_orderkey, o_custkey FROM orders
+      WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0)""",
+    "dq_calculation_text": f"""WITH {REPAYMENT}, {RAW_REPAYMENT}
+      SELECT id, total_principal_received, total_interest_received, total_payment FROM raw
+      WHERE TRY_CAST(total_principal_received AS DECIMAL(38,18))
+            + TRY_CAST(total_interest_received AS DECIMAL(38,18))
+            + TRY_CAST(total_late_fee_received AS DECIMAL(38,18))
+            <> TRY_CAST(total_payment AS DECIMAL(38,18))""",
     "dq_calculation": f"""WITH {REPAYMENT}
       SELECT id, CAST(total_principal_received AS DOUBLE) AS total_principal_received,
              CAST(total_late_fee_received AS DOUBLE) AS total_late_fee_received,
@@ -623,18 +667,25 @@ ORACLES: dict[str, str] = {
     "csv_corrupt_lines": """
       SELECT o_orderkey, CAST(NULL AS BIGINT) AS customer, o_orderkey || ',oops' AS line
       FROM orders WHERE o_orderkey % 41 = 0""",
-    "json_roundtrip": "SELECT event_id, user_id, event_type, value, props FROM events",
+    "json_roundtrip": """
+      SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props
+      FROM events""",
+    "json_documents": """
+      SELECT event_type, count(*) AS events, count(DISTINCT user_id) AS users FROM events
+      GROUP BY event_type""",
     "parquet_partitioned_roundtrip": """
+      SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders""",
+    "parquet_one_partition": """
       SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders
       WHERE o_orderstatus = 'F'""",
     "parquet_merged_schema": """
       SELECT c_custkey, c_mktsegment, CAST(NULL AS VARCHAR) AS supplier FROM customer
       UNION ALL
       SELECT s_suppkey, NULL, s_name FROM supplier""",
-    "job_grades": f"""{scored("first_loans")},
+    "job_grades": f"""{scored("member_loans")},
       good_members AS (SELECT member_id FROM members WHERE {GOOD_MEMBERS}),
       good_loans AS (
-        SELECT id FROM first_loans WHERE installment IS NOT NULL AND NOT ({CLEAN_LOANS_BAD})),
+        SELECT id FROM loans WHERE installment IS NOT NULL AND NOT ({CLEAN_LOANS_BAD})),
       good_repayment AS (
         SELECT id FROM balanced
         WHERE total_principal_received + total_interest_received + total_late_fee_received
@@ -662,8 +713,30 @@ ORACLES: dict[str, str] = {
       SELECT member_id, emp_length, address_state, CAST(annual_income AS DOUBLE) AS annual_income,
              '{DAYS[0]}' AS ingestion_date
       FROM tidy""",
-    "job_loans_two_batches": f"""WITH {LOANS},
-      good AS (SELECT * FROM first_loans WHERE installment IS NOT NULL AND NOT ({CLEAN_LOANS_BAD})),
+    "job_unstorable_values": f"""WITH {REPAYMENT}, {RAW_REPAYMENT}
+      SELECT id, total_payment, 'total_payment' AS failed_column FROM raw
+      WHERE TRY_CAST(total_payment AS DECIMAL(18,2)) IS NULL""",
+    "rejects_when_none": f"""WITH {MEMBERS}
+      SELECT count(*) AS members, CAST(0 AS BIGINT) AS rejects FROM members
+      WHERE {GOOD_MEMBERS}""",
+    "job_audit": f"""WITH {MEMBERS}
+      SELECT count(*) AS raw_rows, count(*) FILTER ({GOOD_MEMBERS}) AS clean_rows,
+             count(*) FILTER (NOT ({GOOD_MEMBERS})) AS bad_rows
+      FROM members""",
+    "job_changes": f"""WITH {MEMBER_ORDERS}, {per_member(LOANS)},
+      good AS (SELECT * FROM loans WHERE installment IS NOT NULL AND NOT ({CLEAN_LOANS_BAD})),
+      state AS (
+        SELECT id, loan_status, loan_status = 'Current' AS pays,
+               CAST(id AS BIGINT) IN (SELECT l_orderkey FROM lineitem) AS stays
+        FROM good)
+      SELECT id, loan_status, 'delete' AS change_type, false AS is_current
+      FROM state WHERE NOT stays
+      UNION ALL
+      SELECT id, loan_status, 'update', false FROM state WHERE stays AND pays
+      UNION ALL
+      SELECT id, 'Fully Paid', 'update', true FROM state WHERE stays AND pays""",
+    "job_loans_two_batches": f"""WITH {MEMBER_ORDERS}, {per_member(LOANS)},
+      good AS (SELECT * FROM loans WHERE installment IS NOT NULL AND NOT ({CLEAN_LOANS_BAD})),
       state AS (
         SELECT id, loan_status, funded_amount,
                CAST(id AS BIGINT) IN (SELECT l_orderkey FROM lineitem) AS stays,

@@ -52,6 +52,22 @@ def read_current(
     return _typed(slice_.filter(F.col("is_current") == "true"))
 
 
+def read_batch(spark: SparkSession, path: str, batch: int, schema: str | None = None) -> DataFrame:
+    """All that one batch wrote: its current slice and the versions it closed."""
+    return _typed(_read(spark, path, f"{path}/batch={batch}", schema))
+
+
+def last_batch(spark: SparkSession, path: str) -> int | None:
+    """Number of the last batch of a history, None before the first; lists one folder."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    names = [f.getPath().getName() for f in files.listStatus(folder)]
+    return max((int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")), default=None)
+
+
 def _read(spark: SparkSession, root: str, path: str, schema: str | None) -> DataFrame:
     reader = spark.read.option("basePath", root)
     if schema is None:

@@ -7,35 +7,47 @@ measured number instead of an estimate.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCK = threading.Lock()
+_LOCAL_ROOTS: dict[str, str] = {}
+_SCOPE = threading.local()
 
 
 def stage_root(spark: SparkSession) -> str:
-    """Folder of ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder of ``spark.checkpoint.dir``, which all executors share.
+
+    Where it is unset, the checkpoint folder of the context; and in local mode, as in
+    tests, a temporary folder that goes with the process.
+    """
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    app = context.applicationId
     with _LOCK:
-        if context.getCheckpointDir() is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError(
-                    "spark.checkpoint.dir must name a folder that all executors share"
-                )
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="creditloom-"))
-        return context.getCheckpointDir().rstrip("/")
+        if app not in _LOCAL_ROOTS:
+            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="creditloom-")
+            atexit.register(shutil.rmtree, _LOCAL_ROOTS[app], ignore_errors=True)
+        return _LOCAL_ROOTS[app]
 
 
 def stage_path(spark: SparkSession, label: str) -> str:
     """A new, unused path under the staging folder."""
     app = spark.sparkContext.applicationId
-    return f"{stage_root(spark)}/creditloom/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/creditloom/{app}/{label}-{uuid.uuid4().hex}"
+    getattr(_SCOPE, "paths", []).append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -43,3 +55,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = stage_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what this thread stages inside when it is left.
+
+    For steps that end in a written table of their own: what they return must not read a
+    staged one. Scopes may be nested.
+    """
+    outer = getattr(_SCOPE, "paths", None)
+    _SCOPE.paths = []
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _SCOPE.paths:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+        if outer is None:
+            del _SCOPE.paths
+        else:
+            _SCOPE.paths = outer

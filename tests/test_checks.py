@@ -81,7 +81,10 @@ def test_measure(spark, check):
     df = spark.createDataFrame(
         [("x", 9), ("x", 1), (None, 2), (None, 3)], "c string, n int"
     )
-    params = {"dependent_columns": ["n"]} if check == "calculation_check" else {}
+    params = {
+        "calculation_check": {"dependent_columns": ["n"]},
+        "storable_check": {"type": "decimal(18,2)"},
+    }.get(check, {})
     column = "n" if check == "calculation_check" else "c"
     expected = {
         "float_check": 2,
@@ -94,6 +97,7 @@ def test_measure(spark, check):
         "calculation_check": 0,
         "string_check": 2,
         "null_check": 2,
+        "storable_check": 2,
     }[check]
     got = quality.measure(df, check, column, **params)
     assert got == {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from creditloom.operators import history
+from creditloom.operators import history, quality
 from creditloom.plans import jobs
 from creditloom.sources import history_store, tables
 from creditloom.sources.tables import SCHEMAS
@@ -155,3 +155,19 @@ def test_processed_tables(spark, two_batches):
     assert {r.term_years for r in loans.collect()} == {3}
     late = spark.read.parquet(jobs.processed_path(root, "delinq_details", 0))
     assert late.columns == names("delinq_details")
+
+
+def test_a_batch_cannot_start_over(spark, two_batches):
+    """The history under the root ends with batch 1; only 1 again or 2 may come."""
+    root, _ = two_batches
+    rows = spark.createDataFrame([], SCHEMAS["members"])
+    for batch in (0, 3):
+        with pytest.raises(ValueError, match="cannot follow"):
+            jobs.ingest("members", rows, root, batch, "2024-02-01 00:00:00")
+
+
+def test_no_rejects_can_be_read(spark, tmp_path):
+    rows = spark.createDataFrame([], SCHEMAS["members"])
+    jobs.ingest("members", rows, str(tmp_path), 0, "2024-02-01 00:00:00")
+    empty = jobs.read_rejects(spark, str(tmp_path), "members", 0)
+    assert empty.count() == 0 and set(quality.DETAIL_COLUMNS) <= set(empty.columns)

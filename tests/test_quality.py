@@ -106,16 +106,48 @@ def test_unkeyed_compat_in_chunks(spark, monkeypatch):
     assert multiset(got) == Counter({(1, "bad"): 49, (2, "bad"): 7, (3, "bad"): 6})
 
 
-def test_long_list_of_allowed_values(spark):
-    values = [f"v{n}" for n in range(quality.LONG_LIST + 1)]
-    rule = Rule("L", "allowed_values_check", ("v",), params={"allowed_values": [*values, None, "v1"]})
-    rows = [(1, "v1"), (2, "v500"), (3, "nope"), (3, "v2"), (4, None), (5, "nope"), (5, "nope")]
+@pytest.mark.parametrize("size", [1, 500, 501, 10_000])
+def test_any_number_of_allowed_values(spark, size):
+    values = ["v1", *[f"v{n}" for n in range(2, size + 1)]]
+    rows = [(1, "v1"), (3, "nope"), (4, None), (5, "nope"), (5, "nope")]
     df = table(spark, rows)
-    got = quality.split(df, [rule, OK], ["k"])
-    assert got.bad.columns == ["k", "v"]
-    assert multiset(quality.failed_rows(df, rule)) == Counter([(3, "nope"), (5, "nope")])
-    assert multiset(quality.split(df, [rule]).clean) == Counter([(1, "v1"), (2, "v500"), (3, "v2"), (4, None)])
-    assert quality.metrics(df, [rule]).first().failed_rows == 3
+    listed = spark.createDataFrame([(v,) for v in values], "x string")
+    for given in (values, listed):
+        rule = Rule("L", "allowed_values_check", ("v",), params={"allowed_values": given})
+        got = quality.split(df, [rule, OK], ["k"])
+        assert got.bad.columns == ["k", "v"]
+        assert multiset(quality.failed_rows(df, rule)) == Counter([(3, "nope"), (5, "nope")])
+        assert multiset(quality.split(df, [rule]).clean) == Counter([(1, "v1"), (4, None)])
+        assert quality.metrics(df, [rule]).first().failed_rows == 3
+
+
+@pytest.mark.parametrize("size", [1, 501])
+def test_a_null_among_allowed_values(spark, size):
+    """As in SQL: what is not in the list might be the null, so nothing fails."""
+    values = [None, *[f"v{n}" for n in range(size)]]
+    listed = spark.createDataFrame([(v,) for v in values], "x string")
+    df = table(spark, [(1, "v0"), (2, "nope")])
+    for given in (values, listed):
+        rule = Rule("L", "allowed_values_check", ("v",), params={"allowed_values": given})
+        assert quality.failed_rows(df, rule).count() == 0
+
+
+@pytest.mark.parametrize("size", [2, 602])
+def test_allowed_numbers_of_another_type(spark, size):
+    df = spark.createDataFrame([(1,), (2,), (700,)], "n int").selectExpr("cast(n as decimal(9,2)) n")
+    rule = Rule("L", "allowed_values_check", ("n",), params={"allowed_values": list(range(1, size + 1))})
+    assert [int(r.n) for r in quality.failed_rows(df, rule).collect()] == [700]
+
+
+def test_amounts_that_no_sum_can_hold(spark):
+    big = "9" * 32
+    rows = [("1", "1", "2"), ("1.0000004", "0", "1"), (big, big, "1"), ("NaN", "1", "1"), ("9" * 20, "9" * 20, "3")]
+    df = spark.createDataFrame(rows, "a string, b string, total string")
+    rule = Rule("S", "calculation_check", ("total",), params={"dependent_columns": ("a", "b")})
+    assert multiset(quality.failed_rows(df, rule)) == Counter([rows[1]])
+    storable = Rule("T", "storable_check", ("a",), params={"type": "decimal(18,2)"})
+    assert multiset(quality.failed_rows(df, storable)) == Counter(rows[2:])
+
 
 
 def test_details_and_annotate(spark):

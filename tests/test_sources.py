@@ -121,14 +121,11 @@ def test_stage_folder_follows_the_setting(spark):
 
 class FakeContext:
     def __init__(self, master):
-        self.master, self.folder = master, None
+        self.master, self.folder, self.applicationId = master, None, f"app-{master}"
 
     def getCheckpointDir(self):
         return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = f"{folder}/"
-
 
 class FakeSession:
     def __init__(self, master, configured=None):
