@@ -519,11 +519,13 @@ ORACLES: dict[str, str] = {
       WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL)""",
     "dq_annotate": f"""WITH {LOANS}
       SELECT id,
-             CAST(CASE WHEN {CLEAN_LOANS_BAD} THEN 1 ELSE 0 END
+             CAST(CASE WHEN count(*) OVER m > 1 THEN 1 ELSE 0 END
+               + CASE WHEN {CLEAN_LOANS_BAD} THEN 1 ELSE 0 END
                + CASE WHEN installment IS NULL THEN 1 ELSE 0 END AS INT) AS n_fails,
-             concat_ws(',', CASE WHEN {CLEAN_LOANS_BAD} THEN 'R7:purpose' END,
+             concat_ws(',', CASE WHEN count(*) OVER m > 1 THEN 'R6:member_id' END,
+                       CASE WHEN {CLEAN_LOANS_BAD} THEN 'R7:purpose' END,
                        CASE WHEN installment IS NULL THEN 'R10:installment' END) AS fails
-      FROM loans""",
+      FROM loans WINDOW m AS (PARTITION BY member_id)""",
     "dq_failed_rows": f"""WITH {LOANS}
       SELECT DISTINCT {LOAN_COLUMNS} FROM loans WHERE installment IS NULL""",
     "dq_details": f"WITH {MEMBERS} {MEMBER_FAILS}",
