@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,26 @@ def slices(
             yield batch.slice(start)
 
 
+BATCH_ROWS = 1_000
+"""Rows of whole texts that Spark and a Python worker exchange at a time."""
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Plans made inside exchange at most so many rows at once with Python.
+
+    Batches are held outside the heap on both sides, and Spark's usual number is meant for
+    rows of numbers. The session's own setting, if smaller, stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def global_rank(df: DataFrame, order: list[Column], name: str, parts: int) -> DataFrame:
     """Add the 0-based place of every row in one total order, without a single task.
 

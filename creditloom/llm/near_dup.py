@@ -24,7 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import leave_out, meet, slices, text_key, text_of, word_grams
+from creditloom.llm.common import (
+    leave_out,
+    meet,
+    slices,
+    small_batches,
+    text_key,
+    text_of,
+    word_grams,
+)
 from creditloom.operators.keyed import KeyedPolicy
 from creditloom.sources.staging import stage
 
@@ -190,7 +198,8 @@ def sketch(docs: DataFrame) -> DataFrame:
         text_of("text").alias("text"),
     )
     made = rows.mapInArrow(_sketch_texts, SKETCHED)
-    return stage(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
+    with small_batches(docs.sparkSession):
+        return stage(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
 
 
 def _buckets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -255,7 +264,8 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     checked = both.select("node", "text", "other", "other_text").mapInArrow(
         _verify_pairs, "node long, other long, similarity double"
     )
-    return stage(checked, "links")
+    with small_batches(pairs.sparkSession):
+        return stage(checked, "links")
 
 
 def components(links: DataFrame) -> DataFrame:
