@@ -10,8 +10,9 @@ all that either has, must reach ``SIMILAR``. Links join rows to classes.
 A group of copies is a star and not a clique: rows of equal words are one node, and nodes
 meet a chosen one per sketch, and one per pair of sketches. That joins most of what is alike.
 Few sketches are then left that nodes of several classes share. Up to ``FEW`` nodes that
-share one all meet; where more do, each meets some of the others at random, and a further
-sketch divides those that are still of several classes.
+share one all meet; where more do, each meets some of the others at random, which joins more
+of what is alike. Nodes that are then left in a group of several classes meet all that share
+one of their rarest shingles: no similar pair is without one.
 """
 
 from __future__ import annotations
@@ -46,6 +47,10 @@ MEETING = 6
 """Nodes that meet at random, about, of those that share a sketch with more than FEW."""
 PARTNERS = 512
 """Partners of one node that a task meets together; more are spread by a salt."""
+CELL_BITS = 22
+"""Labelled shingles are counted in 2**CELL_BITS cells, by their first bits."""
+SLACK = 1e-6
+"""Bounds on shared shingles are taken so much wider, for rounding."""
 
 _MIX_A, _MIX_B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -379,31 +384,179 @@ def classify(docs: DataFrame, policy: KeyedPolicy | None = None) -> DataFrame:
     links = _linked(pairs, texts)
     classes = components(links)
     mixed = _mixed(stage(one.join(met, "node", "left_semi"), "met-buckets"), classes)
-    depth = 1
-    while not mixed.isEmpty():
-        few, many = _by_size(mixed)
-        again = _all_of(few.unionByName(_at_random(many, depth)))
-        if not many.isEmpty():
-            if depth < SKETCHES:
-                many, depth = _divided(many, nodes, depth), depth + 1
-            else:
-                many = _without_chosen(many)
-                again = again.unionByName(_pairs(many).select("node", "other"))
-        again = stage(
-            again.filter("node != other")
-            .distinct()
-            .join(pairs, ["node", "other"], "left_anti")
-            .join(pairs.toDF("other", "node"), ["node", "other"], "left_anti"),
-            "again",
-        )
+    few, many = _by_size(mixed)
+    again = _new_pairs(_all_of(few.unionByName(_at_random(many))), pairs)
+    links = stage(links.unionByName(_linked(again, texts)), "links")
+    if not many.isEmpty():
         pairs = stage(pairs.unionByName(again), "candidates")
-        more = _linked(again, texts)
-        if more.isEmpty():  # what shares more and more sketches is still unlike
-            break
+        left = _mixed(many, components(links))
+        more = _linked(_new_pairs(_all_alike(left, texts, policy), pairs), texts)
         links = stage(links.unionByName(more), "links")
-        classes = components(links)
-        mixed = _mixed(many, classes)
-    return _judged(rows, nodes, classes)
+    return _judged(rows, nodes, components(links))
+
+
+def _new_pairs(found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that are not among ``pairs`` in either order; staged."""
+    return stage(
+        found.filter("node != other")
+        .distinct()
+        .join(pairs, ["node", "other"], "left_anti")
+        .join(pairs.toDF("other", "node"), ["node", "other"], "left_anti"),
+        "again",
+    )
+
+
+def _cell_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many labelled shingles of a task's texts fall in each cell."""
+    total = np.zeros(1 << CELL_BITS, np.int64)
+    for batch in slices(batches, "text"):
+        cells, n = np.unique(_cells(shingles(batch["text"].to_pylist())[0]), return_counts=True)
+        total[cells] += n
+    hit = np.flatnonzero(total)
+    for start in range(0, len(hit), 1 << 17):
+        some = hit[start : start + (1 << 17)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int32()), pa.array(total[some])], names=["cell", "n"]
+        )
+
+
+def _cells(labelled: np.ndarray) -> np.ndarray:
+    return (labelled >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def _levels(crowd: DataFrame) -> np.ndarray:
+    """A small number for each cell that rises with how many shingles fall in it."""
+    counted = crowd.select("text").mapInArrow(_cell_counts, "cell int, n long")
+    level = F.least(F.lit(255), F.ceil(F.log2(F.sum("n")) * 6)).cast("int")
+    # Cells of few shingles, nearly all, keep level 0.
+    found = counted.groupBy("cell").agg(level.alias("level")).filter("level > 12").toArrow()
+    out = np.zeros(1 << CELL_BITS, np.uint8)
+    out[found["cell"].to_numpy()] = found["level"].to_numpy()
+    return out
+
+
+PLACED = "token long, node long, class long, size long, place long, first boolean"
+
+
+def _rarest(levels: np.ndarray):
+    """For mapInArrow: the rarest labelled shingles of each text, by their ``place`` in an
+    order that is the same for all texts.
+
+    Similar texts share one of them, and that is ``first`` in the shorter one.
+    """
+
+    def placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            labelled, counts = shingles(batch["text"].to_pylist())
+            owner = np.repeat(np.arange(len(counts)), counts)
+            order = np.lexsort((labelled, levels[_cells(labelled)], owner))
+            size = counts[owner]
+            place = np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts)
+            keep = place <= size - np.ceil(SIMILAR * size - SLACK)
+            first = place <= size - np.ceil(2 * SIMILAR / (1 + SIMILAR) * size - SLACK)
+            own = pa.array(owner[keep])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(labelled[order][keep].view(np.int64)),
+                    batch["node"].take(own),
+                    batch["class"].take(own),
+                    pa.array(size[keep].astype(np.int64)),
+                    pa.array(place[keep].astype(np.int64)),
+                    pa.array(first[keep]),
+                ],
+                names=["token", "node", "class", "size", "place", "first"],
+            )
+
+    return placed
+
+
+def _all_alike(mixed: DataFrame, texts: DataFrame, policy: KeyedPolicy) -> DataFrame:
+    """Every pair of nodes of different classes that can be similar; staged.
+
+    A prefix filter: similar texts share so many labelled shingles that one is among the
+    rarest of each. Rare ones come first, so those of a common template are left to the
+    end and bring together only texts that differ in little else. Places and sizes bound
+    what a pair can share besides. Per shingle, pairs have one node at least that is not of its
+    most frequent class, and meetings are dealt over salts of both sides.
+    """
+    who = stage(mixed.select("node", "class").distinct(), "crowd-nodes")
+    few = who.count() <= policy.broadcast_rows
+    crowd = stage(texts.join(F.broadcast(who) if few else who, "node"), "crowd")
+    with small_batches(crowd.sparkSession):
+        levels = _levels(crowd)
+        rows = stage(
+            crowd.select("node", "class", "text").mapInArrow(_rarest(levels), PLACED), "rarest"
+        )
+    shared = stage(
+        rows.groupBy("token")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            (F.min("class") != F.max("class")).alias("several"),
+            F.max("first").alias("begins"),
+        )
+        .filter("several and begins")
+        .select("token", "n"),
+        "shared-tokens",
+    )
+    if shared.count() <= policy.broadcast_rows:
+        rows = rows.join(F.broadcast(shared.select("token")), "token")
+    else:
+        rows = meet(rows, shared, ["token"], "n", rows.count()).filter(F.col("n").isNotNull())
+    rows = stage(rows.select("token", "node", "class", "size", "place", "first"), "shared-places")
+    facts = stage(
+        rows.groupBy("token", "class")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("first").cast("long")).alias("firsts"))
+        .groupBy("token")
+        .agg(
+            F.max_by("class", F.struct("n", "class")).alias("main"),
+            F.sum("n").alias("n"),
+            F.ceil(F.sum("firsts") / PARTNERS).cast("int").alias("a_salts"),
+            F.ceil(F.sum("n") / PARTNERS).cast("int").alias("b_salts"),
+        ),
+        "token-classes",
+    )
+    met = meet(rows, facts, ["token"], "n", rows.count()).withColumn(
+        "of_main", F.col("class") == F.col("main")
+    )
+
+    def dealt(column: str, salts: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.col(salts)).cast("int")
+
+    def spread(salts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(salts) - 1))
+
+    a = met.filter("first").select(
+        "token",
+        "of_main",
+        dealt("node", "a_salts").alias("a_salt"),
+        spread("b_salts").alias("b_salt"),
+        *["node", "class", "size", "place"],
+    )
+    sides = F.when(F.col("of_main"), F.array(F.lit(False))).otherwise(
+        F.array(F.lit(False), F.lit(True))
+    )
+    b = (
+        met.withColumn("side", F.explode(sides))
+        .withColumn("a_salt", spread("a_salts"))
+        .select(
+            "token",
+            F.col("side").alias("of_main"),
+            "a_salt",
+            dealt("node", "b_salts").alias("b_salt"),
+            F.col("node").alias("other"),
+            F.col("class").alias("its"),
+            F.col("size").alias("its_size"),
+            F.col("place").alias("its_place"),
+        )
+    )
+    least = F.ceil(F.lit(SIMILAR / (1 + SIMILAR)) * (F.col("size") + F.col("its_size")) - SLACK)
+    pairs = a.join(b, ["token", "of_main", "a_salt", "b_salt"]).filter(
+        (F.col("class") != F.col("its"))
+        & (F.struct("size", "node") < F.struct(F.col("its_size"), F.col("other")))
+        & (F.col("place") <= F.col("size") - least)
+        & (F.col("its_place") <= F.col("its_size") - least)
+    )
+    return stage(pairs.select("node", "other").distinct(), "alike")
 
 
 def _mixed(bucket_rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -430,10 +583,10 @@ def _by_size(mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return mixed.filter(F.col("nodes") <= FEW), mixed.filter(F.col("nodes") > FEW)
 
 
-def _at_random(many: DataFrame, turn: int) -> DataFrame:
-    """The rows dealt into meetings of about MEETING rows of a bucket, others in each turn."""
-    salt = F.pmod(F.xxhash64("node", F.lit(turn)), F.ceil(F.col("nodes") / MEETING))
-    return many.withColumn("bucket", F.xxhash64("bucket", salt, F.lit(turn)))
+def _at_random(many: DataFrame) -> DataFrame:
+    """The rows dealt into meetings of about MEETING rows of a bucket."""
+    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("nodes") / MEETING))
+    return many.withColumn("bucket", F.xxhash64("bucket", salt))
 
 
 def _all_of(small: DataFrame) -> DataFrame:
@@ -443,29 +596,6 @@ def _all_of(small: DataFrame) -> DataFrame:
     return a.join(b, "bucket").filter("node > other and class != its").select("node", "other")
 
 
-def _without_chosen(many: DataFrame) -> DataFrame:
-    """The rows that are not in the class of their bucket's chosen node.
-
-    For nodes of several classes that share all sketches: every bucket loses a class, so
-    this ends, whatever their number.
-    """
-    rows = many.drop("nodes")
-    its = rows.select(F.col("node").alias("other"), "bucket", F.col("class").alias("its"))
-    met = _pairs(rows).join(its, ["bucket", "other"])
-    return stage(met.filter("class != its").select("node", "bucket", "i"), "without-chosen")
-
-
-def _divided(many: DataFrame, nodes: DataFrame, depth: int) -> DataFrame:
-    """The rows with their buckets divided by the sketch that follows the ones they share."""
-    following = F.get("sketches", (F.col("i") + depth) % SKETCHES)
-    return stage(
-        many.join(nodes.select("node", "sketches"), "node").select(
-            "node", F.xxhash64("bucket", following).alias("bucket"), "i"
-        ),
-        "divided",
-    )
-
-
 def _judged(rows: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """Classes back to all rows, by the words that rows of one node share."""
     name = ["words_a", "words_b"]

@@ -157,6 +157,48 @@ def test_near_hot_group(documents):
     assert sizes == {1500: 1500, 1: 500}
 
 
+def template_family(size, pairs, seed):
+    """Texts of one template, about 0.78 to each other, but the first pairs, about 0.82."""
+    rng = random.Random(seed)
+    template = [f"t{i}" for i in range(700)]
+    texts = []
+    for i in range(size):
+        both = [f"b{i // 2}x{j}" for j in range(20)] if i < 2 * pairs else []
+        own = [f"o{i}x{j}" for j in range(98 - len(both) + rng.randrange(-2, 3))]
+        texts.append(" ".join([*template, *both, *own]))
+    return texts
+
+
+def all_links(texts):
+    """Every similar pair, by counting what each two texts share."""
+    sets = [shingle_set(t) for t in texts]
+    everywhere = set.intersection(*sets)
+    holders, both = defaultdict(list), Counter()
+    for i, own in enumerate(sets):
+        for shingle in own - everywhere:
+            holders[shingle].append(i)
+    for held in holders.values():
+        both.update((i, j) for i in held for j in held if i < j)
+    return {
+        (i, j)
+        for i in range(len(sets))
+        for j in range(i + 1, len(sets))
+        if (n := len(everywhere) + both[i, j])
+        >= near_dup.SIMILAR * (len(sets[i]) + len(sets[j]) - n)
+    }
+
+
+def test_near_pairs_of_template(documents):
+    """No similar pair is lost among many texts that share sketches and are unlike."""
+    texts = template_family(600, 60, 5)
+    wanted = all_links(texts)
+    assert wanted == {(2 * i, 2 * i + 1) for i in range(60)}
+    got = defaultdict(list)
+    for row in near_dup.classify(documents(texts)).collect():
+        got[row.class_id].append(row.doc_id)
+    assert {tuple(sorted(v)) for v in got.values() if len(v) > 1} == wanted
+
+
 def test_alignment_sees_order():
     a = " ".join(f"w{i}" for i in range(100))
     moved = " ".join(f"w{i}" for i in [*range(50, 100), *range(50)])
