@@ -1,10 +1,11 @@
-"""Exact duplicates by a tree merge of digest runs.
+"""Exact duplicates by a tree of aggregations of digest runs.
 
-Every partition of the input makes one run: its distinct digests, each with the
-identifier that would stay and a count. Runs then meet in rounds: in each round
-``FAN_IN`` neighbouring runs are merged into one, until one run per digest is left. A
-digest that a third of all rows share reaches a task at most once per run that is merged
-there, so no round has a hot key.
+Rows are numbered by their partition of the input, modulo ``RUNS``, and aggregated by digest
+and number; each is a run. In each round ``FAN_IN`` neighbouring numbers become one, until one
+row per digest is left. A round is a plain hash aggregation: this stands in for a multiway
+merge of sorted runs, in binomial rounds; no run is sorted or merged in order. A digest that a
+third of all rows share reaches a task at most once per run that is merged there and task
+before, so no round has a hot key.
 
 A digest is verified by the byte length and a second, independent hash of the text: rows
 are merged only if all three agree.
@@ -52,7 +53,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
-    """Rounds of multiway merges; returns one row per digest.
+    """Rounds of hash aggregations over FAN_IN runs each; returns one row per digest.
 
     ``top`` is the (identifier, row) that stays: the largest identifier, and of repeated
     ones the last row. A row without an identifier stays only in a group of such rows.
