@@ -653,6 +653,10 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DOCUMENTS_A_FILE = 10_000
+"""About so many events are one file of JSON documents, so that no value grows with the table."""
+
+
 @query
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON documents that span lines, read by the multi-line preset."""
@@ -660,7 +664,8 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = derived.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     shown = F.to_json(F.struct("*"), {"pretty": "true"}).alias("value")
     # A file is one array of documents, in a folder of its own; each task reads one.
-    files = events.groupBy(F.pmod(F.xxhash64("event_id"), F.lit(64)).alias("file")).agg(
+    parts = max(1, -(-events.count() // DOCUMENTS_A_FILE))
+    files = events.groupBy(F.pmod(F.xxhash64("event_id"), F.lit(parts)).alias("file")).agg(
         F.concat(F.lit("["), F.array_join(F.collect_list(shown), ",\n"), F.lit("]")).alias("value")
     )
     files.write.partitionBy("file").text(path)

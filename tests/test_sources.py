@@ -5,7 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from creditloom.plans import catalog
 from creditloom.sources import staging, tables
+from creditloom.sources.staging import stage_path
 
 
 @pytest.fixture
@@ -138,3 +140,19 @@ def test_stage_folder_when_nothing_is_set(monkeypatch, tmp_path):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.stage_root(FakeSession("yarn"))
     assert staging.stage_root(FakeSession("yarn", "hdfs://shared/tmp/")) == "hdfs://shared/tmp"
+
+
+def test_json_documents_bound_their_files(spark, monkeypatch):
+    """The number of files follows the number of events, so none grows with the table."""
+    paths = []
+
+    def noted(*args):
+        paths.append(stage_path(*args))
+        return paths[-1]
+
+    monkeypatch.setattr(catalog, "stage_path", noted)
+    monkeypatch.setattr(catalog, "DOCUMENTS_A_FILE", 5, raising=False)
+    catalog.json_documents(spark, "/root/testdata/sf0.001").collect()
+    counts = spark.read.json(paths[0], multiLine=True).groupBy("file").count().collect()
+    sizes = [r["count"] for r in counts]
+    assert max(sizes) <= 5 * 5 and len(sizes) > 64
