@@ -15,10 +15,11 @@ from creditloom.llm import (
     mixing,
     near_dup,
     packing,
+    periodic,
     toxicity,
     url_rules,
 )
-from creditloom.llm.common import table
+from creditloom.llm.common import table, text_of
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +106,57 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, where a tenth of the texts end in repetitions of a few words.
+
+    Of the n words of a text, with h the checksum of its identifier and g = floor(h / 10), those
+    from a = g % n on repeat the p = 1 + floor((n - a) / (3 + g % 8)) words that begin there, if
+    h % 10 = 0. A text without words or without an identifier stays.
+    """
+    doc, whole = F.col("doc_id").cast("long"), text_of("text")
+    h = F.crc32(doc.cast("string").cast("binary"))
+    words = F.regexp_extract_all(whole, F.lit(f"({mixing.WORD})"))
+    chosen = docs.select(
+        doc.alias("doc_id"),
+        whole.alias("text"),
+        F.floor(h / 10).alias("g"),
+        F.when(h % 10 == 0, words).otherwise(F.array().cast("array<string>")).alias("words"),
+    )
+    n = F.size("words").cast("long")
+    placed = chosen.withColumn("n", n).withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    head = F.expr("slice(words, 1, int(a))")
+    again = F.expr("flatten(array_repeat(slice(words, int(a + 1), int(p)), int(ceil((n - a) / p))))")
+    tail = F.slice(again, F.lit(1), (F.col("n") - F.col("a")).cast("int"))
+    edited = F.array_join(F.concat(head, tail), " ")
+    return placed.withColumn("p", period).select(
+        "doc_id", F.when(F.col("n") > 0, edited).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of every document, a tenth of which get a repeating end."""
+    found = periodic.find_runs(repeated_tails(table(spark, sf_dir, "documents")))
+    # By exact length / period; then by start and period, the order that runs come in.
+    first = """array_sort(runs, (x, y) -> case
+        when x.length * y.period > y.length * x.period then -1
+        when x.length * y.period < y.length * x.period then 1
+        when x.start < y.start then -1 when x.start > y.start then 1
+        when x.period < y.period then -1 when x.period > y.period then 1 else 0 end)"""
+    best = F.get(F.expr(first), F.lit(0))
+    lines = "transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\\n')"
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.expr(lines), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -116,6 +168,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES = {
