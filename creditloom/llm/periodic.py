@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import byte_sums, slices, small_batches, text_of
+from creditloom.llm.common import byte_sums, slices, text_of
 
 LEAST = 24
 EXPONENT = 3
@@ -326,5 +326,4 @@ def find_runs(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
     schema = f"doc_id long, n_words long, runs {RUN}, collapsed string"
-    with small_batches(docs.sparkSession):
-        return rows.mapInArrow(_find, schema)
+    return rows.mapInArrow(_find, schema)

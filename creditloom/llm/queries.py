@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from creditloom.llm import (
     chat,
+    dialogue_repair,
     exact_dedup,
     fuzzy_hash,
     html_text,
@@ -106,6 +107,33 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with damage that their conversation and turn decide; a null is one space."""
+    rows = dialogue_repair.clean_rows(conversations)
+    name = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    harm = F.crc32(F.concat_ws(":", *name).cast("binary")) % 20
+    mended = F.when(F.col("harm") == 1, "").when(
+        F.col("harm") == 2, F.regexp_replace("text", "[.!?]", "")
+    )
+    return (
+        rows.withColumn("harm", harm)
+        .filter("harm != 0")
+        .withColumn("text", mended.otherwise(F.col("text")))
+        .withColumn("role", F.when(F.col("harm") == 4, "user").otherwise(F.col("role")))
+        .withColumn("nth", F.explode(F.sequence(F.lit(1), F.when(F.col("harm") == 3, 2).otherwise(1))))
+        .drop("harm", "nth")
+    )
+
+
+def op12_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faults of every damaged conversation and its cheapest repair."""
+    whole = table(spark, sf_dir, "conversations")
+    rows = damaged(whole)
+    judged = dialogue_repair.judge(rows, whole)
+    digests = dialogue_repair.digests(rows, judged).withColumnRenamed("conv_id", "its")
+    return judged.join(digests, F.expr("conv_id <=> its")).drop("its")
+
+
 def repeated_tails(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text``, where a tenth of the texts end in repetitions of a few words.
 
@@ -168,6 +196,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_dialogue_repair": op12_dialogue_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -204,5 +233,129 @@ hashed AS (SELECT doc_id, sha256(t) AS text_sha256 FROM norm)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
   doc_id = max(doc_id) OVER g AS kept, text_sha256
 FROM hashed WINDOW g AS (PARTITION BY text_sha256)
+""",
+    # A suffix's cheapest edits in each state of the grammar (start, after s, u, a), from the
+    # last row on; struct(cost, audit) compares as the contract does.
+    "op12_dialogue_repair": r"""
+WITH RECURSIVE src AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+  FROM conversations
+),
+crc AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_transform(string_split(name, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda crc, b: list_reduce(CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[]),
+      lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(crc, b)),
+    CAST(4294967295 AS BIGINT))) % 20 AS harm
+  FROM src
+),
+hurt AS (
+  SELECT conv_id, turn,
+    CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN harm = 1 THEN '' WHEN harm = 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+      ELSE text END AS text,
+    unnest(range(CASE WHEN harm = 3 THEN 2 ELSE 1 END)) AS nth
+  FROM crc WHERE harm <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, role, md5(text), nth) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text
+      ORDER BY turn NULLS FIRST, nth) AS again,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+  FROM hurt
+),
+rated AS (
+  SELECT conv_id, turn, role, text, i, left(role, 1) AS initial,
+    CASE WHEN body = '' THEN 'b' WHEN again > 1 THEN 'd'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed
+),
+facts AS (
+  SELECT conv_id,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'b') AS blank,
+    count(*) FILTER (WHERE fault = 'd') AS duplicate,
+    count(*) FILTER (WHERE fault = 't') AS truncated,
+    count(*) FILTER (WHERE before || initial NOT IN ('su', 'ua', 'au')) AS illegal,
+    max(i) AS n
+  FROM rated GROUP BY conv_id
+),
+walk AS (
+  SELECT conv_id, n AS i, {'c': 0, 'a': ''} AS z, {'c': 10, 'a': 'II'} AS s,
+    {'c': 5, 'a': 'I'} AS u, {'c': 0, 'a': ''} AS a
+  FROM facts
+  UNION ALL
+  SELECT conv_id, i - 1,
+    list_min([z, {'c': u2.c + 5, 'a': 'I' || u2.a}, {'c': a2.c + 10, 'a': 'II' || a2.a}]),
+    list_min([s, {'c': u2.c + 5, 'a': 'I' || u2.a}, {'c': a2.c + 10, 'a': 'II' || a2.a}]),
+    u2, a2
+  FROM (
+    SELECT conv_id, i, z, s,
+      list_min([u, {'c': a.c + 5, 'a': 'I' || a.a}]) AS u2,
+      list_min([a, {'c': u.c + 5, 'a': 'I' || u.a}]) AS a2
+    FROM (
+      SELECT w.conv_id, w.i,
+        list_min([
+          {'c': w.z.c + 2, 'a': 'D' || w.z.a},
+          {'c': w.u.c + 1 + more, 'a': 'R' || w.u.a},
+          {'c': CASE WHEN initial = 's' THEN w.s.c WHEN initial = 'u' THEN w.u.c
+              ELSE 1000000000 END + more,
+            'a': 'K' || CASE WHEN initial = 's' THEN w.s.a ELSE w.u.a END}]) AS z,
+        list_min([
+          {'c': w.s.c + 2, 'a': 'D' || w.s.a},
+          {'c': w.u.c + CASE WHEN initial = 'u' THEN 0 ELSE 1 END + more,
+            'a': CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END || w.u.a}]) AS s,
+        list_min([
+          {'c': w.u.c + 2, 'a': 'D' || w.u.a},
+          {'c': w.a.c + CASE WHEN initial = 'a' THEN 0 ELSE 1 END + more,
+            'a': CASE WHEN initial = 'a' THEN 'K' ELSE 'R' END || w.a.a}]) AS u,
+        list_min([
+          {'c': w.a.c + 2, 'a': 'D' || w.a.a},
+          {'c': w.u.c + CASE WHEN initial = 'u' THEN 0 ELSE 1 END + more,
+            'a': CASE WHEN initial = 'u' THEN 'K' ELSE 'R' END || w.u.a}]) AS a
+      FROM walk AS w JOIN (
+        SELECT *, CASE fault WHEN '' THEN 0 WHEN 't' THEN 5 ELSE 1000000000 END AS more
+        FROM rated
+      ) AS r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND w.i = r.i
+    )
+  )
+),
+best AS (
+  SELECT f.*, w.z.c AS cost, w.z.a AS audit
+  FROM walk AS w JOIN facts AS f ON w.conv_id IS NOT DISTINCT FROM f.conv_id WHERE w.i = 0
+),
+letters AS (
+  SELECT conv_id, unnest(string_split(audit, '')) AS letter, unnest(range(length(audit))) AS k
+  FROM best WHERE audit <> ''
+),
+edits AS (
+  SELECT *, sum(CASE WHEN letter = 'I' THEN 0 ELSE 1 END) OVER w AS i,
+    sum(CASE WHEN letter = 'D' THEN 0 ELSE 1 END) OVER w AS place
+  FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY k)
+),
+stay AS (
+  SELECT e.*, r.initial, r.role, r.text,
+    max(CASE WHEN letter = 'K' AND initial = 's' THEN 1 ELSE 0 END)
+      OVER (PARTITION BY e.conv_id) AS led
+  FROM edits AS e LEFT JOIN rated AS r
+    ON e.conv_id IS NOT DISTINCT FROM r.conv_id AND e.i = r.i AND e.letter <> 'I'
+  WHERE letter <> 'D'
+),
+said AS (
+  SELECT conv_id, string_agg(
+    CASE WHEN letter = 'K' THEN role WHEN (place - led) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || coalesce(text, ''), chr(10) ORDER BY k) AS messages
+  FROM stay GROUP BY conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(messages, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+LEFT JOIN best AS b ON c.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN said AS s ON c.conv_id IS NOT DISTINCT FROM s.conv_id
 """,
 }
