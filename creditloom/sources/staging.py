@@ -50,13 +50,28 @@ def stage_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet and return the written table."""
     path = stage_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a staged table, once nothing reads them any more."""
+    spark = df.sparkSession
+    root = f"{stage_root(spark)}/creditloom/"
+    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    _delete(spark, [folder for folder in folders if root.lstrip("/") in folder])
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Delete what this thread stages inside when it is left.
@@ -69,10 +84,7 @@ def scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for name in _SCOPE.paths:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _SCOPE.paths)
         if outer is None:
             del _SCOPE.paths
         else:
