@@ -17,6 +17,7 @@ from creditloom.llm import (
     near_dup,
     packing,
     periodic,
+    pitman_yor,
     toxicity,
     url_rules,
 )
@@ -107,6 +108,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by a model that a tenth of them is held out from."""
+    name = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
+    held_out = F.crc32(name.cast("binary")) % 10 == 0
+    return pitman_yor.score(table(spark, sf_dir, "documents"), held_out)
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """The rows with damage that their conversation and turn decide; a null is one space."""
     rows = dialogue_repair.clean_rows(conversations)
@@ -196,6 +204,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_near_dedup": op9_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_pitman_yor": op11_pitman_yor,
     "op12_dialogue_repair": op12_dialogue_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
