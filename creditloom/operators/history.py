@@ -93,6 +93,7 @@ def _matched(
     compat_hash: bool,
     held_keys: DataFrame | None,
     partial: bool,
+    also: Sequence[Column] = (),
 ) -> tuple[DataFrame, list[str]]:
     """Current beside incoming records, one row per key, with ``change_type``.
 
@@ -107,7 +108,9 @@ def _matched(
         incoming = incoming.unionByName(held, allowMissingColumns=True)
     incoming = require_unique(incoming, keys, "snapshot")
     fresh = _hashed(incoming, watched, compat_hash)
-    columns = [c for c in fresh.columns if c not in ("_held", *META)]
+    if also:
+        fresh = fresh.withColumn("_also", F.array(*also))
+    columns = [c for c in fresh.columns if c not in ("_held", "_also", *META)]
     columns += [c for c in current.columns if c not in (*columns, *META)] + list(META)
 
     def side(df: DataFrame, prefix: str) -> list[Column]:
@@ -116,10 +119,13 @@ def _matched(
         ]
 
     left = current.select(*keys, F.lit(True).alias("_had"), *side(current, "_old"))
-    right = fresh.select(*keys, "_held", *side(fresh, "_new"))
+    extra = ["_also"] if also else []
+    right = fresh.select(*keys, "_held", *extra, *side(fresh, "_new"))
     had, has = F.col("_had").isNotNull(), F.col("_held").isNotNull()
     hash_at = columns.index("row_hash")
     same = F.col(f"_old_{hash_at}").eqNullSafe(F.col(f"_new_{hash_at}"))
+    if also:
+        same = same | F.coalesce(F.array_contains("_also", F.col(f"_old_{hash_at}")), F.lit(False))
     change = (
         F.when(F.col("_held"), F.when(had, NOOP).otherwise(HELD))
         .when(~had, INSERT)
@@ -178,15 +184,17 @@ def changes(
     compat_hash: bool = False,
     held_keys: DataFrame | None = None,
     partial: bool = False,
+    also: Sequence[Column] = (),
 ) -> DataFrame:
     """Only what a batch writes: opened and closed versions, with ``change_type``.
 
     ``merge_key`` holds the key of a closed version and is null for an opened one.
-    An update gives one row of each kind.
+    An update gives one row of each kind. ``also`` are other hashes of incoming records under
+    which a version counts as the same, such as those of fewer columns.
     """
     keys = _key_list(keys)
     joined, columns = _matched(
-        current, incoming, keys, tracked, compat_hash, held_keys, partial
+        current, incoming, keys, tracked, compat_hash, held_keys, partial, also
     )
     merge_key = F.when(
         ~F.col("_opens"), F.concat_ws("|", *[F.col(k).cast("string") for k in keys])

@@ -10,7 +10,7 @@ from functools import cached_property, reduce
 from operator import or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -150,6 +150,7 @@ def _check(
     rules: Iterable[Rule],
     strict: bool = False,
     policy: KeyedPolicy = DEFAULT_POLICY,
+    known: Mapping[str, DataFrame] | None = None,
 ) -> _Checked:
     nested = [f.name for f in df.schema.fields if isinstance(f.dataType, T.MapType)]
     if nested:
@@ -162,7 +163,12 @@ def _check(
             continue
         if column not in flags:
             flags[column] = f"_repeated_{len(flags)}"
-            out = flag_rows(out, repeated_keys(df, [column]), [column], flags[column], policy)
+            repeated = repeated_keys(df, [column])
+            if known and column in known:
+                # Each of these values is one that this table repeats.
+                earlier = known[column].select(column).join(key_facts(df, [column]), column)
+                repeated = repeated.unionByName(earlier).groupBy(column).agg(F.max(ROWS).alias(ROWS))
+            out = flag_rows(out, repeated, [column], flags[column], policy)
         predicates[n] = F.col(flags[column])
     checks = [(rule, column, predicates[n]) for n, (rule, column) in enumerate(usable)]
     return _Checked(out, df.columns, checks)
@@ -283,6 +289,23 @@ class DqResult:
             F.count_distinct(bad).alias("bad_rows"),
         )
 
+    def observed_clean(self, observation: Observation) -> DataFrame:
+        """``clean``, counting ``raw_rows`` and ``clean_rows`` where its rows are written.
+
+        Write it without a shuffle behind: then a task counts when it has written its rows, and
+        one that is tried again does not count twice.
+        """
+        if self._judged is None:
+            raise ValueError("only a keyed or plain split tells its rows apart in one pass")
+        rows, keep = self._judged
+        marked = rows.select(*self._checked.columns, keep.alias("_keep"))
+        counted = marked.observe(
+            observation,
+            F.count(F.lit(1)).alias("raw_rows"),
+            F.count_if("_keep").alias("clean_rows"),
+        )
+        return counted.filter("_keep").drop("_keep")
+
     @cached_property
     def skipped(self) -> list[tuple[str, str]]:
         """(rule id, column) pairs the table has no column for."""
@@ -296,6 +319,7 @@ def split(
     compat: bool = False,
     strict: bool = False,
     policy: KeyedPolicy = DEFAULT_POLICY,
+    known: Mapping[str, DataFrame] | None = None,
 ) -> DqResult:
     """Separate clean from bad rows.
 
@@ -305,9 +329,12 @@ def split(
 
     ``compat`` follows the older conventions: a keyed split keeps every row that
     lacks a key, and an unkeyed split removes only one copy of each bad row.
+
+    ``known`` holds, by column, values that rows outside ``df`` have: under a duplicate check a
+    row that has one of them fails.
     """
     rules = list(rules)
-    checked = _check(df, rules, strict, policy)
+    checked = _check(df, rules, strict, policy, known)
     if compat and not keys:
         return DqResult(df, rules, checked, _clean_minus_one_copy(checked), None)
     judged = _judged_by_key(checked, list(keys), compat, policy) if keys else (

@@ -319,18 +319,54 @@ def all_points(
     if grain not in ("member", "loan"):
         raise ValueError(f"grain must be 'member' or 'loan', not {grain!r}")
     payments = payment_history(repayment, loans, params)
+    hot = hot_keys(loans, ["member_id"], policy) if grain == "loan" else None
+    return points_of(payments, members, public_records, delinquencies, params, grain, hot)
+
+
+def points_of(
+    payments: DataFrame,
+    members: DataFrame,
+    public_records: DataFrame,
+    delinquencies: DataFrame | None,
+    params: ScoreParams = DEFAULT_PARAMS,
+    grain: str = "member",
+    hot_members: DataFrame | None = None,
+) -> DataFrame:
+    """As :func:`all_points`, from a :func:`payment_history`; every join is by member."""
     facts = defaulter_points(public_records, delinquencies, params).join(
         member_points(members, params), "member_id"
     )
     facts = require_unique(facts, ["member_id"], "member tables")
     if grain == "loan":
-        return loan_points(
-            payments, facts, params, hot_keys(loans, ["member_id"], policy)
-        )
+        return loan_points(payments, facts, params, hot_members)
     payments = require_unique(payments.filter("member_id is not null"), ["member_id"], "loans")
     return loan_points(payments.drop("id"), facts, params)
 
 
+def stages(
+    repayment: DataFrame,
+    loans: DataFrame,
+    members: DataFrame,
+    public_records: DataFrame,
+    delinquencies: DataFrame | None,
+    params: ScoreParams = DEFAULT_PARAMS,
+) -> dict[str, DataFrame]:
+    """The steps by name, each made of the one before, for loans of any number a member.
+
+    Nothing runs until one is used; registered as views, SQL can begin at any of them.
+    """
+    # The names of the steps.
+    paid = payment_history(repayment, loans, params)
+    defaults = paid.join(defaulter_points(public_records, delinquencies, params), "member_id")
+    overall = loan_points(defaults, member_points(members, params), params)
+    return {
+        "payment_history": paid,
+        "defaulters_score": defaults,
+        "overall_member_score": overall,
+        "loan_score_eval": graded(composite(overall, params), params),
+    }
+
+
 def score(
     repayment: DataFrame,
     loans: DataFrame,
@@ -351,3 +387,12 @@ def score(
 def distribution(scored: DataFrame) -> DataFrame:
     """Number of loans per letter, the null letter included."""
     return scored.groupBy("loan_final_grade").agg(F.count("member_id").alias("loans"))
+
+
+def moved_distribution(before: DataFrame, changes: DataFrame) -> DataFrame:
+    """A distribution after the ``changes`` of a history of grades: every version that was
+    opened adds one to its letter, every one that was closed takes one away."""
+    sign = F.when(F.col("is_current"), 1).otherwise(-1)
+    moves = changes.groupBy("loan_final_grade").agg(F.sum(sign).alias("loans"))
+    total = before.unionByName(moves).groupBy("loan_final_grade").agg(F.sum("loans").alias("loans"))
+    return total.filter("loans > 0")

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from creditloom.operators import cleaning, history, quality, scoring
+from creditloom.operators import cleaning, history, quality, scoring, timeline
 from creditloom.operators.quality import Rule
 from creditloom.plans import derived, jobs, rules
 from creditloom.sources import history_store, tables
+from creditloom.sources.slice_store import Store
 from creditloom.sources.staging import stage, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -476,6 +477,72 @@ def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(history.as_of(past, "2024-01-02 12:00:00").select(*TRACKED, "valid_from"))
 
 
+def _customers(spark: SparkSession) -> Store:
+    """A history in slices, none of it stored yet."""
+    path = stage_path(spark, "customers")
+    return Store(spark, path, derived.COLUMNS["customer"], tuple(KEYS))
+
+
+@query
+def scd2_partial_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of some records each, merged into the slices that hold their keys."""
+    past = _customers(spark)
+    past.apply(0, derived.snapshot(spark, sf_dir, 0), DAYS[0], tracked=TRACKED)
+    for n in (1, 2):
+        some = derived.snapshot(spark, sf_dir, n).filter(f"c_custkey % 7 = {n}")
+        past.apply(n, some, DAYS[n], tracked=TRACKED, partial=True)
+    return portable(past.read_history(2))
+
+
+@query
+def scd2_versions_in_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of two days in one batch, so that most keys come twice."""
+    past = _customers(spark)
+    past.apply(0, derived.snapshot(spark, sf_dir, 0), DAYS[0], tracked=TRACKED)
+    days = [
+        derived.snapshot(spark, sf_dir, n).withColumn("at", F.lit(DAYS[n])) for n in (2, 1)
+    ]
+    both = days[0].unionByName(days[1])
+    past.apply(1, both, at="at", tracked=TRACKED, partial=True)
+    return portable(past.read_history(1))
+
+
+@query
+def scd2_late_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day 1 delivered after day 2: the same history as in order."""
+    past = _customers(spark)
+    for batch, day in enumerate((0, 2, 1)):
+        past.apply(batch, derived.snapshot(spark, sf_dir, day), DAYS[day], tracked=TRACKED)
+    return portable(past.read_history(2))
+
+
+@query
+def scd2_gained_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second batch whose records have one more column and a wider one."""
+    path = stage_path(spark, "customers")
+    first = derived.snapshot(spark, sf_dir, 0).select("c_custkey", "c_name", "c_nationkey")
+    past = Store(spark, path, "c_custkey bigint, c_name string, c_nationkey int", tuple(KEYS))
+    past.apply(0, first, DAYS[0])
+    second = derived.snapshot(spark, sf_dir, 1).select(
+        "c_custkey",
+        F.when(F.col("c_custkey") % 10 == 0, "renamed").otherwise(F.col("c_name")).alias("c_name"),
+        F.col("c_nationkey").cast("long").alias("c_nationkey"),
+        "c_mktsegment",
+    )
+    past = past.evolved(0, second.schema)
+    past.apply(1, second, DAYS[1])
+    return portable(past.read_history(1).drop("row_hash", "sk_id"))
+
+
+@query
+def scd2_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history of all three days from their observations, at once."""
+    seen = [
+        timeline.observe(derived.snapshot(spark, sf_dir, n), DAYS[n], TRACKED) for n in (2, 0, 1)
+    ]
+    return portable(timeline.history_of(seen[0].unionByName(seen[1]).unionByName(seen[2]), KEYS, DAYS))
+
+
 @query
 def scd2_compat_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derived.members(spark, sf_dir).select(
@@ -620,6 +687,45 @@ def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, "csv", path, "o_orderkey bigint, customer bigint")
 
 
+RESCUE = "o_orderkey bigint, customer bigint, price decimal(18,2), placed date"
+
+
+def _odd_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as text, of which some fields do not fit their type."""
+    return derived.table(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderkey as string) as o_orderkey",
+        "if(o_orderkey % 41 = 0, 'oops', cast(o_custkey as string)) as customer",
+        """case when o_orderkey % 43 = 0 then '12 EUR' when o_orderkey % 47 = 0 then ''
+                else cast(cast(o_totalprice as decimal(18,2)) as string) end as price""",
+        "if(o_orderkey % 53 = 0, '31.12.1999', date_format(o_orderdate, 'yyyy-MM-dd')) as placed",
+    )
+
+
+def _rescued(read: DataFrame) -> DataFrame:
+    return read.select(
+        "o_orderkey", "customer", F.explode_outer("rescued").alias("field", "given")
+    )
+
+
+@query
+def csv_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a typed read by name made null, by field."""
+    path = stage_path(spark, "csv")
+    odd = _odd_orders(spark, sf_dir)
+    tables.write_table(odd.select(*reversed(odd.columns)), "csv", path)
+    return _rescued(tables.read_table(spark, "csv", path, RESCUE, rescued="rescued"))
+
+
+@query
+def json_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "json")
+    tables.write_table(_odd_orders(spark, sf_dir), "jsonl", path)
+    read = tables.read_table(
+        spark, "jsonl", path, RESCUE, tables.read_options("jsonl"), rescued="rescued"
+    )
+    return _rescued(read)
+
+
 @query
 def csv_corrupt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The malformed lines themselves, kept by a positional read."""
@@ -746,6 +852,49 @@ def job_members_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def job_members_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with CSV as the format of processed tables, read back by type."""
+    root = stage_path(spark, "members")
+    now = jobs.ingest("members", derived.members(spark, sf_dir), root, 0, DAYS[0])
+    jobs.process("members", now, root, 0, DAYS[0], "csv")
+    members = jobs.read_processed(spark, root, "members", 0, "csv")
+    return portable(members.select("member_id", "emp_length", "address_state", "annual_income"))
+
+
+@query
+def job_grades_from_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distribution of grades after three batches, kept up by changes alone."""
+    root = stage_path(spark, "grades")
+    arriving = {
+        "members": derived.members(spark, sf_dir),
+        "loans": derived.member_loans(spark, sf_dir),
+        "loan_repayment": derived.balanced_repayment(spark, sf_dir, per_member=True),
+        "loan_defaulters": derived.messy_defaulters(spark, sf_dir),
+    }
+    status = F.when(F.col("loan_status") == "Current", "Fully Paid").otherwise(F.col("loan_status"))
+    paid = F.when(F.col("id") % 5 == 0, F.lit(1)).otherwise(F.col("last_payment_amount"))
+    kind = arriving["loan_repayment"].schema["last_payment_amount"].dataType
+    earlier = {  # what the first two batches have in place of the last one's tables
+        0: {
+            "members": arriving["members"].filter("member_id % 13 <> 0"),
+            "loans": arriving["loans"].withColumn("loan_status", status),
+        },
+        1: {
+            "loans": arriving["loans"].filter("id % 17 <> 0"),
+            "loan_repayment": arriving["loan_repayment"].withColumn(
+                "last_payment_amount", paid.cast(kind)
+            ),
+        },
+    }
+    whole = {name: stage(df, "raw") for name, df in arriving.items()}
+    for n in range(3):
+        for name, df in {**whole, **earlier.get(n, {})}.items():
+            jobs.ingest(name, df, root, n, DAYS[n])
+        grades = jobs.regrade(spark, root, n, DAYS[n])
+    return grades
+
+
 @query
 def job_unstorable_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amounts that pass as numbers but fit no money column are rejected, never nulled."""
@@ -777,6 +926,22 @@ def job_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_table(spark, "parquet", jobs.audit_path(root, "members", 0))
 
 
+@query
+def job_duplicates_across_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loans in three batches, of whose members no one may have two: what was rejected for
+    that in all batches together, and what stayed."""
+    root = stage_path(spark, "loans")
+    # Two loans of a member come a batch apart; other members have one.
+    loans = derived.loans(spark, sf_dir).filter("id % 8 < 2 or id % 11 = 0")
+    for n in range(3):
+        batch = loans.filter(f"id % 3 = {n}")
+        now = jobs.ingest("loans", batch, root, n, DAYS[n], partial=True, once=True)
+    rejects = [jobs.read_rejects(spark, root, "loans", n) for n in range(3)]
+    found = rejects[0].unionByName(rejects[1]).unionByName(rejects[2])
+    twice = found.filter("rule_id = 'R6'").select("id", "member_id", F.lit("rejected").alias("state"))
+    return twice.distinct().unionByName(now.select("id", "member_id", F.lit("kept").alias("state")))
+
+
 def _two_batches(spark: SparkSession, sf_dir: str) -> str:
     """Loans in two batches from CSV; loans without a line item leave in the second."""
     root = stage_path(spark, "loans")
@@ -798,7 +963,7 @@ def _two_batches(spark: SparkSession, sf_dir: str) -> str:
 @query
 def job_loans_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _two_batches(spark, sf_dir)
-    past = history_store.read_history(spark, jobs.history_path(root, "loans"), 1)
+    past = jobs.store(spark, root, "loans").read_history(1)
     return portable(
         past.select(
             "id", "loan_status", "funded_amount", "valid_from", "valid_to",

@@ -13,27 +13,24 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from creditloom.functions.checks import DUPLICATE
 from creditloom.operators import cleaning, history, quality, scoring
 from creditloom.operators.keyed import DEFAULT_POLICY, KeyedPolicy
 from creditloom.plans import rules
-from creditloom.sources.history_store import (
-    history_schema,
-    last_batch,
-    publish,
-    read_batch,
-    read_current,
-)
+from creditloom.sources.slice_store import KEEP, Deliveries, Store
 from creditloom.sources.staging import scope, stage
 from creditloom.sources.tables import (
     PRESETS,
     SCHEMAS,
     as_schema,
     cast_by_name,
+    read_logical,
     read_options,
     read_table,
+    write_bucketed,
     write_table,
 )
 
@@ -100,7 +97,12 @@ def metrics_path(root: str, name: str, batch: int) -> str:
 
 
 def changes_path(root: str, name: str, batch: int) -> str:
-    return f"{root}/changes/{name}/batch={batch}"
+    return f"{history_path(root, name)}/changes/batch={batch}"
+
+
+def store(spark: SparkSession, root: str, name: str) -> Store:
+    """The stored history of a table."""
+    return Store(spark, history_path(root, name), SCHEMAS[name], TABLES[name].keys)
 
 
 def read_rejects(spark: SparkSession, root: str, name: str, batch: int) -> DataFrame:
@@ -162,56 +164,135 @@ def ingest(
     as_of: str | datetime,
     hold_rejected: bool = False,
     partial: bool = False,
+    once: bool = False,
     policy: KeyedPolicy = DEFAULT_POLICY,
+    keep: int = KEEP,
 ) -> DataFrame:
     """Check a snapshot and bring the history up to date.
 
     Rejects, row counts, metrics and (after the first batch) the changes are written beside
-    it. A batch follows the last one or replaces it; any other number is refused.
-    Returns the new current slice. A key rejected today counts as deleted in the
+    it. A batch follows the last one or replaces it; any other number is refused. Its moment
+    ``as_of`` may lie before that of earlier ones.
+    Returns the new current versions. A key rejected today counts as deleted in the
     source unless ``hold_rejected`` keeps its last good version. With ``partial`` the
-    rows are new and changed records only, and no key counts as deleted.
+    rows are new and changed records only, and no key counts as deleted; only the slices of
+    the history that hold their keys are read and written. The state of the last ``keep``
+    batches stays readable.
+
+    With ``once`` (for partial batches) every row is one of its own, and the duplicate checks
+    see the rows of all batches: the rows of earlier ones that turn out to be duplicates are
+    rejected now and deleted, so all rejects together do not depend on how rows are cut
+    into batches.
     """
-    spark, job = raw.sparkSession, TABLES[name]
-    keys, schema = list(job.keys), history_schema(SCHEMAS[name])
-    stored = last_batch(spark, history_path(root, name))
+    spark, keys = raw.sparkSession, list(TABLES[name].keys)
+    past = store(spark, root, name)
+    stored = past.last_batch()
     if stored is not None and batch not in (stored, stored + 1):
         raise ValueError(f"{name}: batch {batch} cannot follow batch {stored} under {root}")
+    if once and not partial:
+        raise ValueError("only rows of partial batches can be rows of their own")
+    checks = table_rules(name)
     with scope(spark):
-        result = quality.split(raw, table_rules(name), keys, policy=policy)
+        met = _met_before(raw, checks, root, name, batch) if once else {}
+        values = {c: rows.select(c).distinct() for c, rows in met.items()}
+        result = quality.split(raw, checks, keys, policy=policy, known=values)
+        detail, gone = result.detail, None
+        if once:
+            late, gone = _turned_out(met, checks, keys, raw.columns)
+            detail = detail.unionByName(late).dropDuplicates()
         # Balanced by rule: few files per folder, and a rule that rejects much is split.
         write_table(
-            result.detail.hint("rebalance", "rule_id"),
+            detail.hint("rebalance", "rule_id"),
             "parquet",
             rejects_path(root, name, batch),
             "overwrite",
             "rule_id",
         )
-        write_table(result.audit, "parquet", audit_path(root, name, batch), "overwrite")
         write_table(result.metrics, "parquet", metrics_path(root, name, batch), "overwrite")
-        snapshot = cast_by_name(result.clean, SCHEMAS[name])
-        if batch == 0:
-            # The key rules above leave no key null or repeated.
-            versions = history.initial(snapshot, keys, as_of, trusted=True)
-        else:
-            held = result.bad.select(*keys) if hold_rejected else None
-            before = read_current(spark, history_path(root, name), batch - 1, schema)
-            versions = history.advance(
-                before, snapshot, keys, as_of, held_keys=held, partial=partial
+        counts = Observation(f"{name}-{batch}")
+        snapshot = cast_by_name(result.observed_clean(counts), SCHEMAS[name])
+        held = result.bad.select(*keys) if hold_rejected and batch > 0 else None
+        past.apply(
+            batch, snapshot, as_of, held_keys=held, gone_keys=gone, partial=partial, keep=keep
+        )
+        rejects = read_rejects(spark, root, name, batch)
+        bad = rejects.select(*[c for c in raw.columns if c in rejects.columns]).distinct()
+        audit = bad.agg(
+            F.lit(counts.get["raw_rows"]).alias("raw_rows"),
+            F.lit(counts.get["clean_rows"]).alias("clean_rows"),
+            F.count(F.lit(1)).alias("bad_rows"),
+        )
+        write_table(audit, "parquet", audit_path(root, name, batch), "overwrite")
+    return past.read_current(batch)
+
+
+def _met_before(
+    raw: DataFrame, checks: list[quality.Rule], root: str, name: str, batch: int
+) -> dict[str, DataFrame]:
+    """By each column under a duplicate check, the earlier rows that share a value with the
+    batch; the rows of the batch are kept for later ones."""
+    columns = {c for r in checks if r.check_type == DUPLICATE for c in r.columns}
+    met = {}
+    for column in sorted(columns.intersection(raw.columns)):
+        path = f"{history_path(root, name)}/delivered/{column}"
+        log = Deliveries(raw.sparkSession, path, column, raw.schema)
+        met[column] = log.met(batch, raw)
+        log.add(batch, raw)
+    return met
+
+
+def _turned_out(
+    met: Mapping[str, DataFrame],
+    checks: list[quality.Rule],
+    keys: list[str],
+    columns: list[str],
+) -> tuple[DataFrame, DataFrame]:
+    """Why earlier rows are rejected now, and the keys of these rows; staged.
+
+    Rows that shared their value with another before were rejected then.
+    """
+    details = []
+    for column, rows in met.items():
+        rules_of = [r for r in checks if r.check_type == DUPLICATE and column in r.columns]
+        single = rows.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).filter("_n = 1")
+        fresh = rows.join(single.select(column), column, "left_semi").select(*columns)
+        why = [
+            F.struct(
+                F.lit(r.rule_id).alias("rule_id"),
+                F.lit(r.check_type).alias("check_type"),
+                F.lit(r.description).alias("check_description"),
+                F.lit(column).alias("failed_column"),
             )
-        publish(versions, history_path(root, name), batch)
-    written = read_batch(spark, history_path(root, name), batch, schema)
-    if batch > 0:
-        changes = history.opened_and_closed(written, keys, as_of)
-        write_table(changes, "parquet", changes_path(root, name, batch), "overwrite")
-    return read_current(spark, history_path(root, name), batch, schema)
+            for r in rules_of
+        ]
+        details.append(fresh.select(*columns, F.inline(F.array(*why))))
+    detail = details[0]
+    for more in details[1:]:
+        detail = detail.unionByName(more)
+    detail = stage(detail, "turned-out")
+    return detail, stage(detail.select(*keys).distinct(), "gone-keys")
 
 
-def process(name: str, current: DataFrame, root: str, batch: int, as_of: str | datetime) -> None:
-    """Clean the current slice of a table and write the processed table(s)."""
+def process(
+    name: str,
+    current: DataFrame,
+    root: str,
+    batch: int,
+    as_of: str | datetime,
+    fmt: str = "parquet",
+) -> None:
+    """Clean the current slice of a table and write the processed table(s), as CSV if wanted."""
     rows = current.drop(*history.META)
     for target, df in TABLES[name].clean(rows, as_of).items():
-        write_table(df, "parquet", processed_path(root, target, batch), "overwrite")
+        write_table(df, fmt, processed_path(root, target, batch), "overwrite")
+
+
+def read_processed(
+    spark: SparkSession, root: str, name: str, batch: int, fmt: str = "parquet"
+) -> DataFrame:
+    """A processed table; CSV has no types, so it gets those of the table's columns."""
+    path = processed_path(root, name, batch)
+    return spark.read.parquet(path) if fmt == "parquet" else read_logical(spark, name, path, fmt)
 
 
 def grade(
@@ -220,11 +301,12 @@ def grade(
     batch: int,
     params: scoring.ScoreParams = scoring.DEFAULT_PARAMS,
     grain: str = "member",
+    fmt: str = "parquet",
 ) -> DataFrame:
     """Score the processed tables of a batch and write the graded loans."""
 
     def processed(name: str) -> DataFrame:
-        return spark.read.parquet(processed_path(root, name, batch))
+        return read_processed(spark, root, name, batch, fmt)
 
     graded = scoring.score(
         processed("loan_repayment"),
@@ -239,6 +321,97 @@ def grade(
     return spark.read.parquet(curated_path(root, batch))
 
 
+def bucket_scoring_tables(
+    tables: Mapping[str, DataFrame],
+    path: str,
+    prefix: str,
+    buckets: int,
+    params: scoring.ScoreParams = scoring.DEFAULT_PARAMS,
+) -> dict[str, str]:
+    """Write what scoring joins in buckets by member; returns the names of the tables.
+
+    ``tables`` are the processed ones. Loans meet their repayment here, once. Scoring the
+    written tables (``scoring.points_of``) then shuffles nothing, however often it is done.
+    """
+    scored = {
+        "payments": scoring.payment_history(tables["loan_repayment"], tables["loans"], params),
+        **{n: tables[n] for n in ("members", "defaulter_details", "delinq_details")},
+    }
+    names = {}
+    for name, df in scored.items():
+        names[name] = f"{prefix}_{name}"
+        write_bucketed(df, names[name], f"{path}/{name}", ["member_id"], buckets)
+    return names
+
+
+def grades_store(spark: SparkSession, root: str, graded: DataFrame) -> Store:
+    """The history of grades, one for each member."""
+    record = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in graded.schema.fields)
+    return Store(spark, history_path(root, "grades"), record, ("member_id",))
+
+
+def distribution_path(root: str, batch: int) -> str:
+    return f"{root}/distribution/batch={batch}"
+
+
+def regrade(
+    spark: SparkSession,
+    root: str,
+    batch: int,
+    as_of: str | datetime,
+    params: scoring.ScoreParams = scoring.DEFAULT_PARAMS,
+) -> DataFrame:
+    """The distribution of grades after a batch, from what the batch changed.
+
+    Members of whom no record changed keep their grade. The others are scored again, and their
+    old and new letters are taken from the last distribution and added to it. Batch 0 scores
+    all members. Every table must have been ingested up to this batch.
+    """
+    with scope(spark):
+        touched = None if batch == 0 else _touched_members(spark, root, batch)
+        rows = {}
+        for name in TABLES:
+            now = store(spark, root, name).read_current(batch).drop(*history.META)
+            if touched is not None and "member_id" in now.columns:
+                now = now.join(touched, "member_id", "left_semi")
+            rows[name] = now
+        if touched is not None:  # repayments name their loan
+            rows["loan_repayment"] = rows["loan_repayment"].join(
+                rows["loans"].select("id"), "id", "left_semi"
+            )
+        tidy = {}
+        for name, job in TABLES.items():
+            tidy.update(job.clean(rows[name], as_of))
+        graded = scoring.score(
+            tidy["loan_repayment"],
+            tidy["loans"],
+            tidy["members"],
+            tidy["defaulter_details"],
+            tidy["delinq_details"],
+            params,
+        )
+        grades = grades_store(spark, root, graded)
+        grades.apply(batch, graded, as_of, gone_keys=touched, partial=touched is not None)
+    if touched is None:
+        counts = scoring.distribution(grades.read_current(0))
+    else:
+        before = spark.read.parquet(distribution_path(root, batch - 1))
+        counts = scoring.moved_distribution(before, grades.read_changes(batch))
+    write_table(counts.coalesce(1), "parquet", distribution_path(root, batch), "overwrite")
+    return spark.read.parquet(distribution_path(root, batch))
+
+
+def _touched_members(spark: SparkSession, root: str, batch: int) -> DataFrame:
+    """Members of whom a batch changed any record; staged."""
+    changed = {name: store(spark, root, name).read_changes(batch) for name in TABLES}
+    paid = changed["loan_repayment"].select("id").distinct()
+    loans = store(spark, root, "loans").read_current(batch)
+    touched = loans.join(paid, "id", "left_semi").select("member_id")
+    for name in ("members", "loans", "loan_defaulters"):
+        touched = touched.unionByName(changed[name].select("member_id"))
+    return stage(touched.filter("member_id is not null").distinct(), "touched-members")
+
+
 def run_batch(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],

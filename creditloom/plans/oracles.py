@@ -247,6 +247,20 @@ def scored(loans: str) -> str:
       FROM scored)"""
 
 
+RESCUED = """SELECT o_orderkey, customer, e.field AS field, e.given AS given
+FROM (
+  SELECT o_orderkey, customer, unnest(CASE WHEN len(lost) > 0 THEN lost ELSE [NULL] END) AS e
+  FROM (
+    SELECT o_orderkey, CASE WHEN o_orderkey % 41 <> 0 THEN o_custkey END AS customer,
+           list_filter([
+             CASE WHEN o_orderkey % 41 = 0 THEN {{'field': 'customer', 'given': 'oops'}} END,
+             CASE WHEN o_orderkey % 43 = 0 THEN {{'field': 'price', 'given': '12 EUR'}}
+                  {empty} END,
+             CASE WHEN o_orderkey % 53 = 0 THEN {{'field': 'placed', 'given': '31.12.1999'}} END
+           ], lambda x: x IS NOT NULL) AS lost
+    FROM orders))"""
+
+
 # --- history --------------------------------------------------------------------------
 
 SNAPSHOTS = """
@@ -311,6 +325,27 @@ def versions(last: int) -> str:
       LEFT JOIN grid g ON g.k = e.k AND g.d = e.closed_on)"""
 
 
+def upserts(*states: str) -> str:
+    """CTEs up to ``versions``: the history that partial batches leave."""
+    return f"""WITH {SNAPSHOTS},
+    states AS ({" UNION ALL ".join(states)}),
+    hashed AS (SELECT *, {ROW_HASH} AS h FROM states),
+    seen AS (SELECT *, lag(h) OVER (PARTITION BY c_custkey ORDER BY stamp) AS before FROM hashed),
+    opened AS (
+      SELECT *, lead(stamp) OVER (PARTITION BY c_custkey ORDER BY stamp) AS ended
+      FROM seen WHERE before IS DISTINCT FROM h),
+    versions AS (
+      SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, h AS row_hash,
+             stamp AS valid_from, ended AS valid_to, ended IS NULL AS is_current,
+             false AS is_deleted_in_source,
+             md5(concat_ws('|', CAST(c_custkey AS VARCHAR), stamp)) AS sk_id
+      FROM opened)"""
+
+
+def day(n: int, where: str = "true") -> str:
+    return f"SELECT '{DAYS[n]}' AS stamp, * FROM day{n} WHERE {where}"
+
+
 # --- data quality ---------------------------------------------------------------------
 
 LINES = """
@@ -569,6 +604,28 @@ ORACLES: dict[str, str] = {
     "scd2_initial": f"{versions(0)} SELECT * FROM versions",
     "scd2_apply": f"{versions(1)} SELECT * FROM versions",
     "scd2_second_batch": f"{versions(2)} SELECT * FROM versions",
+    "scd2_partial_batches": f"""{upserts(day(0), day(1, "c_custkey % 7 = 1"), day(2, "c_custkey % 7 = 2"))}
+      SELECT * FROM versions""",
+    "scd2_versions_in_batch": f"{upserts(day(0), day(1), day(2))} SELECT * FROM versions",
+    "scd2_late_batch": f"{versions(2)} SELECT * FROM versions",
+    "scd2_gained_column": f"""WITH {SNAPSHOTS},
+      now AS (
+        SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN 'renamed' ELSE c_name END AS name,
+               c_nationkey, c_mktsegment
+        FROM day1),
+      state AS (
+        SELECT d.c_custkey, d.c_name, d.c_nationkey, n.c_custkey IS NULL AS gone,
+               n.name IS DISTINCT FROM d.c_name AS differs
+        FROM day0 d LEFT JOIN now n USING (c_custkey))
+      SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+             CAST(NULL AS VARCHAR) AS c_mktsegment, '{DAYS[0]}' AS valid_from,
+             CASE WHEN differs THEN '{DAYS[1]}' END AS valid_to, NOT differs AS is_current,
+             gone AS is_deleted_in_source
+      FROM state
+      UNION ALL
+      SELECT n.c_custkey, n.name, n.c_nationkey, n.c_mktsegment, '{DAYS[1]}', NULL, true, false
+      FROM now n LEFT JOIN day0 d USING (c_custkey) WHERE n.name IS DISTINCT FROM d.c_name""",
+    "scd2_observed": f"{versions(2)} SELECT * FROM versions",
     "scd2_current": f"{versions(2)} SELECT * FROM versions WHERE is_current",
     "scd2_as_of": f"""{versions(2)}
       SELECT c_custkey, c_name, c_nationkey, c_mktsegment, valid_from FROM versions
@@ -666,6 +723,11 @@ ORACLES: dict[str, str] = {
     "csv_malformed": """
       SELECT o_orderkey, CASE WHEN o_orderkey % 41 <> 0 THEN o_custkey END AS customer
       FROM orders""",
+    # An empty CSV field is null; an empty JSON text is a value that is no number.
+    "csv_rescued": RESCUED.format(empty=""),
+    "json_rescued": RESCUED.format(
+        empty="WHEN o_orderkey % 47 = 0 THEN {'field': 'price', 'given': ''}"
+    ),
     "csv_corrupt_lines": """
       SELECT o_orderkey, CAST(NULL AS BIGINT) AS customer, o_orderkey || ',oops' AS line
       FROM orders WHERE o_orderkey % 41 = 0""",
@@ -715,12 +777,23 @@ ORACLES: dict[str, str] = {
       SELECT member_id, emp_length, address_state, CAST(annual_income AS DOUBLE) AS annual_income,
              '{DAYS[0]}' AS ingestion_date
       FROM tidy""",
+    "job_members_csv": f"""WITH {MEMBERS}, {cleaned_members(GOOD_MEMBERS)}
+      SELECT member_id, CAST(emp_length AS VARCHAR) AS emp_length, address_state,
+             CAST(annual_income AS DOUBLE) AS annual_income
+      FROM tidy""",
     "job_unstorable_values": f"""WITH {REPAYMENT}, {RAW_REPAYMENT}
       SELECT id, total_payment, 'total_payment' AS failed_column FROM raw
       WHERE TRY_CAST(total_payment AS DECIMAL(18,2)) IS NULL""",
     "rejects_when_none": f"""WITH {MEMBERS}
       SELECT count(*) AS members, CAST(0 AS BIGINT) AS rejects FROM members
       WHERE {GOOD_MEMBERS}""",
+    "job_duplicates_across_batches": f"""WITH {LOANS},
+      arrived AS (
+        SELECT *, count(*) OVER (PARTITION BY member_id) AS n FROM loans
+        WHERE CAST(id AS BIGINT) % 8 < 2 OR CAST(id AS BIGINT) % 11 = 0)
+      SELECT id, member_id, CASE WHEN n > 1 THEN 'rejected' ELSE 'kept' END AS state
+      FROM arrived
+      WHERE n > 1 OR (installment IS NOT NULL AND NOT ({CLEAN_LOANS_BAD}))""",
     "job_audit": f"""WITH {MEMBERS}
       SELECT count(*) AS raw_rows, count(*) FILTER ({GOOD_MEMBERS}) AS clean_rows,
              count(*) FILTER (NOT ({GOOD_MEMBERS})) AS bad_rows
@@ -752,3 +825,26 @@ ORACLES: dict[str, str] = {
       SELECT id, 'Fully Paid', CAST(funded_amount AS DOUBLE), '{DAYS[1]}', NULL, true, false
       FROM state WHERE pays AND stays""",
 }
+
+ORACLES["grades_bucketed"] = ORACLES["flagship_loan_grade"]
+ORACLES["job_grades_from_changes"] = f"""
+SELECT loan_final_grade, count(member_id) AS loans FROM ({ORACLES["job_grades"]}) GROUP BY 1"""
+ORACLES |= {
+    "stage_payment_history": f"""WITH {LOANS}, {REPAYMENT},
+      paid AS (
+        SELECT l.loan_status, {PAYMENT_POINTS}
+        FROM loan_repayment p JOIN loans l ON l.id = p.id)
+      SELECT loan_status, count(*) AS loans, CAST(sum(last_payment_pts) AS BIGINT) AS last_pts,
+             CAST(sum(total_payment_pts) AS BIGINT) AS total_pts
+      FROM paid GROUP BY 1""",
+    "stage_defaulters_score": f"""{points("loans")}
+      SELECT id, last_payment_pts + total_payment_pts AS paid_pts,
+             delinq_pts + public_records_pts + public_bankruptcies_pts + enq_pts AS record_pts
+      FROM points""",
+    "stage_overall_member_score": f"""{scored("loans")}
+      SELECT id, member_id, payment_history_pts, defaulters_history_pts FROM scored""",
+    "stage_loan_score_eval": f"""{scored("loans")}
+      SELECT loan_final_grade, count(member_id) AS loans, min(loan_score) AS least,
+             max(loan_score) AS most
+      FROM graded GROUP BY 1""",
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,14 +70,22 @@ def read_table(
     schema: str | T.StructType | None = None,
     options: Mapping[str, str] | None = None,
     positional: bool = False,
+    rescued: str | None = None,
 ) -> DataFrame:
     """Read any Spark format.
 
     CSV with a schema: the header names the columns, every field is scanned as text
     and cast by name, and a malformed field becomes null. ``positional`` binds the
     schema by column order instead and takes every line, a header too, as data.
+
+    ``rescued`` names a column for what a read of CSV or JSON by name and type cannot hold: a map
+    from field names to the text of values that became null, null where all was well. A line
+    of another shape than the header, or one that is no JSON, is there as a whole
+    under ``LINE``.
     """
     chosen = dict(options or {})
+    if rescued is not None:
+        return _read_rescued(spark, fmt, path, schema, chosen, rescued)
     reader = spark.read.format("json" if fmt == "jsonl" else fmt)
     if fmt == "csv" and schema is not None:
         if not positional:
@@ -89,22 +97,73 @@ def read_table(
     return reader.options(**chosen).load(path)
 
 
-def cast_by_name(df: DataFrame, schema: str | T.StructType) -> DataFrame:
-    """Select the columns of a schema by name; values that do not fit become null."""
+LINE = "_line"
+"""Under this name a whole line is rescued; no field of the input may be called so."""
+
+
+def _read_rescued(
+    spark: SparkSession,
+    fmt: str,
+    path: str,
+    schema: str | T.StructType | None,
+    options: dict[str, str],
+    rescued: str,
+) -> DataFrame:
+    if schema is None or fmt not in ("csv", "json", "jsonl"):
+        raise ValueError("only typed reads of csv and json can rescue fields")
+    if fmt == "csv":
+        # Fields are named by the header of the files, which may order them otherwise.
+        options["header"] = "true"
+        names = spark.read.format("csv").options(**options).load(path).columns
+    else:
+        names = [f.name for f in as_schema(schema).fields]
+    text = T.StructType([T.StructField(n, T.StringType()) for n in (*names, LINE)])
+    options["columnNameOfCorruptRecord"] = LINE
+    reader = spark.read.format("csv" if fmt == "csv" else "json").schema(text)
+    return cast_by_name(reader.options(**options).load(path), schema, rescued)
+
+
+def cast_by_name(
+    df: DataFrame, schema: str | T.StructType, rescued: str | None = None
+) -> DataFrame:
+    """Select the columns of a schema by name; values that do not fit become null.
+
+    Their text is kept by name in the map ``rescued``, if such a column is named, together
+    with the ``LINE`` that could not be read, if there is one.
+    """
     fields = as_schema(schema).fields
     absent = [f.name for f in fields if f.name not in df.columns]
     if absent:
         raise ValueError(f"columns missing from the input: {absent}")
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields])
+    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in fields]
+    if rescued is None:
+        return df.select(*typed)
+
+    def lost(name: str, gone: Column) -> Column:
+        return F.when(
+            gone, F.struct(F.lit(name).alias("name"), F.col(name).cast("string").alias("text"))
+        )
+
+    found = [
+        lost(f.name, F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+        for f in fields
+    ]
+    if LINE in df.columns:
+        found.append(lost(LINE, F.col(LINE).isNotNull()))
+    entries = F.array_compact(F.array(*found))
+    kept = F.when(F.size(entries) > 0, F.map_from_entries(entries))
+    return df.select(*typed, kept.alias(rescued))
 
 
 def read_logical(
     spark: SparkSession, name: str, path: str, fmt: str = "parquet"
 ) -> DataFrame:
-    """One of the loan tables with its declared types, bound by column name."""
-    if fmt == "csv":
-        return read_table(spark, fmt, path, SCHEMAS[name], read_options(fmt))
-    return cast_by_name(read_table(spark, fmt, path, options=read_options(fmt)), SCHEMAS[name])
+    """One of the loan tables with its declared types, bound by column name.
+
+    The types are known, so no file's footer is read before the scan; a column that a file lacks is
+    null in its rows.
+    """
+    return read_table(spark, fmt, path, SCHEMAS[name], read_options(fmt))
 
 
 def read_members(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -136,6 +195,20 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
 MODES = ("overwrite", "append", "ignore", "error")
 
 
+def write_bucketed(
+    df: DataFrame, table: str, path: str, columns: Sequence[str], buckets: int
+) -> None:
+    """Write a catalogue table in sorted buckets, so that joins on ``columns`` need no shuffle.
+
+    Tables that are joined must have the same number of buckets. An earlier table of the name
+    is replaced.
+    """
+    by = list(columns)
+    dealt = df.repartition(buckets, *by)  # one file a bucket
+    writer = dealt.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, *by).sortBy(*by).saveAsTable(table)
+
+
 def write_table(
     df: DataFrame,
     fmt: str,

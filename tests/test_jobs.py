@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from creditloom.operators import history, quality
+from creditloom.operators import history, quality, scoring
 from creditloom.plans import jobs
-from creditloom.sources import history_store, tables
+from creditloom.sources import tables
 from creditloom.sources.tables import SCHEMAS
 
 DAY = ["2024-01-01 00:00:00", "2024-01-02 00:00:00"]
@@ -122,7 +122,7 @@ def test_second_batch(spark, two_batches):
     root, graded = two_batches
     # m5 is rejected and so drops out; l6 has left.
     assert sorted(r.member_id for r in graded[1].collect()) == ["m1", "m2", "m3", "m4", "m7", "m8"]
-    past = history_store.read_history(spark, jobs.history_path(root, "members"), 1)
+    past = jobs.store(spark, root, "members").read_history(1)
     spans = {r.member_id: (r.is_current, r.is_deleted_in_source) for r in past.collect()}
     assert spans["m5"] == (False, True)
     assert history.current(past).count() == 7
@@ -131,9 +131,9 @@ def test_second_batch(spark, two_batches):
 def test_batches_can_be_repeated(spark, two_batches):
     root, graded = two_batches
     raw = jobs.read_raw(spark, "csv", f"{root}/raw/loans/1")
-    before = sorted(map(str, history_store.read_history(spark, jobs.history_path(root, "loans"), 1).collect()))
+    before = sorted(map(str, jobs.store(spark, root, "loans").read_history(1).collect()))
     jobs.ingest("loans", raw, root, 1, DAY[1])
-    after = sorted(map(str, history_store.read_history(spark, jobs.history_path(root, "loans"), 1).collect()))
+    after = sorted(map(str, jobs.store(spark, root, "loans").read_history(1).collect()))
     assert before == after
 
 
@@ -171,3 +171,84 @@ def test_no_rejects_can_be_read(spark, tmp_path):
     jobs.ingest("members", rows, str(tmp_path), 0, "2024-02-01 00:00:00")
     empty = jobs.read_rejects(spark, str(tmp_path), "members", 0)
     assert empty.count() == 0 and set(quality.DETAIL_COLUMNS) <= set(empty.columns)
+
+
+def text_loans(spark, rows):
+    schema = ", ".join(f"{c} string" for c in names("loans"))
+    return spark.createDataFrame([tuple(r.get(c) for c in names("loans")) for r in rows], schema)
+
+
+@pytest.mark.parametrize("cut", [1, 2, 5])
+def test_rejects_do_not_depend_on_how_rows_are_cut(spark, tmp_path, cut):
+    """Key l3 comes three times, member m8 has three loans, and l9 is bad besides."""
+    rows = [loan(n) for n in range(8)]
+    rows += [loan(3, loan_status="Fully Paid"), loan(3, purpose="yacht")]
+    rows += [loan(n, member_id="m8") for n in (20, 21, 22)]
+    rows += [loan(9, purpose="yacht"), loan(9, member_id="m30"), loan(4), loan(40, member_id=None)]
+    root, size = str(tmp_path), -(-len(rows) // cut)
+    for n in range(cut):
+        part = text_loans(spark, rows[n * size : (n + 1) * size])
+        for _ in range(2):  # a batch that is run again changes nothing
+            now = jobs.ingest("loans", part, root, n, f"2024-02-0{n + 1}", partial=True, once=True)
+    found = set()
+    for n in range(cut):
+        for r in jobs.read_rejects(spark, root, "loans", n).collect():
+            found.add((r.id, r.member_id, r.loan_status, r.purpose, r.rule_id, r.failed_column))
+    whole = quality.split(text_loans(spark, rows), jobs.table_rules("loans"), ["id"])
+    want = {
+        (r.id, r.member_id, r.loan_status, r.purpose, r.rule_id, r.failed_column)
+        for r in whole.detail.collect()
+    }
+    assert found == want and len(want) > 10
+    assert {r.id for r in now.collect()} == {r.id for r in whole.clean.collect()}
+
+
+def test_counts_are_those_of_what_was_written(spark, tmp_path):
+    rows = [loan(1), loan(2, purpose="yacht"), loan(2, purpose="yacht"), loan(3)]
+    now = jobs.ingest("loans", text_loans(spark, rows), str(tmp_path), 0, DAY[0])
+    audit = spark.read.parquet(jobs.audit_path(str(tmp_path), "loans", 0)).first()
+    assert audit.asDict() == {"raw_rows": 4, "clean_rows": 2, "bad_rows": 1}
+    assert now.count() == 2
+
+
+def test_processed_tables_as_csv(spark, two_batches, tmp_path):
+    root, graded = two_batches
+    for name in jobs.TABLES:
+        now = jobs.store(spark, root, name).read_current(0)
+        jobs.process(name, now, str(tmp_path), 0, DAY[0], "csv")
+    again = jobs.grade(spark, str(tmp_path), 0, fmt="csv")
+    assert sorted(map(str, again.collect())) == sorted(map(str, graded[0].collect()))
+
+
+def test_distribution_follows_changes(spark, two_batches):
+    root, graded = two_batches
+    for batch in (0, 1):
+        counts = jobs.regrade(spark, root, batch, DAY[batch])
+        want = scoring.distribution(graded[batch])
+        assert sorted(map(str, counts.collect())) == sorted(map(str, want.collect()))
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
+
+
+def test_bucketed_tables_are_scored_without_a_shuffle(spark, two_batches, tmp_path):
+    root, graded = two_batches
+    tidy = {
+        name: jobs.read_processed(spark, root, name, 0)
+        for name in ("loan_repayment", "loans", "members", "defaulter_details", "delinq_details")
+    }
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables_of = jobs.bucket_scoring_tables(tidy, f"{tmp_path}/b", "scoring_test", 4)
+        points = scoring.points_of(*[spark.table(t) for t in tables_of.values()])
+        scored = scoring.graded(scoring.composite(points))
+        plain = scoring.score(*tidy.values())
+        assert exchanges(scored) == 0 and exchanges(plain) > 0
+        assert sorted(map(str, scored.collect())) == sorted(map(str, graded[0].collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for t in tables_of.values():
+            spark.sql(f"drop table if exists {t}")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditloom.plans import catalog
-from creditloom.sources import staging, tables
+from creditloom.sources import schemas, staging, tables
 from creditloom.sources.staging import stage_path
 
 
@@ -156,3 +156,62 @@ def test_json_documents_bound_their_files(spark, monkeypatch):
     counts = spark.read.json(paths[0], multiLine=True).groupBy("file").count().collect()
     sizes = [r["count"] for r in counts]
     assert max(sizes) <= 5 * 5 and len(sizes) > 64
+
+
+def test_rescued_fields_of_csv_and_json(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,id,day\n1.5,1,2024-01-01\n,2,yesterday\n7,3\n8,4,2024-01-02,x\n")
+    schema = "id int, n int, day date"
+    read = tables.read_table(spark, "csv", f"{tmp_path}/a.csv", schema, rescued="r").collect()
+    got = {r.id: (r.n, str(r.day), r.r) for r in read}
+    assert got[1] == (None, "2024-01-01", {"n": "1.5"})
+    assert got[2] == (None, "None", {"day": "yesterday"})
+    assert got[3] == (7, "None", {"_line": "7,3"})
+    assert got[4] == (8, "2024-01-02", {"_line": "8,4,2024-01-02,x"})
+    lines = ['{"id": 1, "n": "many", "day": null}', '{"id": 2, "n": {"a": 1}}', "{nonsense"]
+    (tmp_path / "a.json").write_text("\n".join(lines))
+    options = tables.read_options("jsonl")
+    read = tables.read_table(spark, "jsonl", f"{tmp_path}/a.json", schema, options, rescued="r")
+    got = [(r.id, r.n, r.r) for r in read.collect()]
+    assert got == [
+        (1, None, {"n": "many"}),
+        (2, None, {"n": '{"a":1}'}),
+        (None, None, {"_line": "{nonsense"}),
+    ]
+    with pytest.raises(ValueError, match="typed"):
+        tables.read_table(spark, "parquet", str(tmp_path), schema, rescued="r")
+
+
+def test_typed_reads_start_no_job_for_footers(spark, tmp_path):
+    columns = tables.SCHEMAS["delinq_details"]
+    rows = spark.createDataFrame([("m1", 1, None, 2)], columns)
+    rows.write.parquet(f"{tmp_path}/t")
+    rows.drop("months_since_last_delinq").write.mode("append").parquet(f"{tmp_path}/t")
+    group = "footers"
+    spark.sparkContext.setJobGroup(group, "")
+    read = tables.read_delinquencies(spark, f"{tmp_path}/t")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    assert sorted(r.months_since_last_delinq or 0 for r in read.collect()) == [0, 2]
+
+
+@pytest.mark.parametrize(
+    "old,new,want",
+    [
+        ("int", "bigint", "bigint"),
+        ("bigint", "int", "bigint"),
+        ("float", "double", "double"),
+        ("decimal(10,2)", "decimal(12,4)", "decimal(12,4)"),
+        ("decimal(10,2)", "bigint", "decimal(21,2)"),
+        ("date", "timestamp_ntz", "timestamp_ntz"),
+    ],
+)
+def test_types_are_widened(spark, old, new, want):
+    both = schemas.reconcile(
+        tables.as_schema(f"a {old}, b string"), tables.as_schema(f"a {new}, c int")
+    )
+    assert both.simpleString() == f"struct<a:{want},b:string,c:int>"
+
+
+@pytest.mark.parametrize("old,new", [("int", "string"), ("boolean", "int"), ("bigint", "double")])
+def test_types_without_a_common_one_are_refused(spark, old, new):
+    with pytest.raises(ValueError, match="no common type"):
+        schemas.reconcile(tables.as_schema(f"a {old}"), tables.as_schema(f"a {new}"))

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 from creditloom.operators import history
 from creditloom.plans import jobs
-from creditloom.sources import history_store
 from creditloom.streaming.incremental import follow
 from tests.test_jobs import loan, names
 
@@ -34,7 +33,7 @@ def test_each_drop_becomes_a_batch(spark, tmp_path):
     drop_file(spark, drops, 1, [loan(2, loan_status="Fully Paid"), loan(4)])
     run()
     run()  # nothing new arrived
-    past = history_store.read_history(spark, jobs.history_path(root, "loans"), 1)
+    past = jobs.store(spark, root, "loans").read_history(1)
     assert sorted((r.id, r.loan_status, r.is_current) for r in past.collect()) == [
         ("l1", "Current", True), ("l2", "Current", False), ("l2", "Fully Paid", True), ("l4", "Current", True)
     ]
