@@ -7,12 +7,11 @@ follow each other alike. Rows that share a sketch meet the row chosen for that s
 pairs are verified by aligning their shingles: what two texts share in the same order, over
 all that either has, must reach ``SIMILAR``. Links join rows to classes.
 
-A group of copies is a star and not a clique: rows of equal words are one node, and nodes
-meet a chosen one per sketch, and one per pair of sketches. That joins most of what is alike.
-Few sketches are then left that nodes of several classes share. Up to ``FEW`` nodes that
-share one all meet; where more do, each meets some of the others at random, which joins more
-of what is alike. Nodes that are then left in a group of several classes meet all that share
-one of their rarest shingles: no similar pair is without one.
+A group of copies is a star and not a clique: rows of equal words are one node, and of the
+nodes that share a sketch all meet one chosen node, the same one for as many sketches as can be.
+That joins most of what is alike. Nodes that are then left in a group of several classes are
+joined exactly: they meet all that share one of their rarest shingles, and no similar pair is
+without one. Pairs whose numbers of shingles rule out that they are similar never meet.
 """
 
 from __future__ import annotations
@@ -42,9 +41,6 @@ SIMILAR = 0.8
 SKETCHES = 16
 TAKEN = 3
 SEED = 29
-FEW = 64
-MEETING = 6
-"""Nodes that meet at random, about, of those that share a sketch with more than FEW."""
 PARTNERS = 512
 """Partners of one node that a task meets together; more are spread by a salt."""
 CELL_BITS = 22
@@ -146,7 +142,9 @@ def aligned(a: np.ndarray, b: np.ndarray) -> float:
     return share if share >= SIMILAR else 0.0
 
 
-SKETCHED = "doc_id long, text_key long, words_a long, words_b long, sketches array<bigint>"
+SKETCHED = (
+    "doc_id long, text_key long, words_a long, words_b long, size long, sketches array<bigint>"
+)
 
 
 def _sketch_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,9 +165,10 @@ def _sketch_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         width = np.where(counts > 0, SKETCHES, 0)
         offsets = pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32())
         lists = pa.ListArray.from_arrays(offsets, pa.array(found[counts > 0].ravel().view(np.int64)))
+        words = [pa.array(sums[0]), pa.array(sums[1]), pa.array(counts.astype(np.int64))]
         yield pa.RecordBatch.from_arrays(
-            [batch["doc_id"], batch["text_key"], pa.array(sums[0]), pa.array(sums[1]), lists],
-            names=["doc_id", "text_key", "words_a", "words_b", "sketches"],
+            [batch["doc_id"], batch["text_key"], *words, lists],
+            names=["doc_id", "text_key", "words_a", "words_b", "size", "sketches"],
         )
 
 
@@ -207,50 +206,44 @@ def sketch(docs: DataFrame) -> DataFrame:
         return stage(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
 
 
-def _buckets(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``node`` and ``bucket`` by each sketch, and by each two neighbouring sketches."""
-
-    def pair(i: Column) -> Column:
-        return F.struct(
-            i.alias("i"),
-            F.get("sketches", i).alias("this"),
-            F.get("sketches", (i + 1) % SKETCHES).alias("next"),
-        )
-
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """``node``, its ``size`` and a ``bucket`` for each of its sketches."""
     each = nodes.filter(F.size("sketches") > 0).select(
-        "node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(SKETCHES - 1)), pair)).alias("s")
+        "node", "size", F.posexplode("sketches").alias("i", "sketch")
     )
-    one = each.select("node", F.xxhash64("s.i", "s.this").alias("bucket"), "s.i")
-    two = each.select("node", F.xxhash64("s.i", "s.this", "s.next").alias("bucket"))
-    return one, two
+    return each.select("node", "size", F.xxhash64("i", "sketch").alias("bucket"))
 
 
-def _first_of(bucket_rows: DataFrame) -> DataFrame:
-    """``other``, the chosen node of each bucket, and its number of ``nodes``; staged."""
-    order = F.struct(F.xxhash64("bucket", "node"), "node")
-    return stage(
-        bucket_rows.groupBy("bucket")
-        .agg(F.min_by("node", order).alias("other"), F.count(F.lit(1)).alias("nodes"))
-        .filter("nodes > 1"),
-        "buckets",
-    )
-
+def _met(bucket_rows: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several nodes, with the chosen node as ``hub``; staged.
 
-def _pairs(bucket_rows: DataFrame) -> DataFrame:
-    """Each row of a bucket with its bucket's chosen node, the first in an order of its own.
-
-    One aggregation chooses and counts; buckets of one node end there. The rows of a large
-    bucket learn its choice from a broadcast of bounded size.
+    All buckets choose by one order of the nodes, so nodes that share many buckets meet few
+    others. One aggregation chooses and counts; buckets of one node end there. The rows of a
+    large bucket learn its choice from a broadcast of bounded size.
     """
-    chosen = _first_of(bucket_rows)
+    order = F.struct(F.xxhash64("node"), "node")
+    hub = F.min_by(F.struct("node", "size"), order).alias("hub")
+    chosen = bucket_rows.groupBy("bucket").agg(hub, F.count(F.lit(1)).alias("nodes"))
+    chosen = stage(chosen.filter("nodes > 1"), "buckets")
     total = chosen.agg(F.coalesce(F.sum("nodes"), F.lit(0))).first()[0]
     met = meet(bucket_rows, chosen, ["bucket"], "nodes", total)
-    return met.filter(F.col("other").isNotNull()).drop("nodes")
+    return stage(met.filter("hub is not null").drop("nodes"), "met-buckets")
+
+
+def _star_pairs(met: DataFrame) -> DataFrame:
+    """``node`` and ``other``: the nodes with the hubs of their buckets, once; staged."""
+    alike = _may_be_similar(F.col("size"), F.col("hub.size"))
+    pairs = met.filter(alike & (F.col("node") != F.col("hub.node")))
+    return stage(pairs.select("node", F.col("hub.node").alias("other")).distinct(), "candidates")
+
+
+def _may_be_similar(a: Column, b: Column) -> Column:
+    """The shorter one can share no more shingles than it has."""
+    return F.least(a, b) >= F.lit(SIMILAR) * F.greatest(a, b) - SLACK
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that are similar, staged. ``texts`` has ``node`` and ``text``."""
-    pairs = stage(pairs.select("node", "other").distinct(), "pairs")
+    """Those of staged pairs that are similar; staged. ``texts`` has ``node`` and ``text``."""
     partners = stage(
         pairs.groupBy("other")
         .agg(F.count(F.lit(1)).alias("partners"))
@@ -359,49 +352,56 @@ def classify(docs: DataFrame, policy: KeyedPolicy | None = None) -> DataFrame:
     rows = sketch(docs)
     name = ["words_a", "words_b"]
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "text_key")
+    chosen = F.struct("row", "doc_id", "text_key", "size", "sketches")
     nodes = stage(
         rows.groupBy(*name)
-        .agg(
-            F.min_by(F.struct("row", "doc_id", "text_key", "sketches"), first).alias("f"),
-            F.count(F.lit(1)).alias("copies"),
-        )
+        .agg(F.min_by(chosen, first).alias("f"), F.count(F.lit(1)).alias("copies"))
         .select(
             *name,
             "copies",
             F.col("f.row").alias("node"),
-            F.col("f.doc_id").alias("doc_id"),
-            F.col("f.text_key").alias("text_key"),
-            F.col("f.sketches").alias("sketches"),
+            *[F.col(f"f.{c}").alias(c) for c in ("doc_id", "text_key", "size", "sketches")],
         ),
         "nodes",
     )
-    one, two = _buckets(nodes)
-    pairs = _pairs(one).select("node", "other").unionByName(_pairs(two).select("node", "other"))
-    pairs = stage(pairs.filter("node != other").distinct(), "candidates")
-    met = stage(pairs.select("node").union(pairs.select("other")).distinct(), "met")
-    named = stage(nodes.join(met, "node").select("node", "doc_id", "text_key"), "named")
-    texts = candidate_texts(docs, named, policy)
-    links = _linked(pairs, texts)
-    classes = components(links)
-    mixed = _mixed(stage(one.join(met, "node", "left_semi"), "met-buckets"), classes)
-    few, many = _by_size(mixed)
-    again = _new_pairs(_all_of(few.unionByName(_at_random(many))), pairs)
-    links = stage(links.unionByName(_linked(again, texts)), "links")
-    if not many.isEmpty():
-        pairs = stage(pairs.unionByName(again), "candidates")
-        left = _mixed(many, components(links))
-        more = _linked(_new_pairs(_all_alike(left, texts, policy), pairs), texts)
-        links = stage(links.unionByName(more), "links")
-    return _judged(rows, nodes, components(links))
+    buckets = _met(_buckets(nodes))
+    pairs = _star_pairs(buckets)
+    named = nodes.join(buckets.select("node").distinct(), "node").select(
+        "node", "doc_id", "text_key"
+    )
+    texts = candidate_texts(docs, stage(named, "named"), policy)
+    classes = components(_linked(pairs, texts))
+    crowd = _crowd(buckets, classes)
+    if not crowd.isEmpty():
+        again = _new_pairs(_all_alike(crowd, texts, policy), pairs)
+        more = _linked(again, texts)
+        if not more.isEmpty():
+            joined = classes.select("node", F.col("class").alias("other"))
+            classes = components(joined.unionByName(more.select("node", "other")))
+    return _judged(rows, nodes, classes)
+
+
+def _crowd(bucket_rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``node`` and ``class`` of the nodes in buckets in which several classes are left; staged."""
+    known = stage(
+        bucket_rows.join(classes, "node", "left").select(
+            "node", "bucket", F.coalesce("class", "node").alias("class")
+        ),
+        "bucket-classes",
+    )
+    mixed = (F.min("class") != F.max("class")).alias("mixed")
+    several = known.groupBy("bucket").agg(mixed, F.count(F.lit(1)).alias("nodes"))
+    several = stage(several.filter("mixed"), "mixed-buckets")
+    met = meet(known, several, ["bucket"], "nodes", known.count())
+    return stage(met.filter("mixed").select("node", "class").distinct(), "crowd-nodes")
 
 
 def _new_pairs(found: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs that are not among ``pairs`` in either order; staged."""
     return stage(
-        found.filter("node != other")
-        .distinct()
-        .join(pairs, ["node", "other"], "left_anti")
-        .join(pairs.toDF("other", "node"), ["node", "other"], "left_anti"),
+        found.join(pairs, ["node", "other"], "left_anti").join(
+            pairs.toDF("other", "node"), ["node", "other"], "left_anti"
+        ),
         "again",
     )
 
@@ -425,11 +425,13 @@ def _cells(labelled: np.ndarray) -> np.ndarray:
 
 
 def _levels(crowd: DataFrame) -> np.ndarray:
-    """A small number for each cell that rises with how many shingles fall in it."""
+    """A small number for each cell that rises with how many shingles fall in it, from 0 for one.
+
+    The number of cells is fixed, so the answer has a fixed size.
+    """
     counted = crowd.select("text").mapInArrow(_cell_counts, "cell int, n long")
     level = F.least(F.lit(255), F.ceil(F.log2(F.sum("n")) * 6)).cast("int")
-    # Cells of few shingles, nearly all, keep level 0.
-    found = counted.groupBy("cell").agg(level.alias("level")).filter("level > 12").toArrow()
+    found = counted.groupBy("cell").agg(level.alias("level")).filter("level > 0").toArrow()
     out = np.zeros(1 << CELL_BITS, np.uint8)
     out[found["cell"].to_numpy()] = found["level"].to_numpy()
     return out
@@ -442,17 +444,19 @@ def _rarest(levels: np.ndarray):
     """For mapInArrow: the rarest labelled shingles of each text, by their ``place`` in an
     order that is the same for all texts.
 
-    Similar texts share one of them, and that is ``first`` in the shorter one.
+    Similar texts share one of them, and that is ``first`` in the shorter one. A shingle that is
+    alone in its cell is in one text only, so it keeps its place and is not given.
     """
 
     def placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             labelled, counts = shingles(batch["text"].to_pylist())
             owner = np.repeat(np.arange(len(counts)), counts)
-            order = np.lexsort((labelled, levels[_cells(labelled)], owner))
+            level = levels[_cells(labelled)]
+            order = np.lexsort((labelled, level, owner))
             size = counts[owner]
             place = np.arange(len(order)) - np.repeat(np.cumsum(counts) - counts, counts)
-            keep = place <= size - np.ceil(SIMILAR * size - SLACK)
+            keep = (place <= size - np.ceil(SIMILAR * size - SLACK)) & (level[order] > 0)
             first = place <= size - np.ceil(2 * SIMILAR / (1 + SIMILAR) * size - SLACK)
             own = pa.array(owner[keep])
             yield pa.RecordBatch.from_arrays(
@@ -470,7 +474,7 @@ def _rarest(levels: np.ndarray):
     return placed
 
 
-def _all_alike(mixed: DataFrame, texts: DataFrame, policy: KeyedPolicy) -> DataFrame:
+def _all_alike(who: DataFrame, texts: DataFrame, policy: KeyedPolicy) -> DataFrame:
     """Every pair of nodes of different classes that can be similar; staged.
 
     A prefix filter: similar texts share so many labelled shingles that one is among the
@@ -479,7 +483,6 @@ def _all_alike(mixed: DataFrame, texts: DataFrame, policy: KeyedPolicy) -> DataF
     what a pair can share besides. Per shingle, pairs have one node at least that is not of its
     most frequent class, and meetings are dealt over salts of both sides.
     """
-    who = stage(mixed.select("node", "class").distinct(), "crowd-nodes")
     few = who.count() <= policy.broadcast_rows
     crowd = stage(texts.join(F.broadcast(who) if few else who, "node"), "crowd")
     with small_batches(crowd.sparkSession):
@@ -559,43 +562,6 @@ def _all_alike(mixed: DataFrame, texts: DataFrame, policy: KeyedPolicy) -> DataF
     return stage(pairs.select("node", "other").distinct(), "alike")
 
 
-def _mixed(bucket_rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """All rows of the buckets in which several classes are left, with ``class``; staged."""
-    rows = bucket_rows.select("node", "bucket", "i")
-    known = rows.join(classes, "node", "left").select(
-        "node", "bucket", "i", F.coalesce("class", "node").alias("class")
-    )
-    known = stage(known, "bucket-classes")
-    several = stage(
-        known.groupBy("bucket")
-        .agg(
-            (F.min("class") != F.max("class")).alias("several"), F.count(F.lit(1)).alias("nodes")
-        )
-        .filter("several"),
-        "mixed-buckets",
-    )
-    met = meet(known, several, ["bucket"], "nodes", known.count())
-    return stage(met.filter("several").drop("several"), "mixed")
-
-
-def _by_size(mixed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of the buckets of up to FEW rows, and of the larger ones."""
-    return mixed.filter(F.col("nodes") <= FEW), mixed.filter(F.col("nodes") > FEW)
-
-
-def _at_random(many: DataFrame) -> DataFrame:
-    """The rows dealt into meetings of about MEETING rows of a bucket."""
-    salt = F.pmod(F.xxhash64("node"), F.ceil(F.col("nodes") / MEETING))
-    return many.withColumn("bucket", F.xxhash64("bucket", salt))
-
-
-def _all_of(small: DataFrame) -> DataFrame:
-    """The pairs of different classes in buckets that hold up to about FEW rows each."""
-    a = small.select("bucket", "node", "class")
-    b = small.select("bucket", F.col("node").alias("other"), F.col("class").alias("its"))
-    return a.join(b, "bucket").filter("node > other and class != its").select("node", "other")
-
-
 def _judged(rows: DataFrame, nodes: DataFrame, classes: DataFrame) -> DataFrame:
     """Classes back to all rows, by the words that rows of one node share."""
     name = ["words_a", "words_b"]

@@ -199,9 +199,10 @@ def test_near_pairs_of_template(documents):
     assert {tuple(sorted(v)) for v in got.values() if len(v) > 1} == wanted
 
 
-def test_near_meeting_without_links(documents, monkeypatch):
-    """That a random meeting links nothing does not end the search."""
-    monkeypatch.setattr(near_dup, "_at_random", lambda many, *turn: many.limit(0))
+def test_near_stars_without_links(documents, monkeypatch):
+    """That the chosen nodes link nothing does not end the search."""
+    stars = near_dup._star_pairs
+    monkeypatch.setattr(near_dup, "_star_pairs", lambda rows: stars(rows).limit(0))
     texts = template_family(300, 60, 6)
     sizes = Counter(r.class_size for r in near_dup.classify(documents(texts)).collect())
     assert sizes == {2: 120, 1: 180}
