@@ -133,6 +133,88 @@ def grade_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Stages of scoring as views, and SQL that begins at one of them.
+
+
+def _stage_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    late, records = cleaning.split_defaulters(derived.loan_defaulters(spark, sf_dir))
+    tables.register_views(
+        scoring.stages(
+            derived.loan_repayment(spark, sf_dir),
+            derived.loans(spark, sf_dir),
+            derived.members(spark, sf_dir),
+            records,
+            late,
+        )
+    )
+    return portable(spark.sql(sql))
+
+
+@query
+def stage_payment_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stage_sql(
+        spark,
+        sf_dir,
+        """select loan_status, count(*) as loans, sum(last_payment_pts) as last_pts,
+                  sum(total_payment_pts) as total_pts
+           from payment_history group by loan_status""",
+    )
+
+
+@query
+def stage_defaulters_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stage_sql(
+        spark,
+        sf_dir,
+        """select id, last_payment_pts + total_payment_pts as paid_pts,
+                  delinq_pts + public_records_pts + public_bankruptcies_pts + enq_pts as record_pts
+           from defaulters_score""",
+    )
+
+
+@query
+def stage_overall_member_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stage_sql(
+        spark,
+        sf_dir,
+        """select id, member_id, cast((last_payment_pts + total_payment_pts) * 0.20 as double)
+                    as payment_history_pts,
+                  cast((delinq_pts + public_records_pts + public_bankruptcies_pts + enq_pts) * 0.45
+                    as double) as defaulters_history_pts
+           from overall_member_score""",
+    )
+
+
+@query
+def stage_loan_score_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stage_sql(
+        spark,
+        sf_dir,
+        """select loan_final_grade, count(member_id) as loans, min(loan_score) as least,
+                  max(loan_score) as most
+           from loan_score_eval group by loan_final_grade""",
+    )
+
+
+@query
+def grades_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship from tables in buckets by member, scored without a shuffle."""
+    late, records = cleaning.split_defaulters(derived.loan_defaulters(spark, sf_dir))
+    processed = {
+        "loan_repayment": derived.loan_repayment(spark, sf_dir, per_member=True),
+        "loans": derived.member_loans(spark, sf_dir),
+        "members": derived.members(spark, sf_dir),
+        "defaulter_details": records,
+        "delinq_details": late,
+    }
+    path = stage_path(spark, "buckets")
+    prefix = "scoring_" + path.rsplit("-", 1)[1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    names = jobs.bucket_scoring_tables(processed, path, prefix, buckets)
+    points = scoring.points_of(*[spark.table(n) for n in names.values()])
+    return portable(scoring.graded(scoring.composite(points)))
+
+
 # --- data quality: single checks ------------------------------------------------------
 
 

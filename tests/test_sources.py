@@ -174,7 +174,7 @@ def test_rescued_fields_of_csv_and_json(spark, tmp_path):
     got = [(r.id, r.n, r.r) for r in read.collect()]
     assert got == [
         (1, None, {"n": "many"}),
-        (2, None, {"n": '{"a":1}'}),
+        (2, None, {"n": '{"a": 1}'}),
         (None, None, {"_line": "{nonsense"}),
     ]
     with pytest.raises(ValueError, match="typed"):
