@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -67,17 +69,18 @@ ALWAYS = set(
 )
 ARTICLE = set("article articles main content story post entry body text page blog".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL,
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_EDGE = re.compile("[>\"']")
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _COMMA = re.compile("[,，、،;]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
+REACH = 200
+"""Levels that a paragraph's points pass up; what would come after that is next to nothing."""
+
+
 class Node:
     __slots__ = ("tag", "attrs", "parent", "parts", "points", "size", "linked", "level")
 
@@ -89,62 +92,180 @@ class Node:
         self.level = 0 if parent is None else parent.level + 1
 
 
+class _Tags:
+    """Finds where tags end, in time that grows with the page.
+
+    A tag ends at the first ``>`` outside of quotes. A scan that meets a quote that never closes, or
+    no ``>``, finds none; the quotes it passed are remembered, as a later scan that comes upon
+    one of them would end alike.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.vain: set[int] = set()
+        self.name_end = 0
+
+    def after_name(self, at: int) -> int:
+        """Where the name ends of a tag that begins here, -1 if none does.
+
+        Names that end at the same place are measured once.
+        """
+        if at >= self.name_end:
+            found = _NAME.match(self.page, at)
+            if found is None:
+                return -1
+            self.name_end = found.end()
+        elif not (self.page[at].isascii() and self.page[at].isalpha()):
+            return -1
+        return self.name_end
+
+    def end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag whose attributes begin here; -1 without one."""
+        passed = []
+        while at <= self.last:
+            edge = _EDGE.search(self.page, at).start()
+            if self.page[edge] == ">":
+                return edge
+            close = -1 if edge in self.vain else self.page.find(self.page[edge], edge + 1)
+            passed.append(edge)
+            if close < 0:
+                break
+            at = close + 1
+        self.vain.update(passed)
+        return -1
+
+
+class _Tree:
+    """The tree of a page while it is read; knows what is open without walking through it."""
+
+    def __init__(self):
+        self.root = self.node = Node("html", "", None)
+        self.open: Counter[str] = Counter()
+        self.scoped: list[Counter[str]] = [Counter()]  # open since each scope began
+        self.frames: list[list[Node]] = [[]]  # open since each barrier that may end by itself
+
+    def push(self, node: Node) -> None:
+        tag = node.tag
+        self.node = node
+        self.open[tag] += 1
+        self.scoped[-1][tag] += 1
+        if tag in SCOPES:
+            self.scoped.append(Counter())
+        if _is_barrier(tag):
+            self.frames.append([])
+        if tag in ENDS:
+            self.frames[-1].append(node)
+
+    def pop_to(self, node: Node) -> None:
+        """Close all that is open inside ``node``, and itself."""
+        while True:
+            last = self.node
+            if last.tag in ENDS:
+                self.frames[-1].pop()
+            if _is_barrier(last.tag):
+                self.frames.pop()
+            if last.tag in SCOPES:
+                self.scoped.pop()
+            self.scoped[-1][last.tag] -= 1
+            self.open[last.tag] -= 1
+            self.node = last.parent
+            if last is node:
+                return
+
+    def close(self, tag: str) -> None:
+        """An end tag; one that matches nothing open, or nothing in its scope, is ignored."""
+        if tag in ("html", "body"):
+            return
+        if not (self.open[tag] if tag in BLOCK else self.scoped[-1][tag]):
+            return
+        at = self.node
+        while at.tag != tag:
+            at = at.parent
+        self.pop_to(at)
+
+    def imply_ends(self, tag: str) -> None:
+        """A new element ends those open beside it that it cannot be inside of."""
+        if tag not in _ENDERS:
+            return
+        while True:
+            ended = next((n for n in reversed(self.frames[-1]) if tag in ENDS[n.tag]), None)
+            if ended is None:
+                return
+            self.pop_to(ended)
+            if ended.tag == "p":
+                return
+
+
+_ENDERS = set().union(*ENDS.values())
+
+
+def _is_barrier(tag: str) -> bool:
+    """Does an element keep a new one inside from ending those around it?"""
+    return tag in SCOPES or (tag in BLOCK and tag != "p" and tag not in ENDS)
+
+
 def parse(page: str) -> Node:
     """The tree of a page. Any input gives a tree; what is not closed ends with its parent."""
-    root = node = Node("html", "", None)
-    at, end = 0, len(page)
-    while at < end:
-        found = _TOKEN.search(page, at)
-        upto = found.start() if found else end
-        if upto > at:
-            node.parts.append(html.unescape(page[at:upto]))
-        if not found:
+    tree, tags = _Tree(), _Tags(page)
+    text = at = 0
+    while True:
+        start = page.find("<", at)
+        if start < 0 or start + 1 == len(page):
             break
-        at = found.end()
-        tag = found["tag"]
-        if tag is None:
-            if found["cdata"]:
-                node.parts.append(found["cdata"])
-            continue
-        tag = tag.lower()
-        if found["end"]:
-            node = _close(node, tag)
+        after, given, close = _markup(page, start, tags)
+        if after < 0:  # no markup: the character is text
+            at = start + 1
             continue
-        if tag == "html":
+        if start > text:
+            tree.node.parts.append(html.unescape(page[text:start]))
+        text = at = after
+        if close is None:
+            if given:
+                tree.node.parts.append(given)
             continue
-        if tag in RAW:
-            close = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)
-            at = close.end() if close else end
-            continue
-        node = _imply_ends(node, tag)
-        child = Node(tag, found["attrs"], node)
-        node.parts.append(child)
-        if tag not in VOID and not found["attrs"].endswith("/"):
-            node = child
-    return root
-
-
-def _close(node: Node, tag: str) -> Node:
-    """Where text goes after an end tag; one that matches nothing open is ignored."""
-    if tag in ("html", "body"):
-        return node
-    at = node
-    while at.parent is not None and at.tag != tag:
-        if at.tag in SCOPES and tag not in BLOCK:
-            return node
-        at = at.parent
-    return at.parent if at.parent is not None else node
-
-
-def _imply_ends(node: Node, tag: str) -> Node:
-    at = node
-    while at.parent is not None:
-        if tag in ENDS.get(at.tag, ()):
-            return _imply_ends(at.parent, tag) if at.tag != "p" else at.parent
-        if at.tag in SCOPES or (at.tag in BLOCK and at.tag != "p" and at.tag not in ENDS):
-            break
-        at = at.parent
-    return node
+        tag, attrs = given
+        if close:
+            tree.close(tag)
+        elif tag in RAW:
+            end = _raw_end(tag).search(page, at)
+            text = at = end.end() if end else len(page)
+        elif tag != "html":
+            tree.imply_ends(tag)
+            child = Node(tag, attrs, tree.node)
+            tree.node.parts.append(child)
+            if tag not in VOID and not attrs.endswith("/"):
+                tree.push(child)
+    if text < len(page):
+        tree.node.parts.append(html.unescape(page[text:]))
+    return tree.root
+
+
+def _markup(page: str, start: int, tags: _Tags) -> tuple[int, object, bool | None]:
+    """What the ``<`` here begins: where it ends (-1 if it is text), and what it is.
+
+    For a tag, its lower-case name and attributes, and whether it is an end tag; for character
+    data their text, and for comments and declarations nothing, each with None.
+    """
+    size, second = len(page), page[start + 1]
+    if second in "!?":
+        for opening, closing in (("<!--", "-->"), ("<![CDATA[", "]]>"), (page[start:start + 2], ">")):
+            if page.startswith(opening, start):
+                inside = start + len(opening)
+                stop = page.find(closing, inside)
+                after = size if stop < 0 else stop + len(closing)
+                given = page[inside : size if stop < 0 else stop] if closing == "]]>" else None
+                return after, given, None
+    at = start + 2 if second == "/" else start + 1
+    named = tags.after_name(at)
+    end = -1 if named < 0 else tags.end(named)
+    if end < 0:
+        return -1, None, None
+    return end + 1, (page[at:named].lower(), page[named:end]), second == "/"
+
+
+@cache
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}\s*>", re.IGNORECASE)
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -243,7 +364,7 @@ def _score(nodes: list[Node]) -> None:
         if len(text) < 25:
             points = 0.1
         share, steps = 1.0, 0
-        while up is not None:
+        while up is not None and steps < REACH:
             up.points += points * share
             steps += 1
             share = 0.5 if steps == 1 else 1 / (3 * steps)
@@ -318,7 +439,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` (code points) of every page.
 
     One row per input row, repeated or not; null html gives an empty text. Other columns
-    are ignored.
+    are ignored. A page is read whole, however long or malformed, in time that grows with its
+    length; a very long one is worked on alone.
     """
     schema = pa.schema(
         [

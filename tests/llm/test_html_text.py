@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import time
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from creditloom.llm import html_text
 
@@ -56,6 +60,88 @@ def test_deep_and_long_pages():
     assert html_text.main_text(f"<article>{paragraphs}</article>").count("Some") == 5000
 
 
+def plain_close(node, tag):
+    """The element that an end tag leaves open, by walking up."""
+    if tag in ("html", "body"):
+        return node
+    at = node
+    while at.parent is not None and at.tag != tag:
+        if at.tag in html_text.SCOPES and tag not in html_text.BLOCK:
+            return node
+        at = at.parent
+    return node if at.parent is None else at.parent
+
+
+def plain_open(node, tag):
+    """The element that a new one is put into, by walking up."""
+    at = node
+    while at.parent is not None:
+        if tag in html_text.ENDS.get(at.tag, ()):
+            return at.parent if at.tag == "p" else plain_open(at.parent, tag)
+        inner = at.tag in html_text.BLOCK and at.tag != "p" and at.tag not in html_text.ENDS
+        if at.tag in html_text.SCOPES or inner:
+            break
+        at = at.parent
+    return node
+
+
+def plain_tree(tokens):
+    root = node = html_text.Node("html", "", None)
+    for kind, value in tokens:
+        if kind == "text":
+            node.parts.append(value)
+        elif kind == "end":
+            node = plain_close(node, value)
+        else:
+            node = plain_open(node, value)
+            child = html_text.Node(value, "", node)
+            node.parts.append(child)
+            node = child if value not in html_text.VOID else node
+    return root
+
+
+def shape(node):
+    parts = [p if isinstance(p, str) else shape(p) for p in node.parts]
+    return node.tag, "|".join(map(str, parts))
+
+
+tags = st.sampled_from("div p b i ul li table tr td th dl dt dd tbody span body head h1 br section".split())
+token = st.one_of(
+    st.tuples(st.just("open"), tags), st.tuples(st.just("end"), tags), st.just(("text", "x"))
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(token, max_size=40))
+def test_trees_match_a_plain_walk(tokens):
+    shown = {"open": "<{}>", "end": "</{}>", "text": "{}"}
+    page = "".join(shown[kind].format(value) + "<!---->" for kind, value in tokens)
+    assert shape(html_text.parse(page)) == shape(plain_tree(tokens))
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a " * 350_000,
+        "<div>" * 100_000 + "</b>" * 130_000,
+        "<div>" * 25_000 + "<p>Some words, and more.</p>" * 25_000,
+        "<div><p>Some words, and more.</p>" * 20_000,
+        "<a \"" * 250_000 + ">",
+        "<a 'x' \"" * 120_000 + ">",
+        "<b>" * 100_000 + "<div></div>" * 60_000,
+        "<b><table>" + "<i>" * 150_000 + "</b>" * 100_000,
+        "<a" * 500_000 + " \">",
+        "<ul>" + "<li><b>" * 100_000,
+    ],
+    ids=range(10),
+)
+def test_time_grows_with_the_page(page):
+    """A megabyte of what is hard to read takes seconds."""
+    start = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - start < 10
+
+
 def test_sections_and_siblings_stay_together():
     parts = "".join(f"<section><h2>H{i}</h2><p>Text {i}, with, commas, and some length to it.</p></section>" for i in range(6))
     got = html_text.main_text(f"<body><div class=wrap>{parts}</div><ul class=menu><li>x</ul></body>")
