@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import sys
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from types import ModuleType
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +54,18 @@ def slices(
             yield batch.slice(start)
 
 
+def kept_in_worker(name: str, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task, made by its first one.
+
+    Functions come to a worker by value, and with them what their modules hold; a module of the
+    worker's own outlives them.
+    """
+    kept = sys.modules.setdefault("_kept_in_worker", ModuleType("_kept_in_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 BATCH_ROWS = 1_000
 """Rows of whole texts that Spark and a Python worker exchange at a time."""
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from creditloom.llm.common import slices, text_of
+from creditloom.llm.common import kept_in_worker, slices, text_of
 from creditloom.sources.staging import stage
 
 LENGTH = 2048
@@ -27,8 +27,8 @@ END_ID = 0
 OPEN_BINS = 1024
 SHARD_PIECES = 500_000
 """Pieces that one shard packs, about; each shard may waste a few sequences at its end."""
-WORD_CACHE = 400_000
-"""Words whose ids a worker remembers, so that each is looked up in the vocabulary once."""
+WORD_CACHE = 300_000
+"""Words whose ids a worker surely remembers; it forgets those that were not met for longer."""
 
 
 #: Fixed values of the vocabulary's pre-tokenizer, for lower-case text below U+0180: what
@@ -41,12 +41,28 @@ LATIN_WORD = re.compile(
     "\u00df-\u00f6\u00f8-\u017f]+"
 )
 ASCII_WORD = re.compile("[a-z]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\t-\r a-z0-9]+")
-SPECIAL = "<|"
-SEPARATORS = re.compile("[\x1c-\x1f]")
-"""White space to Python, not to the tokenizer."""
+OTHER = re.compile("[\x1c-\x1f\u0130\u0180-\U0010ffff]|<[|]")
+"""White space to Python and not to the tokenizer; what is no Latin; special tokens."""
 WORD_END = "</w>"
 """Ends the last token of each word, and no other."""
-LATIN_END, DOTTED_I = "\u0180", "\u0130"
+
+
+class Recent:
+    """A mapping that forgets what was not asked for since two times ``limit`` new entries."""
+
+    def __init__(self, limit: int):
+        self.limit, self.now, self.before = limit, {}, {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """Those of ``keys`` that must be learned; the others are in ``now`` after it."""
+        new = keys.difference(self.now)
+        again = new.intersection(self.before)
+        self.now.update(zip(again, map(self.before.__getitem__, again)))
+        return new.difference(again)
+
+    def age(self) -> None:
+        if len(self.now) > self.limit:
+            self.now, self.before = {}, self.now
 
 
 class Encoder:
@@ -64,27 +80,23 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.chunks: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.chunks, self.known = Recent(WORD_CACHE), Recent(WORD_CACHE)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [_chunks(text) for text in texts]
-        chunks = self.chunks
-        new = set().union(*split).difference(chunks)
-        if len(chunks) + len(new) > WORD_CACHE:
-            chunks.clear()
-            new = set().union(*split)
+        new = self.chunks.missing(set().union(*split))
         words = {chunk: _words(chunk) for chunk in new}
-        self._know(set().union(*words.values()))
-        known = self.known
+        self._know(self.known.missing(set().union(*words.values())))
+        chunks, ids_of_word = self.chunks.now, self.known.now.__getitem__
         for chunk, inside in words.items():
-            chunks[chunk] = b"".join([known[w] for w in inside])
-        return [b"".join([chunks[c] for c in own]) for own in split]
-
-    def _know(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > WORD_CACHE:
-            self.known.clear()
-        new = words.difference(self.known)
+            chunks[chunk] = b"".join(map(ids_of_word, inside))
+        ids_of_chunk = chunks.__getitem__
+        out = [b"".join(map(ids_of_chunk, own)) for own in split]
+        self.chunks.age()
+        self.known.age()
+        return out
+
+    def _know(self, new: set[str]) -> None:
         plain = [w for w in new if _is_latin(w)]
         groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
         groups += [[w] for w in new if not _is_latin(w)]
@@ -105,12 +117,11 @@ class Encoder:
                     continue
             ids = ids.tobytes()
             for word, start, end in zip(group, [0, *ends], ends):
-                self.known[word] = ids[start:end]
+                self.known.now[word] = ids[start:end]
 
 
 def _is_latin(text: str) -> bool:
-    plain = text.isascii() or (max(text) < LATIN_END and DOTTED_I not in text)
-    return plain and SPECIAL not in text and not SEPARATORS.search(text)
+    return OTHER.search(text) is None
 
 
 def _chunks(text: str) -> list[str]:
@@ -145,25 +156,23 @@ def pieces(
     last = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = kept_in_worker(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
         for batch in slices(batches, "text"):
-            columns: list[list] = [[] for _ in target]
-            rows = zip(
-                batch["doc_id"].to_pylist(),
-                batch["row"].to_pylist(),
-                encoder.encode(batch["text"].to_pylist()),
-            )
-            for doc, row, ids in rows:
-                ids += last
-                for piece, at in enumerate(range(0, len(ids), 4 * length)):
-                    part = ids[at : at + 4 * length]
-                    for column, value in zip(
-                        columns, (doc, row, piece, at // 4, len(part) // 4, part)
-                    ):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, target)], schema=target
-            )
+            ids = [own + last for own in encoder.encode(batch["text"].to_pylist())]
+            sizes = np.array([len(own) // 4 for own in ids], np.int64)
+            counts = -(-sizes // length)
+            owner = np.repeat(np.arange(len(ids)), counts)
+            piece = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+            start = piece * length
+            cut_ids = [
+                ids[i] if n == 1 else ids[i][4 * at : 4 * (at + length)]
+                for i, at, n in zip(owner.tolist(), start.tolist(), counts[owner].tolist())
+            ]
+            own = pa.array(owner)
+            columns = [batch["doc_id"].take(own), batch["row"].take(own)]
+            for values in (piece, start, np.minimum(length, sizes[owner] - start), cut_ids):
+                columns.append(pa.array(values, target[len(columns)].type))
+            yield pa.RecordBatch.from_arrays(columns, schema=target)
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -36,7 +36,19 @@ def test_cache_is_bounded(monkeypatch):
     for text in texts:
         ids = plain_ids(text)
         assert encoder.encode([text]) == [struct.pack(f"<{len(ids)}I", *ids)]
-        assert len(encoder.chunks) <= 70 and len(encoder.known) <= 70
+        for cache in (encoder.chunks, encoder.known):
+            assert len(cache.now) <= 50 and len(cache.before) <= 70
+
+
+def test_what_is_met_again_is_remembered(monkeypatch):
+    monkeypatch.setattr(packing, "WORD_CACHE", 50)
+    encoder = packing.Encoder(PATH)
+    learned = []
+    learn = encoder._know
+    monkeypatch.setattr(encoder, "_know", lambda new: (learned.extend(new), learn(new)))
+    for i in range(40):
+        encoder.encode(["often met " + " ".join(f"x{i * 20 + j}" for j in range(20))])
+    assert learned.count("often") == 1
 
 
 TEXTS = [None, "", "one", "twice", "twice", "w " * 2047, "w " * 2048, "w " * 9000, *[
