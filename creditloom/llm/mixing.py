@@ -21,7 +21,6 @@ SEED = 7
 CELLS = 4096
 """Cells of the seeded order of a source; only the one at the cut is sorted by document."""
 WORD = r"[^\x20\x09-\x0D]+"
-WORD_END = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 
 
 def words(text: Column) -> Column:
@@ -175,24 +174,22 @@ def source_plan(cells: DataFrame, weights: tuple[int, ...], max_epochs: int) ->
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The mix itself: rows of documents, repeated whole, and cut in the last repetition.
+    """The mix itself: rows of documents, each repeated whole as often as it is taken.
 
-    A partial repetition keeps the text up to the end of its last word, and its
-    ``n_chars`` follows. Documents of which nothing is taken are left out. Rows that share
-    identifier, source and text together give what was taken of all of them.
+    A document of which the mix takes a part is given once more if that is at least
+    half of it, so no text is cut and a source misses its target by half a document at most.
+    Documents that are taken no time are left out. Texts without words are repeated as often as
+    their source. Null and repeated rows, ties and empty tables are as in :func:`mix`. Rows that
+    share identifier, source and text together give what was taken of all of them.
     """
     name = ["doc_id", "source", "draw"]
-    partial = (F.col("part") > 0) & (F.col("part") < F.col("size"))
-    whole = F.col("whole") + F.when((F.col("part") > 0) & ~partial, 1).otherwise(0)
+    most = (F.col("part") > 0) & (2 * F.col("part") >= F.col("size"))
+    times = F.col("whole") + most.cast("long")
     given = stage(
         mix(docs)
         .groupBy(*name)
-        .agg(
-            F.sum(whole).alias("whole"),
-            F.coalesce(F.max(F.when(partial, F.col("part"))), F.lit(0)).alias("part"),
-            F.count(F.lit(1)).alias("copies"),
-        )
-        .filter("whole > 0 or part > 0"),
+        .agg(F.sum(times).alias("times"), F.count(F.lit(1)).alias("copies"))
+        .filter("times > 0"),
         "mix-given",
     )
     # Packed, so that no column of the documents can clash with a name used here.
@@ -206,19 +203,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         packed = packed.dropDuplicates(name)
     a, b = packed.alias("a"), given.alias("b")
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in name]
-    times = F.col("b.whole") + (F.col("b.part") > 0).cast("long")
     rows = a.join(b, same).select(
-        "a.d", "b.whole", "b.part", F.explode(F.sequence(F.lit(1), times)).alias("nth")
+        "a.d", F.explode(F.sequence(F.lit(1).cast("long"), F.col("b.times"))).alias("nth")
     )
-    is_part = F.col("nth") > F.col("whole")
-    head = F.array_join(
-        F.slice(F.split("d.text", WORD_END, -1), 1, F.col("part").cast("int")), ""
-    )
-    text = F.when(is_part, head).otherwise(F.col("d.text"))
-    changed = {"text": text}
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(is_part, F.length(head).cast(kind)).otherwise(
-            F.col("d.n_chars")
-        )
-    return rows.select(*[changed.get(c, F.col(f"d.`{c}`")).alias(c) for c in docs.columns])
+    return rows.select(*[F.col(f"d.`{c}`").alias(c) for c in docs.columns])

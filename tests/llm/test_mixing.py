@@ -62,18 +62,30 @@ def test_runs_agree(documents):
     assert sorted(map(name, one)) == sorted(map(name, two))
 
 
-def test_documents_hold_what_is_taken(documents, clashing):
+def test_documents_are_given_whole(documents, clashing):
     docs = clashing(documents(ROWS))
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns
-    words = Counter()
-    for r in out.collect():
-        words[r.source] += len(WORD.findall(r.text or ""))
-        assert r.n_chars == (None if r.text is None else len(r.text))
+    given = Counter((r.doc_id, r.text, r.source) for r in out.collect())
     wanted = Counter()
     for r in mixing.mix(docs).collect():
-        wanted[r.source] += r.taken
-    assert +words == +wanted
+        times = r.whole + (r.part > 0 and 2 * r.part >= r.size)
+        row = next(x for x in ROWS if x[0] == r.doc_id)
+        wanted[row] += times
+    assert +wanted == given
+    assert set(given) <= set(ROWS)
+
+
+@pytest.mark.parametrize("size,weight,times", [(100, 1, 1), (60, 1, 2), (400, 1, 0)])
+def test_a_source_whose_only_document_is_at_the_cut(documents, monkeypatch, size, weight, times):
+    """The nearer one of all and nothing is given of the last repetition."""
+    monkeypatch.setattr(mixing, "WEIGHTS", (weight, 3))
+    rows = [(1, "a " * size, "a")] + [(n, "b " * 10, "b") for n in range(2, 32)]
+    monkeypatch.setattr(mixing.mix, "__defaults__", ((weight, 3), mixing.MAX_EPOCHS, mixing.SEED))
+    taken = {r.doc_id: r for r in mixing.mix(documents(rows)).collect()}[1]
+    out = [r.text for r in mixing.mixed_documents(documents(rows)).collect() if r.doc_id == 1]
+    assert out == ["a " * size] * round(taken.taken / size)
+    assert len(out) == times
 
 
 def test_no_documents(documents):

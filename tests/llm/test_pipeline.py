@@ -47,13 +47,35 @@ def test_stages(spark, tmp_path):
         r.source: r.target
         for r in mixing.mix(spark.createDataFrame(given["mixing"], docs_schema(spark))).collect()
     }
-    assert all(abs(taken[s] - t) <= 0.5 for s, t in targets.items())
+    longest = Counter()
+    for r in given["mixing"]:
+        longest[r["source"]] = max(longest[r["source"]], len(mixing_words(r["text"])))
+    assert all(abs(taken[s] - t) <= longest[s] / 2 + 0.5 for s, t in targets.items())
+    texts = {(r["doc_id"], r["text"]) for r in given["mixing"]}
+    assert {(r["doc_id"], r["text"]) for r in out["mixing"]} <= texts  # none is cut
 
     rows = docs.collect()
     assert sum(r.piece == 0 for r in rows) == len(given["packing"])
     check_places(rows)
 
 
+def test_run_handles_odd_tables(spark, tmp_path, clashing, documents):
+    """Empty, null and repeated rows, and columns that clash, through all stages."""
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    odd = [None, "", " ", "same words", "same words", "Same Words", "é\u2028 ü", "x " * 5000]
+    rows = [(n, t, [None, "a", "b"][n % 3]) for n, t in enumerate(odd)]
+    rows += [(None, "no id", "a"), (3, "same words", "a"), (3, "same words", "a")]
+    for name, docs in (("none", documents([])), ("odd", clashing(documents(rows)))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        packed = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        check_places(packed)
+        ids = {r.doc_id for r in packed}
+        assert ids <= {r[0] for r in rows} if name == "odd" else not packed
+        if name == "odd":  # copies went, what is alone stayed
+            assert 5 in ids and not ids & {3, 4} and 7 in ids and None in ids
+
+
 def mixing_words(text):
     import re
 
