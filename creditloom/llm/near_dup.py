@@ -373,14 +373,23 @@ def classify(docs: DataFrame, policy: KeyedPolicy | None = None) -> DataFrame:
     classes = components(_linked(pairs, texts))
     crowd = _crowd(buckets, classes)
     if not crowd.isEmpty():
-        again = _new_pairs(_all_alike(crowd, texts, policy), pairs)
-        more = _linked(again, texts)
-        if not more.isEmpty():
-            joined = classes.select("node", F.col("class").alias("other"))
-            classes = components(joined.unionByName(more.select("node", "other")))
+        places = _rare_places(crowd, texts, policy)
+        stars = _new_pairs(_token_stars(places), pairs)
+        classes = _merged(classes, _linked(stars, texts))
+        pairs = stage(pairs.unionByName(stars), "met-pairs")
+        rest = _new_pairs(_all_alike(_still_apart(places, classes)), pairs)
+        classes = _merged(classes, _linked(rest, texts))
     return _judged(rows, nodes, classes)
 
 
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes after more links; staged."""
+    if links.isEmpty():
+        return classes
+    joined = classes.select("node", F.col("class").alias("other"))
+    return components(joined.unionByName(links.select("node", "other")))
+
+
 def _crowd(bucket_rows: DataFrame, classes: DataFrame) -> DataFrame:
     """``node`` and ``class`` of the nodes in buckets in which several classes are left; staged."""
     known = stage(
@@ -474,14 +483,12 @@ def _rarest(levels: np.ndarray):
     return placed
 
 
-def _all_alike(who: DataFrame, texts: DataFrame, policy: KeyedPolicy) -> DataFrame:
-    """Every pair of nodes of different classes that can be similar; staged.
+def _rare_places(who: DataFrame, texts: DataFrame, policy: KeyedPolicy) -> DataFrame:
+    """The rarest shingles of the nodes that several classes share, with their places; staged.
 
     A prefix filter: similar texts share so many labelled shingles that one is among the
     rarest of each. Rare ones come first, so those of a common template are left to the
-    end and bring together only texts that differ in little else. Places and sizes bound
-    what a pair can share besides. Per shingle, pairs have one node at least that is not of its
-    most frequent class, and meetings are dealt over salts of both sides.
+    end and bring together only texts that differ in little else.
     """
     few = who.count() <= policy.broadcast_rows
     crowd = stage(texts.join(F.broadcast(who) if few else who, "node"), "crowd")
@@ -490,22 +497,49 @@ def _all_alike(who: DataFrame, texts: DataFrame, policy: KeyedPolicy) -> DataFra
         rows = stage(
             crowd.select("node", "class", "text").mapInArrow(_rarest(levels), PLACED), "rarest"
         )
-    shared = stage(
-        rows.groupBy("token")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            (F.min("class") != F.max("class")).alias("several"),
-            F.max("first").alias("begins"),
-        )
-        .filter("several and begins")
-        .select("token", "n"),
-        "shared-tokens",
+    return _of_several(rows)
+
+
+def _of_several(rows: DataFrame) -> DataFrame:
+    """The rows of shingles that several classes hold, and one text first; staged."""
+    shared = rows.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.min("class") != F.max("class")).alias("several"),
+        F.max("first").alias("begins"),
     )
-    if shared.count() <= policy.broadcast_rows:
-        rows = rows.join(F.broadcast(shared.select("token")), "token")
-    else:
-        rows = meet(rows, shared, ["token"], "n", rows.count()).filter(F.col("n").isNotNull())
-    rows = stage(rows.select("token", "node", "class", "size", "place", "first"), "shared-places")
+    shared = stage(shared.filter("several and begins").select("token", "n"), "shared-tokens")
+    met = meet(rows, shared, ["token"], "n", rows.count()).filter(F.col("n").isNotNull())
+    return stage(met.select("token", "node", "class", "size", "place", "first"), "shared-places")
+
+
+def _token_stars(places: DataFrame) -> DataFrame:
+    """Nodes with the hub of each of their shared shingles, if that is of another class.
+
+    Each shingle chooses its own hub, so a node meets many of its kind, but no more than it has
+    shingles; where several are similar, that joins nearly all without all pairs.
+    """
+    order = F.struct(F.xxhash64("token", "node"), "node")
+    hub = F.min_by(F.struct("node", "size", "class"), order).alias("hub")
+    hubs = stage(places.groupBy("token").agg(hub, F.count(F.lit(1)).alias("n")), "token-hubs")
+    met = meet(places, hubs, ["token"], "n", places.count())
+    alike = _may_be_similar(F.col("size"), F.col("hub.size"))
+    pairs = met.filter(alike & (F.col("class") != F.col("hub.class")))
+    return stage(pairs.select("node", F.col("hub.node").alias("other")).distinct(), "token-stars")
+
+
+def _still_apart(places: DataFrame, classes: DataFrame) -> DataFrame:
+    """The places by the classes as they are now, of shingles that still join several; staged."""
+    now = places.drop("class").join(classes, "node", "left")
+    return _of_several(now.withColumn("class", F.coalesce("class", "node")))
+
+
+def _all_alike(rows: DataFrame) -> DataFrame:
+    """Every pair of nodes of different classes that can be similar; staged.
+
+    Places and sizes bound what a pair that shares a rare shingle can share besides. Per
+    shingle, pairs have one node at least that is not of its most frequent class, and meetings
+    are dealt over salts of both sides.
+    """
     facts = stage(
         rows.groupBy("token", "class")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("first").cast("long")).alias("firsts"))
