@@ -82,3 +82,30 @@ def test_sample_is_bounded(spark, documents, corpus):
     rows = toxicity.sample_rows(docs, labels, per_class=20).collect()
     assert np.bincount([r.toxic for r in rows]).tolist() == [20, 20]
     assert all(zlib.crc32(str(r.doc_id).encode()) % 5 for r in rows)
+
+
+def test_rank_quality_counts_pairs():
+    rng = np.random.default_rng(1)
+    scores, labels = rng.integers(0, 6, 80) / 5, rng.integers(0, 2, 80)
+    pairs = [(a, b) for a in scores[labels == 1] for b in scores[labels == 0]]
+    want = sum((a > b) + (a == b) / 2 for a, b in pairs) / len(pairs)
+    assert toxicity.rank_quality(scores, labels) == pytest.approx(want)
+    assert toxicity.rank_quality(scores, np.ones(80)) == 0.5
+
+
+def test_decay_is_chosen_on_an_inner_fold(monkeypatch, corpus):
+    texts, labels = [t for _, t, _ in corpus][:60], [int(y) for _, _, y in corpus][:60]
+    given = []
+    real = toxicity.train
+
+    def train(some, marks, **kwargs):
+        given.append((len(some), kwargs.get("decay")))
+        return real(some, marks, steps=3, **kwargs)
+
+    monkeypatch.setattr(toxicity, "train", train)
+    toxicity.train_tuned(texts, labels)
+    assert [n for n, _ in given] == [48] * len(toxicity.DECAYS) + [60]
+    assert given[-1][1] in toxicity.DECAYS
+    given.clear()
+    toxicity.train_tuned(texts[:2], labels[:2])  # too few for a fold
+    assert given == [(2, None)]
