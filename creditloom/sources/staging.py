@@ -12,7 +12,7 @@ import shutil
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +72,15 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """Stage what ``make`` returns, and delete what it staged on the way."""
+    path = stage_path(spark, label)
+    with scope(spark):
+        made = make()
+        made.write.parquet(path)
+    return spark.read.schema(made.schema).parquet(path)
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """Delete what this thread stages inside when it is left.
