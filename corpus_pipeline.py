@@ -7,11 +7,13 @@ documents.
 
 from __future__ import annotations
 
+from functools import partial
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from creditloom.llm import exact_dedup, mixing, near_dup, packing, toxicity
-from creditloom.sources.staging import stage
+from creditloom.sources.staging import settled
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +32,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources meet their target weights by whole and partial repetitions."""
+    """Sources meet their target weights by repetitions of whole documents."""
     return mixing.mixed_documents(docs)
 
 
@@ -52,8 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; every result but the last is written before the next."""
+    """All stages over the documents; every result but the last is written before the next.
+
+    What a stage writes on its way goes when its result is written. Null texts, identifiers and
+    sources, empty and repeated rows, empty tables and extra columns pass through every stage
+    as its operator's docstring says; none fails on them.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"stage-{name}")
+        docs = settled(spark, f"stage-{name}", partial(step, spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
