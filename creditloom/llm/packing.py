@@ -40,7 +40,8 @@ LATIN_WORD = re.compile(
     "|[^\t-\r \u0085\u00a0a-z0-9\u00aa\u00b2\u00b3\u00b5\u00b9\u00ba\u00bc-\u00be"
     "\u00df-\u00f6\u00f8-\u017f]+"
 )
-ASCII_WORD = re.compile("[a-z]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\t-\r a-z0-9]+")
+ENDINGS = ".,;:!?"
+OTHER_SPLIT = re.compile("[^ \t\n\r]+").findall
 OTHER = re.compile("[\x1c-\x1f\u0130\u0180-\U0010ffff]|<[|]")
 """White space to Python and not to the tokenizer; what is no Latin; special tokens."""
 WORD_END = "</w>"
@@ -83,12 +84,26 @@ class Encoder:
         self.chunks, self.known = Recent(WORD_CACHE), Recent(WORD_CACHE)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_chunks(text) for text in texts]
+        latin = [OTHER.search(text) is None for text in texts]
+        split = [t.lower().split() if x else OTHER_SPLIT(t) for t, x in zip(texts, latin)]
         new = self.chunks.missing(set().union(*split))
-        words = {chunk: _words(chunk) for chunk in new}
-        self._know(self.known.missing(set().union(*words.values())))
+        # What a Latin text holds is Latin, so only chunks of other texts are looked at.
+        others = set().union(*[own for own, x in zip(split, latin) if not x]).intersection(new)
+        odd = {c for c in others if OTHER.search(c) or c != c.lower()}
+        single, several = set(odd), {}
+        for chunk in new.difference(odd):
+            if chunk.isalpha():
+                single.add(chunk)
+            elif chunk[-1] in ENDINGS and chunk[:-1].isalpha():
+                several[chunk] = (chunk[:-1], chunk[-1])
+            else:
+                several[chunk] = LATIN_WORD.findall(chunk)
+        words = single.union(*several.values())
+        unknown = self.known.missing(words)
+        self._know(unknown.difference(odd), unknown.intersection(odd))
         chunks, ids_of_word = self.chunks.now, self.known.now.__getitem__
-        for chunk, inside in words.items():
+        chunks.update(zip(single, map(ids_of_word, single)))
+        for chunk, inside in several.items():
             chunks[chunk] = b"".join(map(ids_of_word, inside))
         ids_of_chunk = chunks.__getitem__
         out = [b"".join(map(ids_of_chunk, own)) for own in split]
@@ -96,10 +111,10 @@ class Encoder:
         self.known.age()
         return out
 
-    def _know(self, new: set[str]) -> None:
-        plain = [w for w in new if _is_latin(w)]
-        groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
-        groups += [[w] for w in new if not _is_latin(w)]
+    def _know(self, plain: set[str], odd: set[str]) -> None:
+        listed = list(plain)
+        groups = [listed[i : i + 500] for i in range(0, len(listed), 500)]
+        groups += [[w] for w in odd]
         for at in range(0, len(groups), 200):
             self._learn(groups[at : at + 200])
 
@@ -120,20 +135,6 @@ class Encoder:
                 self.known.now[word] = ids[start:end]
 
 
-def _is_latin(text: str) -> bool:
-    return OTHER.search(text) is None
-
-
-def _chunks(text: str) -> list[str]:
-    return text.lower().split() if _is_latin(text) else re.findall("[^ \t\n\r]+", text)
-
-
-def _words(chunk: str) -> list[str]:
-    if not _is_latin(chunk) or chunk != chunk.lower():  # of a text that was not lower-cased
-        return [chunk]
-    return (ASCII_WORD if chunk.isascii() else LATIN_WORD).findall(chunk)
-
-
 def pieces(
     docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID
 ) -> DataFrame:

@@ -45,7 +45,7 @@ def test_what_is_met_again_is_remembered(monkeypatch):
     encoder = packing.Encoder(PATH)
     learned = []
     learn = encoder._know
-    monkeypatch.setattr(encoder, "_know", lambda new: (learned.extend(new), learn(new)))
+    monkeypatch.setattr(encoder, "_know", lambda new, odd: (learned.extend(new), learn(new, odd)))
     for i in range(40):
         encoder.encode(["often met " + " ".join(f"x{i * 20 + j}" for j in range(20))])
     assert learned.count("often") == 1
