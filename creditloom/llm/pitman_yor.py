@@ -2,10 +2,10 @@
 
 Every word that occurs as a context has a restaurant whose customers are the words that
 follow it. Its tables send one customer each to the restaurant all contexts share, their
-parent, whose own tables draw from all words alike. The seating is sampled by Gibbs: a customer
-gets up and sits down again, at a table of the same word by its size less a discount, or at a
-new one by what the parent expects. Several samples are kept, and a text's score adds up
-the logarithms of the word probabilities averaged over them.
+parent, whose own tables draw from all words alike. The seating is sampled by blocks of Gibbs: in
+every round all customers of a word get up and sit down again, at tables of the same word by
+their sizes less a discount, or at new ones by what the parent expects. Several samples are kept,
+and a text's score adds up the logarithms of the word probabilities averaged over them.
 
 Work is dealt in three ways, each with bounded pieces: texts in blocks, pairs of neighbouring
 words in buckets by a hash of both (so no restaurant, however busy, has to be in one task),
@@ -17,6 +17,7 @@ of sampling sees the totals of other buckets as they were after the round before
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
@@ -36,8 +37,12 @@ PART_WORDS = 300_000
 """Entries of one bucket and of one part that the blocks send, at most about."""
 ROUNDS, SAMPLES = 3, 2
 """Rounds of sampling, and how many of the last ones are kept."""
-SCAN = 4
-"""Customers of every dish that get up in one round, drawn at random."""
+FEW = 400
+"""Up to so many customers of a dish the number of their tables is drawn exactly."""
+GET_UP = (1.0, 0.25, 1.0, 0.06, 1.0, 0.25, 1.0, 0.015)
+"""Shares of the tables of larger dishes that get up, pass by pass; all do in every other one."""
+SEATED_AT_ONCE = 4_000_000
+"""Customers of dishes that are drawn together, about."""
 STRENGTH = 1.0
 SEED = 11
 ADD = 0.1
@@ -327,6 +332,18 @@ def _count_pairs(parts: int, id_type: str):
     return merge
 
 
+def _log_ways(customers: int, discount: float) -> np.ndarray:
+    """Logarithms of generalised Stirling numbers: row n, place t for n customers at t tables."""
+    out = np.full((customers + 1, customers + 1), -np.inf)
+    out[0, 0] = 0
+    t = np.arange(customers + 1)
+    for n in range(customers):
+        joined = out[n, : n + 1] + np.log(np.maximum(n - discount * t[: n + 1], 1e-300))
+        out[n + 1, : n + 1] = joined
+        out[n + 1, 1 : n + 2] = np.logaddexp(out[n + 1, 1 : n + 2], out[n, : n + 1])
+    return out
+
+
 def reseat(
     draw: np.random.Generator,
     customers: np.ndarray,
@@ -334,48 +351,119 @@ def reseat(
     sizes: np.ndarray,
     strength: np.ndarray | float,
     discount: float,
-    scan: int = SCAN,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Gibbs sampling of the seating of dishes: ``tables`` of each and their ``sizes`` in turn.
 
-    ``scan`` times, one customer of every dish, each as likely, leaves and sits down again:
-    at a table of the dish by its size less ``discount``, or at a new one by ``strength``, the
-    restaurant's weight of new tables times the parent's probability of the dish.
+    All customers of every dish get up together and sit down again. A seating is as likely as the
+    product over its tables of ``strength``, the restaurant's weight of new tables times the
+    parent's probability of the dish, and of size less ``discount`` for each who joins. Up to
+    FEW customers the number of tables is drawn from its exact distribution; as only that
+    number bears on the model, the first table is given all that the others leave. Dishes
+    of more customers go through :func:`_reseat_many`, in time that grows with their tables.
     """
     if not len(customers):
         return tables, sizes
-    width = tables + scan
-    start = np.cumsum(width) - width
-    seats = np.zeros(int(width.sum()), np.int64)
-    filled = np.arange(len(seats)) - np.repeat(start, width) < np.repeat(tables, width)
-    seats[filled] = sizes
-    taken, spare = tables.astype(np.int64), start + tables
-
-    def chosen(weights: np.ndarray, total: np.ndarray) -> np.ndarray:
-        run = np.cumsum(weights)
-        goal = run[start] - weights[start] + draw.random(len(start)) * total
-        return np.clip(np.searchsorted(run, goal, "right"), start, start + width - 1)
-
-    for turn in range(scan):
-        leaves = chosen(seats, customers)
-        if not seats[leaves].all():  # a sum was rounded past the last customer
-            leaves = np.where(seats[leaves] > 0, leaves, _first(seats, start))
-        seats[leaves] -= 1
-        taken -= seats[leaves] == 0
-        stay = customers - 1 - discount * taken
-        at = chosen(np.maximum(seats - discount, 0) * (seats > 0), stay)
-        fresh = draw.random(len(start)) * (strength + stay) < strength
-        fresh |= (taken == 0) | (seats[at] == 0)
-        at = np.where(fresh, spare + turn, at)
-        taken += seats[at] == 0
-        seats[at] += 1
-    return taken, seats[seats > 0]
-
-
-def _first(seats: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """The first table in use of each dish."""
-    used = np.where(seats > 0, np.arange(len(seats)), len(seats))
-    return np.minimum.reduceat(used, start)
+    strength = np.broadcast_to(np.asarray(strength, float), customers.shape)
+    taken = np.empty(len(customers), np.int64)
+    few, seated = customers <= FEW, []
+    small = np.flatnonzero(few)
+    ways = _log_ways(int(customers[small].max(initial=0)), discount)
+    ends = np.cumsum(customers[small])
+    for part in np.split(small, np.flatnonzero(np.diff(ends // SEATED_AT_ONCE)) + 1):
+        taken[part] = _draw_tables(draw, ways, customers[part], strength[part])
+    several = np.flatnonzero(~few)
+    if len(several):
+        its_sizes = sizes[np.repeat(~few, tables)]
+        taken[several], seated = _reseat_many(
+            draw, customers[several], tables[several], its_sizes, strength[several], discount
+        )
+    out = np.ones(int(taken.sum()), np.int64)
+    out[(np.cumsum(taken) - taken)[small]] = customers[small] - taken[small] + 1
+    out[np.repeat(~few, taken)] = seated
+    return taken, out
+
+
+def _draw_tables(
+    draw: np.random.Generator, ways: np.ndarray, customers: np.ndarray, strength: np.ndarray
+) -> np.ndarray:
+    """Numbers of tables, each from its distribution: ``ways`` times powers of ``strength``."""
+    if not len(customers):
+        return customers
+    start = np.cumsum(customers) - customers
+    t = np.arange(int(customers.sum())) - np.repeat(start, customers) + 1
+    weight = ways[np.repeat(customers, customers), t] + t * np.repeat(np.log(strength), customers)
+    weight = np.exp(weight - np.repeat(np.maximum.reduceat(weight, start), customers))
+    run = np.cumsum(weight)
+    before = run[start] - weight[start]
+    goal = before + draw.random(len(start)) * np.add.reduceat(weight, start)
+    at = np.searchsorted(run, goal, "right")
+    return np.clip(at - start, 0, customers - 1) + 1
+
+
+def _reseat_many(
+    draw: np.random.Generator,
+    customers: np.ndarray,
+    tables: np.ndarray,
+    sizes: np.ndarray,
+    strength: np.ndarray,
+    discount: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Metropolis steps over whole tables; the largest table of each dish stands first after it.
+
+    But for the largest, the tables of a dish are points of a Poisson process: ``strength`` /
+    ``discount`` of them on average, with sizes of Sibuya's distribution, weighed by the chance of
+    a table of the customers that are left for the largest. Both are tilted alike towards small
+    tables, by a power of the size, so that the others seldom need more customers than there are.
+    In each pass every other table gets up with a probability of GET_UP, new ones of that share
+    are drawn, the largest table takes what remains, and the ratio of the weights decides.
+    """
+    low, high = np.zeros(len(customers)), 1 - 1 / customers
+    for _ in range(40):  # the tilt at which tables are expected to take all customers
+        tilt = (low + high) / 2
+        above = strength * tilt * (1 - tilt) ** (discount - 1) + 1 / (1 - tilt) > customers
+        low, high = np.where(above, low, tilt), np.where(above, tilt, high)
+    tilt = np.log(high)
+    dish = np.repeat(np.arange(len(tables)), tables)
+    order = np.lexsort((-sizes, dish))
+    start = np.cumsum(tables) - tables
+    rest = np.ones(len(sizes), bool)
+    rest[start] = False
+    others, owner = sizes[order][rest], dish[rest]
+
+    def weight(others: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        largest = customers - np.bincount(owner, others, len(customers)).astype(np.int64)
+        most = np.zeros(len(customers), np.int64)
+        np.maximum.at(most, owner, others)
+        alike = np.bincount(owner, others == largest[owner], len(customers))
+        size = np.maximum(largest, 1).astype(float)
+        chance = _log_gamma(size - discount) - _log_gamma(size + 1) - np.log1p(alike) + largest * tilt
+        return np.where(largest >= np.maximum(most, 1), chance, -np.inf), largest
+
+    now, largest = weight(others, owner)
+    for share in GET_UP:
+        stays = draw.random(len(others)) >= share
+        came = draw.poisson(share * strength / discount)
+        whose = np.repeat(np.arange(len(customers)), came)
+        rate = np.maximum(draw.beta(discount, 1 - discount, len(whose)), 1e-15)
+        fresh = np.minimum(draw.geometric(rate), customers[whose] + 1)
+        kept = np.log(1 - draw.random(len(fresh))) < fresh * tilt[whose]
+        fresh, whose = fresh[kept], whose[kept]
+        after, left = weight(
+            np.concatenate([others[stays], fresh]), np.concatenate([owner[stays], whose])
+        )
+        moves = np.log(1 - draw.random(len(customers))) < after - now
+        now, largest = np.where(moves, after, now), np.where(moves, left, largest)
+        stays |= ~moves[owner]
+        fresh, whose = fresh[moves[whose]], whose[moves[whose]]
+        others = np.concatenate([others[stays], fresh])
+        owner = np.concatenate([owner[stays], whose])
+    dish = np.concatenate([np.arange(len(customers)), owner])
+    order = np.argsort(dish, kind="stable")
+    return np.bincount(dish), np.concatenate([largest, others])[order]
+
+
+def _log_gamma(values: np.ndarray) -> np.ndarray:
+    return np.fromiter(map(math.lgamma, values.tolist()), float, len(values))
 
 
 def _base(low: np.ndarray, root: tuple[int, int, int], discount: float) -> np.ndarray:

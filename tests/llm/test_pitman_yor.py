@@ -101,6 +101,39 @@ def test_seating_follows_its_posterior(discount, strength, customers):
     assert np.abs(seen - exact).max() < 0.02
 
 
+@pytest.mark.parametrize(
+    "discount,strength,customers,rounds",
+    [(0.5, 3.0, 60, 1), (0.7, 20.0, 300, 1), (0.6, 8.0, 900, 3), (0.4, 100.0, 900, 5)],
+)
+def test_all_customers_get_up_in_a_round(discount, strength, customers, rounds):
+    """From one table each, large dishes come to their posterior in a round or a few."""
+    ways = model._log_ways(customers, discount)[customers, 1:]
+    exact = ways + np.log(strength) * np.arange(1, customers + 1)
+    exact = np.exp(exact - exact.max())
+    exact /= exact.sum()
+    many = 3_000
+    tables, sizes = np.ones(many, np.int64), np.full(many, customers)
+    draw = np.random.default_rng(3)
+    for _ in range(rounds):
+        tables, sizes = model.reseat(
+            draw, np.full(many, customers), tables, sizes, strength, discount
+        )
+        assert sizes.sum() == many * customers and len(sizes) == tables.sum() and sizes.min() > 0
+    seen = np.bincount(tables, minlength=customers + 1)[1:] / many
+    assert np.abs(np.cumsum(seen) - np.cumsum(exact)).max() < 0.05
+
+
+def test_dishes_of_both_kinds_keep_their_order():
+    customers = np.array([5, 3_000_000, 2, 900, 400])
+    tables, sizes = np.ones(5, np.int64), customers
+    draw = np.random.default_rng(4)
+    for _ in range(5):
+        strength = np.array([1.0, 300.0, 0.1, 2.0, 3.0])
+        tables, sizes = model.reseat(draw, customers, tables, sizes, strength, 0.7)
+        assert np.add.reduceat(sizes, np.cumsum(tables) - tables).tolist() == customers.tolist()
+    assert tables[1] > 300 and tables[2] <= 2
+
+
 def plain_model(learned, rounds, seed):
     """A Gibbs sampler customer by customer over Python lists; returns the word probabilities."""
     draw = random.Random(seed)
