@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from creditloom.operators import history, quality, scoring
-from creditloom.plans import jobs
+from creditloom.plans import catalog, jobs
 from creditloom.sources import tables
 from creditloom.sources.tables import SCHEMAS
 
@@ -252,3 +252,17 @@ def test_bucketed_tables_are_scored_without_a_shuffle(spark, two_batches, tmp_pa
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         for t in tables_of.values():
             spark.sql(f"drop table if exists {t}")
+
+
+def test_batches_of_the_grades_query_read_written_tables(spark, monkeypatch):
+    """What a batch reads several times is derived from the large tables once."""
+    read = {}
+
+    def ingest(name, raw, root, batch, as_of):
+        read[name, batch] = raw.inputFiles()
+
+    monkeypatch.setattr(jobs, "ingest", ingest)
+    monkeypatch.setattr(jobs, "regrade", lambda *_: None)
+    catalog.job_grades_from_changes(spark, "/root/testdata/sf0.001")
+    assert len(read) == 12
+    assert not [name for name, files in read.items() if any("testdata" in f for f in files)]
