@@ -150,25 +150,24 @@ def train(
         prior = 0.5 if len(y) == 0 else float(y[0])
         return Model(np.zeros(buckets, np.float32), 8.0 * (prior - 0.5) * 2)
     index: dict[str, int] = {}
-    tokens, texts_of, bounds, owner = [], [], [], []
-    at = 0
-    for doc, text in enumerate(texts):
+    numbers, bounds, at = [], [], 0
+    for text in texts:
         own = [index.setdefault(w, len(index)) for w in words_of(text)]
-        tokens.append(np.array(own, np.int32))
-        texts_of.append(np.full(len(own), doc, np.int32))
-        for start, end in window_bounds(len(own), WINDOW):
-            bounds.append((at + start, at + end))
-            owner.append(doc)
+        numbers.append(np.array(own, np.int32))
+        bounds.append(np.array(window_bounds(len(own), WINDOW)) + at)
         at += len(own)
-    tokens, texts_of = np.concatenate(tokens), np.concatenate(texts_of)
-    bounds, owner = np.array(bounds), np.array(owner)
+    owner = np.repeat(np.arange(len(texts)), [len(b) for b in bounds])
+    tokens, bounds = np.concatenate(numbers), np.concatenate(bounds)
     sizes = np.maximum(1, bounds[:, 1] - bounds[:, 0]).astype(float)
-    grams, gram_word = gram_ids(list(index), buckets)
+    grams, gram_word = _grams_of_many(list(index), buckets)
     counts = np.bincount(gram_word, minlength=len(index))
     # An n-gram of a few texts would only learn those texts by heart.
-    spread = _texts_of_grams(tokens, texts_of, gram_word, grams, buckets)
+    spread = _texts_of_grams(numbers, len(index), gram_word, grams, buckets)
+    is_clean = np.repeat(y == 0, [len(own) for own in numbers])
+    del index, numbers
     learned = np.flatnonzero(spread >= min_texts)
     first = np.searchsorted(owner, np.arange(len(texts)))
+    sums = np.zeros(at + 1)  # by token, for words' weights and for windows' shares in turn
 
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.1, (buckets, dim))
@@ -179,7 +178,9 @@ def train(
     for step in range(1, steps + 1):
         line = table @ soft
         per_word = np.bincount(gram_word, line[grams], len(counts)) / np.maximum(1, counts)
-        sums = np.concatenate([[0.0], np.cumsum(per_word[tokens])])
+        np.take(per_word, tokens, out=sums[1:], mode="clip")
+        sums[0] = 0
+        np.cumsum(sums[1:], out=sums[1:])
         logits = bias[0] + (sums[bounds[:, 1]] - sums[bounds[:, 0]]) / sizes
         top = np.maximum.reduceat(logits, first)
         share = np.exp((logits - top[owner]) * sharpness)
@@ -189,9 +190,10 @@ def train(
         # Back: text to windows, to words, to n-grams; all are scalars along one direction.
         to_window = wrong[owner] * share / total[owner]
         per_token = to_window / sizes
-        edges = np.bincount(bounds[:, 0], per_token, at + 1)
-        edges -= np.bincount(bounds[:, 1], per_token, at + 1)
-        to_word = np.bincount(tokens, np.cumsum(edges)[:-1], len(counts)) / np.maximum(1, counts)
+        sums[:] = np.bincount(bounds[:, 0], per_token, at + 1)
+        sums -= np.bincount(bounds[:, 1], per_token, at + 1)
+        np.cumsum(sums, out=sums)
+        to_word = np.bincount(tokens, sums[:-1], len(counts)) / np.maximum(1, counts)
         to_gram = np.bincount(grams, to_word[gram_word], buckets)[learned]
         grads = (
             np.outer(to_gram, soft) + decay * table[learned],
@@ -211,7 +213,7 @@ def train(
     # Centred on the clean class: an n-gram without weight then counts as a usual one does.
     line = table @ soft
     per_word = np.bincount(gram_word, line[grams], len(counts)) / np.maximum(1, counts)
-    clean = per_word[tokens[y[texts_of] == 0]]
+    clean = per_word[tokens[is_clean]]
     usual = float(clean.mean()) if len(clean) else 0.0
     line[learned] -= usual
     return Model(line.astype(np.float32), float(bias[0]) + usual, sharpness)
@@ -234,24 +236,36 @@ def train_tuned(texts: list[str], labels: list[int]) -> Model:
     if len(y) == 0 or min(y[inner].sum(), (1 - y[inner]).sum()) == 0:
         return train(texts, labels)
     rest = np.flatnonzero(~inner).tolist()
-    kept = [words_of(texts[i]) for i in np.flatnonzero(inner).tolist()]
+    left_out = np.flatnonzero(inner).tolist()
     losses = []
     for decay in DECAYS:
         model = train([texts[i] for i in rest], [labels[i] for i in rest], decay=decay)
-        scores = [model.text(model.words(w) if w else np.zeros(0)) for w in kept]
+        scores = []
+        for words in (words_of(texts[i]) for i in left_out):
+            scores.append(model.text(model.words(words) if words else np.zeros(0)))
         losses.append(mean_loss(np.array(scores), y[inner]))
     return train(texts, labels, decay=DECAYS[int(np.argmin(losses))])
 
 
+def _grams_of_many(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`gram_ids` of many words, some at a time, in numbers of half the size."""
+    parts = [(np.zeros(0, np.int32), np.zeros(0, np.int32))]
+    for start in range(0, len(words), 10_000):
+        rows, owner = gram_ids(words[start : start + 10_000], buckets)
+        parts.append((rows.astype(np.int32), (owner + start).astype(np.int32)))
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
 def _texts_of_grams(
-    tokens: np.ndarray, texts: np.ndarray, gram_word: np.ndarray, grams: np.ndarray, buckets: int
+    numbers: list[np.ndarray], words: int, gram_word: np.ndarray, grams: np.ndarray, buckets: int
 ) -> np.ndarray:
-    """How many texts hold a word with the n-gram; texts count per word, so at least that."""
-    if not len(tokens):
-        return np.zeros(buckets)
-    words = int(gram_word.max()) + 1
-    pairs = np.unique(tokens.astype(np.int64) * (int(texts[-1]) + 1) + texts)
-    per_word = np.bincount(pairs // (int(texts[-1]) + 1), minlength=words)
+    """How many texts hold a word with the n-gram; texts count per word, so at least that.
+
+    ``numbers`` are those of each text's words.
+    """
+    per_word = np.zeros(words, np.int64)
+    for own in numbers:
+        per_word[np.unique(own)] += 1
     return np.bincount(grams, per_word[gram_word], buckets)
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -107,3 +108,14 @@ def test_decay_is_chosen_on_an_inner_fold(monkeypatch, corpus):
     given.clear()
     toxicity.train_tuned(texts[:2], labels[:2])  # too few for a fold
     assert given == [(2, None)]
+
+
+def test_training_holds_few_bytes_a_word():
+    draw = random.Random(1)
+    pool = [f"w{n}" for n in range(2000)]
+    texts = [" ".join(draw.choices(pool, k=3000)) for _ in range(100)]
+    tracemalloc.start()
+    toxicity.train(texts, [n % 2 for n in range(100)], buckets=4096, steps=3)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 48 * 100 * 3000  # with tuples of windows and copies by word it took 57
