@@ -35,6 +35,8 @@ SAMPLE = 3_000
 SAMPLE_CHARS = 24_000_000
 """At most so many characters of them, in the same order."""
 WORD_CACHE = 300_000
+SCORE_CHARS = 1 << 20
+"""Texts of about so many characters are cut into words at a time; a longer one comes alone."""
 SHARPNESS = 8.0
 HELD_OUT = 5
 THRESHOLD = 0.5
@@ -341,23 +343,45 @@ def score(text: Column, model: Model) -> Column:
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model, known = Model(*shared.value), {}
         for series in texts:
-            split = [words_of(t) for t in series]
-            words = set().union(*split)
-            if len(known) + len(words) > WORD_CACHE:
-                known.clear()
-            new = list(words.difference(known))
-            for start in range(0, len(new), 10_000):
-                part = new[start : start + 10_000]
-                known.update(zip(part, model.words(part).tolist()))
-            scores = [
-                model.text(np.fromiter(map(known.__getitem__, own), float, len(own)))
-                for own in split
-            ]
-            yield pd.Series(scores, dtype="float64")
+            yield pd.Series(scores_of(series, model, known), dtype="float64")
 
     return F.pandas_udf(run, "double")(text_of(text))
 
 
+def _some_at_a_time(texts: Iterable[str]) -> Iterator[list[str]]:
+    """The texts in order, in lists of about SCORE_CHARS characters."""
+    part, total = [], 0
+    for text in texts:
+        if part and total + len(text) > SCORE_CHARS:
+            yield part
+            part, total = [], 0
+        part.append(text)
+        total += len(text)
+    if part:
+        yield part
+
+
+def scores_of(texts: Iterable[str], model: Model, known: dict[str, float]) -> list[float]:
+    """The score of each text; ``known`` keeps the weights of words.
+
+    Words take many times the room of their text, so few texts are cut into words at a time.
+    """
+    scores = []
+    for part in _some_at_a_time(texts):
+        split = [words_of(t) for t in part]
+        words = set().union(*split)
+        if len(known) + len(words) > WORD_CACHE:
+            known.clear()
+        new = list(words.difference(known))
+        for start in range(0, len(new), 10_000):
+            some = new[start : start + 10_000]
+            known.update(zip(some, model.words(some).tolist()))
+        scores += [
+            model.text(np.fromiter(map(known.__getitem__, own), float, len(own))) for own in split
+        ]
+    return scores
+
+
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every document.
 

@@ -119,3 +119,19 @@ def test_training_holds_few_bytes_a_word():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 48 * 100 * 3000  # with tuples of windows and copies by word it took 57
+
+
+def test_scoring_holds_few_texts_as_words():
+    """A batch of many texts is not held as words all at once; scores do not depend on it."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(500)]
+    texts = ["", *(" ".join(rng.choice(words, 250)) for _ in range(5000)), "w1 " * 400_000]
+    model = toxicity.Model(rng.normal(0, 1, 1 << 10).astype("f4"), 0.1)
+    tracemalloc.start()
+    got = toxicity.scores_of(texts[:-1], model, {})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * toxicity.SCORE_CHARS  # all words at once take 67 MB
+    got += toxicity.scores_of(texts[-1:], model, {})
+    alone = [toxicity.scores_of([text], model, {})[0] for text in texts]
+    assert got == alone
