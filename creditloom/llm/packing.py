@@ -43,6 +43,9 @@ LATIN_WORD = re.compile(
 ASCII_WORD = re.compile("[a-z]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\t-\r a-z0-9]+")
 OTHER = re.compile("[\x1c-\x1f\u0130\u0180-\U0010ffff]|<[|]")
 """White space to Python and not to the tokenizer; what is no Latin; special tokens."""
+ASCII_OTHER = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+"""What of OTHER an ASCII text can hold."""
+CHUNK = re.compile("[^ \t\n\r]+")
 WORD_END = "</w>"
 """Ends the last token of each word, and no other."""
 
@@ -56,7 +59,7 @@ class Recent:
     def missing(self, keys: set[str]) -> set[str]:
         """Those of ``keys`` that must be learned; the others are in ``now`` after it."""
         new = keys.difference(self.now)
-        again = new.intersection(self.before)
+        again = [key for key in new if key in self.before]
         self.now.update(zip(again, map(self.before.__getitem__, again)))
         return new.difference(again)
 
@@ -69,9 +72,9 @@ class Encoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes.
 
     The tokenizer works word by word and words repeat, so the ids of each are asked for
-    once. Texts are cut at white space, which the tokenizer never joins across. Latin texts
-    are lower-cased first, and what is new is cut into words by the tokenizer's own rule;
-    other texts, and what may hold a special token, are left to the tokenizer.
+    once. Latin texts are lower-cased first and cut into words by the tokenizer's own rule.
+    Other texts, and what may hold a special token, are cut at white space, which the tokenizer
+    never joins across; chunks that are no Latin are left to the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -83,55 +86,57 @@ class Encoder:
         self.chunks, self.known = Recent(WORD_CACHE), Recent(WORD_CACHE)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_chunks(text) for text in texts]
-        new = self.chunks.missing(set().union(*split))
-        words = {chunk: _words(chunk) for chunk in new}
-        self._know(self.known.missing(set().union(*words.values())))
-        chunks, ids_of_word = self.chunks.now, self.known.now.__getitem__
+        latin = [_is_latin(text) for text in texts]
+        split = [_words(t) if plain else CHUNK.findall(t) for t, plain in zip(texts, latin)]
+        new = self.chunks.missing(set().union(*[own for own, p in zip(split, latin) if not p]))
+        words = {chunk: _words(chunk) for chunk in new if _is_latin(chunk)}
+        self._learn([[chunk] for chunk in new if chunk not in words], self.chunks.now)
+        met = set().union(*[own for own, p in zip(split, latin) if p], *words.values())
+        self._know(self.known.missing(met))
+        ids_of_word, ids_of_chunk = self.known.now.__getitem__, self.chunks.now.__getitem__
         for chunk, inside in words.items():
-            chunks[chunk] = b"".join(map(ids_of_word, inside))
-        ids_of_chunk = chunks.__getitem__
-        out = [b"".join(map(ids_of_chunk, own)) for own in split]
+            self.chunks.now[chunk] = b"".join(map(ids_of_word, inside))
+        out = [
+            b"".join(map(ids_of_word if plain else ids_of_chunk, own))
+            for own, plain in zip(split, latin)
+        ]
         self.chunks.age()
         self.known.age()
         return out
 
     def _know(self, new: set[str]) -> None:
-        plain = [w for w in new if _is_latin(w)]
-        groups = [plain[i : i + 500] for i in range(0, len(plain), 500)]
-        groups += [[w] for w in new if not _is_latin(w)]
-        for at in range(0, len(groups), 200):
-            self._learn(groups[at : at + 200])
+        words = list(new)
+        groups = [words[i : i + 500] for i in range(0, len(words), 500)]
+        self._learn(groups, self.known.now)
 
-    def _learn(self, groups: list[list[str]]) -> None:
+    def _learn(self, groups: list[list[str]], into: dict[str, bytes]) -> None:
         """Ask for the ids of words: several at once where the tokenizer sees each as one."""
-        joined = [" ".join(group) for group in groups]
-        encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        for group, got in zip(groups, encoded):
-            ids = np.array(got.ids, "<u4")
-            ends = [4 * len(ids)]
-            if len(group) > 1:
-                ends = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
-                if len(ends) != len(group):  # a control character that counts as white space
-                    self._learn([[word] for word in group])
-                    continue
-            ids = ids.tobytes()
-            for word, start, end in zip(group, [0, *ends], ends):
-                self.known.now[word] = ids[start:end]
+        for at in range(0, len(groups), 200):
+            asked = groups[at : at + 200]
+            joined = [" ".join(group) for group in asked]
+            encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+            for group, got in zip(asked, encoded):
+                ids = np.array(got.ids, "<u4")
+                ends = [4 * len(ids)]
+                if len(group) > 1:
+                    ends = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
+                    if len(ends) != len(group):  # a control character that counts as white space
+                        self._learn([[word] for word in group], into)
+                        continue
+                ids = ids.tobytes()
+                for word, start, end in zip(group, [0, *ends], ends):
+                    into[word] = ids[start:end]
 
 
 def _is_latin(text: str) -> bool:
+    if text.isascii():  # searching for a few characters is quicker than a pattern
+        return not any(mark in text for mark in ASCII_OTHER)
     return OTHER.search(text) is None
 
 
-def _chunks(text: str) -> list[str]:
-    return text.lower().split() if _is_latin(text) else re.findall("[^ \t\n\r]+", text)
-
-
-def _words(chunk: str) -> list[str]:
-    if not _is_latin(chunk) or chunk != chunk.lower():  # of a text that was not lower-cased
-        return [chunk]
-    return (ASCII_WORD if chunk.isascii() else LATIN_WORD).findall(chunk)
+def _words(latin: str) -> list[str]:
+    latin = latin.lower()
+    return (ASCII_WORD if latin.isascii() else LATIN_WORD).findall(latin)
 
 
 def pieces(

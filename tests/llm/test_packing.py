@@ -55,6 +55,33 @@ TEXTS = [None, "", "one", "twice", "twice", "w " * 2047, "w " * 2048, "w " * 900
     f"text {i} " * (i % 90) for i in range(400)]]
 
 
+class Unwalked(dict):
+    """A mapping that may be asked and not walked through."""
+
+    def __iter__(self):
+        raise AssertionError("walked through all that is remembered")
+
+
+def test_words_are_cut_and_asked_for_once(monkeypatch):
+    """A text costs what it holds: its words are not cut by chunk, nor the memory walked."""
+    encoder = packing.Encoder(PATH)
+    cut, words = [], packing._words
+    monkeypatch.setattr(packing, "_words", lambda text: cut.append(text) or words(text))
+    text = ", ".join(f"Word{i}'s \u00e9t\u00e9" for i in range(300))
+    encoder.encode(["other words of before"])
+    encoder.known.before, encoder.known.now = Unwalked(encoder.known.now), {}
+    encoder.chunks.before = Unwalked(encoder.chunks.now)
+    ids = plain_ids(text)
+    assert encoder.encode([text]) == [struct.pack(f"<{len(ids)}I", *ids)]
+    assert cut[1:] == [text] and not encoder.chunks.now
+
+
+def test_latin_words_in_other_texts():
+    for text in ("It\u2019s DON'T \u201cquoted\u201d\xa0Stra\u00dfe \u2014 x", "\u0130x A'S <|endoftext|> B"):
+        ids = plain_ids(text)
+        assert packing.Encoder(PATH).encode([text]) == [struct.pack(f"<{len(ids)}I", *ids)]
+
+
 def test_pieces_and_places(documents, clashing):
     docs = clashing(documents(TEXTS))
     rows = packing.pack_documents(docs, PATH).collect()
