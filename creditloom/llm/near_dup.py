@@ -45,6 +45,8 @@ PARTNERS = 512
 """Partners of one node that a task meets together; more are spread by a salt."""
 CELL_BITS = 22
 """Labelled shingles are counted in 2**CELL_BITS cells, by their first bits."""
+MARKS = 16
+"""Words of 64 bits in a text's marks."""
 SLACK = 1e-6
 """Bounds on shared shingles are taken so much wider, for rounding."""
 
@@ -142,6 +144,19 @@ def aligned(a: np.ndarray, b: np.ndarray) -> float:
     return share if share >= SIMILAR else 0.0
 
 
+def marks(labelled: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """One row of 64 * MARKS bits per text: whether an odd number of its shingles falls on each.
+
+    A shingle that two texts share changes the same bit of both, so no more bits differ than
+    there are shingles that only one of them has.
+    """
+    bits = 64 * MARKS
+    owner = np.repeat(np.arange(len(counts)), counts)
+    at = (_mix(labelled ^ np.uint64(SEED)) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(owner * bits + at, minlength=len(counts) * bits) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).reshape(len(counts), MARKS)
+
+
 SKETCHED = (
     "doc_id long, text_key long, words_a long, words_b long, size long, sketches array<bigint>"
 )
@@ -377,7 +392,8 @@ def classify(docs: DataFrame, policy: KeyedPolicy | None = None) -> DataFrame:
         stars = _new_pairs(_token_stars(places), pairs)
         classes = _merged(classes, _linked(stars, texts))
         pairs = stage(pairs.unionByName(stars), "met-pairs")
-        rest = _new_pairs(_all_alike(_still_apart(places, classes)), pairs)
+        apart = _marked(_still_apart(places, classes), texts, policy)
+        rest = _new_pairs(_all_alike(apart), pairs)
         classes = _merged(classes, _linked(rest, texts))
     return _judged(rows, nodes, classes)
 
@@ -433,6 +449,25 @@ def _cells(labelled: np.ndarray) -> np.ndarray:
     return (labelled >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
+def _mark_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "text"):
+        found = marks(*shingles(batch["text"].to_pylist()))
+        offsets = pa.array(np.arange(len(found) + 1) * MARKS, pa.int32())
+        lists = pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))
+        yield pa.RecordBatch.from_arrays([batch["node"], lists], names=["node", "marks"])
+
+
+def _marked(rows: DataFrame, texts: DataFrame, policy: KeyedPolicy) -> DataFrame:
+    """The rows with the ``marks`` of their nodes' texts; staged."""
+    who = stage(rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "marked-nodes")
+    few = who.count() <= policy.broadcast_rows
+    thin = who.select("node")
+    made = texts.join(F.broadcast(thin) if few else thin, "node").select("node", "text")
+    with small_batches(rows.sparkSession):
+        made = stage(made.mapInArrow(_mark_texts, "node long, marks array<bigint>"), "marks")
+    return stage(rows.join(made, "node"), "marked")
+
+
 def _levels(crowd: DataFrame) -> np.ndarray:
     """A small number for each cell that rises with how many shingles fall in it, from 0 for one.
 
@@ -536,9 +571,10 @@ def _still_apart(places: DataFrame, classes: DataFrame) -> DataFrame:
 def _all_alike(rows: DataFrame) -> DataFrame:
     """Every pair of nodes of different classes that can be similar; staged.
 
-    Places and sizes bound what a pair that shares a rare shingle can share besides. Per
-    shingle, pairs have one node at least that is not of its most frequent class, and meetings
-    are dealt over salts of both sides.
+    Places and sizes bound what a pair that shares a rare shingle can share besides, and marks
+    that differ tell of shingles it does not share, so few pairs are left whose texts have to
+    meet. Per shingle, pairs have one node at least that is not of its most frequent class, and
+    meetings are dealt over salts of both sides.
     """
     facts = stage(
         rows.groupBy("token", "class")
@@ -567,7 +603,7 @@ def _all_alike(rows: DataFrame) -> DataFrame:
         "of_main",
         dealt("node", "a_salts").alias("a_salt"),
         spread("b_salts").alias("b_salt"),
-        *["node", "class", "size", "place"],
+        *["node", "class", "size", "place", "marks"],
     )
     sides = F.when(F.col("of_main"), F.array(F.lit(False))).otherwise(
         F.array(F.lit(False), F.lit(True))
@@ -584,14 +620,19 @@ def _all_alike(rows: DataFrame) -> DataFrame:
             F.col("class").alias("its"),
             F.col("size").alias("its_size"),
             F.col("place").alias("its_place"),
+            F.col("marks").alias("its_marks"),
         )
     )
     least = F.ceil(F.lit(SIMILAR / (1 + SIMILAR)) * (F.col("size") + F.col("its_size")) - SLACK)
+    unlike = sum(
+        F.bit_count(F.col("marks")[i].bitwiseXOR(F.col("its_marks")[i])) for i in range(MARKS)
+    )
     pairs = a.join(b, ["token", "of_main", "a_salt", "b_salt"]).filter(
         (F.col("class") != F.col("its"))
         & (F.struct("size", "node") < F.struct(F.col("its_size"), F.col("other")))
         & (F.col("place") <= F.col("size") - least)
         & (F.col("its_place") <= F.col("its_size") - least)
+        & (unlike <= F.col("size") + F.col("its_size") - 2 * least)
     )
     return stage(pairs.select("node", "other").distinct(), "alike")
 

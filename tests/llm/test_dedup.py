@@ -208,6 +208,47 @@ def test_near_stars_without_links(documents, monkeypatch):
     assert sizes == {2: 120, 1: 180}
 
 
+def test_unlike_texts_of_template_do_not_meet(documents, monkeypatch):
+    """Texts that share rare shingles and are unlike are told apart without their texts."""
+    rng = random.Random(8)
+    template = [f"t{i}" for i in range(700)]
+    texts = []
+    for i in range(240):
+        words = template.copy()
+        for place in rng.sample(range(700), 12):
+            words[place] = f"o{i}x{place}"
+        texts.append(" ".join(words))
+    met, linked = [], near_dup._linked
+
+    def counted(pairs, texts):
+        met.append(pairs.count())
+        return linked(pairs, texts)
+
+    monkeypatch.setattr(near_dup, "_linked", counted)
+    wanted = all_links(texts)
+    assert len(wanted) < 100
+    got = [set(c) for c in plain_classes(texts)]
+    rows = defaultdict(set)
+    for row in near_dup.classify(documents(texts)).collect():
+        rows[row.class_id].add(row.doc_id)
+    assert sorted(map(sorted, rows.values())) == sorted(map(sorted, got))
+    assert len(met) == 3 and met[2] < 200
+
+
+def test_marks_differ_by_unshared_shingles_at_most():
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words), "", *(" ".join(edited(rng, words, n)) for n in (0, 1, 9, 80, 400))]
+    labelled, counts = near_dup.shingles(texts)
+    own = [set(x.tolist()) for x in near_dup._split(texts)]
+    bits = near_dup.marks(labelled, counts)
+    for a, one in zip(own, bits):
+        for b, other in zip(own, bits):
+            differ = sum(bin(int(x) & (1 << 64) - 1).count("1") for x in one ^ other)
+            assert differ <= len(a ^ b)
+            assert (differ > 0) == (a != b)
+
+
 def test_alignment_sees_order():
     a = " ".join(f"w{i}" for i in range(100))
     moved = " ".join(f"w{i}" for i in [*range(50, 100), *range(50)])
