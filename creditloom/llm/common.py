@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
@@ -66,6 +67,18 @@ def kept_in_worker(name: str, make: Callable[[], Any]) -> Any:
     return kept[name]
 
 
+def give_back() -> None:
+    """Hand the memory that is free in this process to the system; a task's function ends with it.
+
+    A Python worker waits for tasks to come, and would keep what the largest one took.
+    """
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+        if trim is not None:
+            trim(0)
+
+
 BATCH_ROWS = 1_000
 """Rows of whole texts that Spark and a Python worker exchange at a time."""
 

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from creditloom.llm.common import (
+    give_back,
     leave_out,
     meet,
     slices,
@@ -47,6 +48,8 @@ CELL_BITS = 22
 """Labelled shingles are counted in 2**CELL_BITS cells, by their first bits."""
 MARKS = 16
 """Words of 64 bits in a text's marks."""
+SLICE_BYTES = 1 << 18
+"""Texts of about so many bytes are cut into shingles at a time; a longer one comes alone."""
 SLACK = 1e-6
 """Bounds on shared shingles are taken so much wider, for rounding."""
 
@@ -163,7 +166,7 @@ SKETCHED = (
 
 
 def _sketch_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE_BYTES):
         labelled, counts = shingles(batch["text"].to_pylist())
         found = sketches(labelled, counts)
         # The words of a text in order, as two sums; without words its own key stands in.
@@ -185,12 +188,13 @@ def _sketch_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             [batch["doc_id"], batch["text_key"], *words, lists],
             names=["doc_id", "text_key", "words_a", "words_b", "size", "sketches"],
         )
+    give_back()
 
 
 def _verify_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of texts that are similar; the texts of chosen nodes come again and again."""
     for whole in batches:
-        for batch in slices(slices([whole], "text"), "other_text"):
+        for batch in slices(slices([whole], "text", SLICE_BYTES), "other_text", SLICE_BYTES):
             others = batch["other"].to_numpy()
             _, first, back = np.unique(others, return_index=True, return_inverse=True)
             a = _split(batch["text"].to_pylist())
@@ -202,6 +206,7 @@ def _verify_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 names=["node", "other", "similarity"],
             )
             yield out.filter(keep)
+    give_back()
 
 
 def _split(texts: list[str]) -> list[np.ndarray]:
@@ -434,7 +439,7 @@ def _new_pairs(found: DataFrame, pairs: DataFrame) -> DataFrame:
 def _cell_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many labelled shingles of a task's texts fall in each cell."""
     total = np.zeros(1 << CELL_BITS, np.int64)
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE_BYTES):
         cells, n = np.unique(_cells(shingles(batch["text"].to_pylist())[0]), return_counts=True)
         total[cells] += n
     hit = np.flatnonzero(total)
@@ -443,6 +448,7 @@ def _cell_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [pa.array(some, pa.int32()), pa.array(total[some])], names=["cell", "n"]
         )
+    give_back()
 
 
 def _cells(labelled: np.ndarray) -> np.ndarray:
@@ -450,11 +456,12 @@ def _cells(labelled: np.ndarray) -> np.ndarray:
 
 
 def _mark_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE_BYTES):
         found = marks(*shingles(batch["text"].to_pylist()))
         offsets = pa.array(np.arange(len(found) + 1) * MARKS, pa.int32())
         lists = pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))
         yield pa.RecordBatch.from_arrays([batch["node"], lists], names=["node", "marks"])
+    give_back()
 
 
 def _marked(rows: DataFrame, texts: DataFrame, policy: KeyedPolicy) -> DataFrame:
@@ -493,7 +500,7 @@ def _rarest(levels: np.ndarray):
     """
 
     def placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             labelled, counts = shingles(batch["text"].to_pylist())
             owner = np.repeat(np.arange(len(counts)), counts)
             level = levels[_cells(labelled)]
@@ -514,6 +521,7 @@ def _rarest(levels: np.ndarray):
                 ],
                 names=["token", "node", "class", "size", "place", "first"],
             )
+        give_back()
 
     return placed
 

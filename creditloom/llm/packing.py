@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from creditloom.llm.common import kept_in_worker, slices, text_of
+from creditloom.llm.common import kept_in_worker, slices, small_batches, text_of
 from creditloom.sources.staging import stage
 
 LENGTH = 2048
@@ -282,9 +282,9 @@ def pack_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     ``offset``. Null and empty texts are one end token. Rows that repeat an identifier are
     packed each for itself; other columns are ignored.
     """
-    thin = stage(
-        pieces(docs, tokenizer).withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pieces"
-    )
+    cut = pieces(docs, tokenizer).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    with small_batches(docs.sparkSession):
+        thin = stage(cut, "pieces")
     return pack(thin).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditloom.llm.common import text_of
+from creditloom.llm.common import give_back, small_batches, text_of
 from creditloom.sources.staging import stage
 
 WINDOW = 12
@@ -315,6 +315,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         got.sort(key=lambda r: (r["at"], r["doc_id"]))
         model = train_tuned([r["text"] for r in got], [r["toxic"] for r in got])
         row = ([model.weights.tobytes()], [model.bias], [model.sharpness])
+        del got
+        give_back()
         yield pa.RecordBatch.from_arrays(
             [pa.array(c) for c in row], names=["weights", "bias", "sharpness"]
         )
@@ -332,7 +334,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def score(text: Column, model: Model) -> Column:
-    """0 to 1: the toxic class of a whole text.
+    """0 to 1: the toxic class of a whole text; for plans made with :func:`small_batches`.
 
     A null or empty text has one empty window. The model is sent to the tasks once; its
     size is that of the table, whatever the data.
@@ -344,6 +346,8 @@ def score(text: Column, model: Model) -> Column:
         model, known = Model(*shared.value), {}
         for series in texts:
             yield pd.Series(scores_of(series, model, known), dtype="float64")
+        known.clear()
+        give_back()
 
     return F.pandas_udf(run, "double")(text_of(text))
 
@@ -388,10 +392,12 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Labels are read from the training folds only. One row per input row; repeated rows and
     null identifiers are scored like any other.
     """
+    model = fit(docs, labels)
     scored = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        score(F.col("text"), fit(docs, labels)).alias("score"),
+        F.col("doc_id").cast("long").alias("doc_id"), score(F.col("text"), model).alias("score")
     )
+    with small_batches(docs.sparkSession):
+        scored = stage(scored, "toxicity-scores")
     return scored.select(
         "doc_id",
         (fold(F.col("doc_id")) == 0).alias("held_out"),
@@ -401,5 +407,7 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not judged toxic, with all their columns."""
-    return docs.filter(score(F.col("text"), fit(docs, labels)) < THRESHOLD)
+    """The documents that are not judged toxic, with all their columns; staged."""
+    clean = docs.filter(score(F.col("text"), fit(docs, labels)) < THRESHOLD)
+    with small_batches(docs.sparkSession):
+        return stage(clean, "not-toxic")

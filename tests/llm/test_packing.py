@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from creditloom.llm import packing
+from creditloom.llm import common, packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TOKENIZER = Tokenizer.from_file(PATH)
@@ -165,3 +165,16 @@ def test_bin_edges(size):
     bins = packing.Bins(2048, 4)
     assert bins.put(size, 9) == (9, 0)
     assert bins.open == (size < 2048)
+
+
+def test_python_gets_few_texts_at_a_time(spark, documents, monkeypatch):
+    whole = packing.slices
+
+    def counted(batches, column):
+        for batch in batches:
+            assert batch.num_rows <= common.BATCH_ROWS
+            yield from whole([batch], column)
+
+    monkeypatch.setattr(packing, "slices", counted)
+    docs = documents([f"w{n}" for n in range(2 * common.BATCH_ROWS + 1)]).coalesce(1)
+    assert packing.pack_documents(docs, PATH).count() == docs.count()

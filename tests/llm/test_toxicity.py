@@ -1,14 +1,20 @@
 from __future__ import annotations
 
+import os
+import platform
 import random
+import subprocess
+import sys
 import tracemalloc
+import uuid
 import zlib
 
 import numpy as np
 import pytest
 
-from creditloom.llm import toxicity
+from creditloom.llm import common, near_dup, toxicity
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 LABELS = "doc_id long, quality int, toxic int"
 
 
@@ -135,3 +141,60 @@ def test_scoring_holds_few_texts_as_words():
     got += toxicity.scores_of(texts[-1:], model, {})
     alone = [toxicity.scores_of([text], model, {})[0] for text in texts]
     assert got == alone
+
+
+def test_python_gets_few_texts_at_a_time(spark, documents, monkeypatch):
+    """Not the thousands of rows that Spark hands over at once unless it is told otherwise."""
+    whole = toxicity.scores_of
+
+    def counted(texts, model, known):
+        assert len(texts) <= common.BATCH_ROWS
+        return whole(texts, model, known)
+
+    monkeypatch.setattr(toxicity, "scores_of", counted)
+    docs = documents([f"w{n}" for n in range(2 * common.BATCH_ROWS + 1)]).coalesce(1)
+    none = spark.createDataFrame([], LABELS)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert toxicity.judge(docs, none).count() == docs.count()
+    assert toxicity.judge(docs, none).select("score").distinct().collect() == [(0.5,)]
+    assert toxicity.clean_documents(docs, none).collect() == []
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+HELD = """
+import re, sys
+import numpy as np
+from creditloom.llm.common import give_back
+
+def held():
+    found = open("/proc/self/smaps_rollup").read()
+    return int(re.search(r"Pss_Anon: +([0-9]+)", found)[1]) // 1024
+
+rest = [np.ones(1000) for _ in range(25_000)]
+last = np.ones(1000)  # lies behind them, so that the heap cannot shrink from its end
+del rest
+full = held()
+give_back()
+assert full - held() > 100, (full, held())
+"""
+
+
+def test_free_memory_goes_back():
+    if not sys.platform.startswith("linux") or platform.libc_ver()[0] != "glibc":
+        pytest.skip("other systems have other allocators")
+    subprocess.run([sys.executable, "-c", HELD], check=True, env=os.environ | {"PYTHONPATH": ROOT})
+
+
+def test_tasks_end_by_giving_memory_back(spark, documents, monkeypatch, tmp_path):
+    """Scoring and the steps of near duplicates that see texts."""
+
+    def noted():
+        (tmp_path / uuid.uuid4().hex).touch()
+
+    monkeypatch.setattr(toxicity, "give_back", noted)
+    monkeypatch.setattr(near_dup, "give_back", noted)
+    docs = documents(["a b c d e f g", "h"]).coalesce(1)
+    toxicity.judge(docs, spark.createDataFrame([], LABELS))
+    scored = len(list(tmp_path.iterdir()))
+    near_dup.sketch(docs)
+    assert 0 < scored < len(list(tmp_path.iterdir()))
