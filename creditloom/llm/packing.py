@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from creditloom.llm.common import kept_in_worker, slices, small_batches, text_of
+from creditloom.llm.common import give_back, kept_in_worker, slices, small_batches, text_of
 from creditloom.sources.staging import stage
 
 LENGTH = 2048
@@ -111,8 +111,8 @@ class Encoder:
 
     def _learn(self, groups: list[list[str]], into: dict[str, bytes]) -> None:
         """Ask for the ids of words: several at once where the tokenizer sees each as one."""
-        for at in range(0, len(groups), 200):
-            asked = groups[at : at + 200]
+        for at in range(0, len(groups), 20):
+            asked = groups[at : at + 20]
             joined = [" ".join(group) for group in asked]
             encoded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
             for group, got in zip(asked, encoded):
@@ -178,6 +178,7 @@ def pieces(
             for values in (piece, start, np.minimum(length, sizes[owner] - start), cut_ids):
                 columns.append(pa.array(values, target[len(columns)].type))
             yield pa.RecordBatch.from_arrays(columns, schema=target)
+        give_back()
 
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

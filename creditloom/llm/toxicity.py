@@ -37,6 +37,10 @@ SAMPLE_CHARS = 24_000_000
 WORD_CACHE = 300_000
 SCORE_CHARS = 1 << 20
 """Texts of about so many characters are cut into words at a time; a longer one comes alone."""
+BLOCK_WORDS = 10_000
+"""Words whose n-grams training looks at at a time; fewer than 65,536."""
+BLOCK = 1 << 14
+"""Tokens, or rows of the embedding table, that training looks at at a time."""
 SHARPNESS = 8.0
 HELD_OUT = 5
 THRESHOLD = 0.5
@@ -146,6 +150,9 @@ def train(
     Two equal classes' softmax depends on the difference of its two columns only, which is
     the direction kept here. No text, or a single class, gives a constant score of the
     class (0.5 for none).
+
+    What has a number per token or n-gram is computed a block at a time, in an order that
+    blocks do not change, so that no more than one array of such numbers is held as floats.
     """
     y = np.array(labels, float)
     if len(y) == 0 or y.min() == y.max():
@@ -159,15 +166,19 @@ def train(
         bounds.append(np.array(window_bounds(len(own), WINDOW)) + at)
         at += len(own)
     owner = np.repeat(np.arange(len(texts)), [len(b) for b in bounds])
-    tokens, bounds = np.concatenate(numbers), np.concatenate(bounds)
-    sizes = np.maximum(1, bounds[:, 1] - bounds[:, 0]).astype(float)
-    grams, gram_word = _grams_of_many(list(index), buckets)
-    counts = np.bincount(gram_word, minlength=len(index))
-    # An n-gram of a few texts would only learn those texts by heart.
-    spread = _texts_of_grams(numbers, len(index), gram_word, grams, buckets)
-    is_clean = np.repeat(y == 0, [len(own) for own in numbers])
+    tokens, (starts, ends) = np.concatenate(numbers), np.concatenate(bounds).T.copy()
+    del bounds
+    sizes = np.maximum(1, ends - starts).astype(float)
+    per_text = [len(own) for own in numbers]
+    in_texts = _texts_of_words(numbers, len(index))
+    words = list(index)
     del index, numbers
-    learned = np.flatnonzero(spread >= min_texts)
+    grams = _grams_of_many(words, buckets)
+    del words
+    # An n-gram of a few texts would only learn those texts by heart.
+    learned = np.flatnonzero(_to_grams(in_texts, grams, buckets) >= min_texts)
+    weigh = _WordWeights(grams, len(in_texts))
+    give_back()  # the words
     first = np.searchsorted(owner, np.arange(len(texts)))
     sums = np.zeros(at + 1)  # by token, for words' weights and for windows' shares in turn
 
@@ -178,12 +189,12 @@ def train(
     weight = np.where(y == 1, (1 - clean_share) / y.sum(), clean_share / (1 - y).sum())
     state = [[np.zeros_like(p), np.zeros_like(p)] for p in (table[learned], soft, bias)]
     for step in range(1, steps + 1):
-        line = table @ soft
-        per_word = np.bincount(gram_word, line[grams], len(counts)) / np.maximum(1, counts)
-        np.take(per_word, tokens, out=sums[1:], mode="clip")
+        per_word = weigh(table @ soft)
         sums[0] = 0
+        for a, b in _blocks(at, BLOCK):
+            sums[a + 1 : b + 1] = per_word[tokens[a:b]]
         np.cumsum(sums[1:], out=sums[1:])
-        logits = bias[0] + (sums[bounds[:, 1]] - sums[bounds[:, 0]]) / sizes
+        logits = bias[0] + (sums[ends] - sums[starts]) / sizes
         top = np.maximum.reduceat(logits, first)
         share = np.exp((logits - top[owner]) * sharpness)
         total = np.add.reduceat(share, first)
@@ -192,31 +203,30 @@ def train(
         # Back: text to windows, to words, to n-grams; all are scalars along one direction.
         to_window = wrong[owner] * share / total[owner]
         per_token = to_window / sizes
-        sums[:] = np.bincount(bounds[:, 0], per_token, at + 1)
-        sums -= np.bincount(bounds[:, 1], per_token, at + 1)
+        for a, b in _blocks(at + 1, BLOCK):
+            sums[a:b] = _sums_at(starts, per_token, a, b)
+            sums[a:b] -= _sums_at(ends, per_token, a, b)
         np.cumsum(sums, out=sums)
-        to_word = np.bincount(tokens, sums[:-1], len(counts)) / np.maximum(1, counts)
-        to_gram = np.bincount(grams, to_word[gram_word], buckets)[learned]
-        grads = (
-            np.outer(to_gram, soft) + decay * table[learned],
-            table[learned].T @ to_gram + 1e-5 * soft,
-            np.array([to_window.sum()]),
-        )
-        moved = []
-        for grad, moments in zip(grads, state):
-            moments[0] = 0.9 * moments[0] + 0.1 * grad
-            moments[1] = 0.99 * moments[1] + 0.01 * grad * grad
-            mean = moments[0] / (1 - 0.9**step)
-            spread = np.sqrt(moments[1] / (1 - 0.99**step))
-            moved.append(rate * mean / (spread + 1e-9))
-        table[learned] -= moved[0]
-        soft -= moved[1]
-        bias -= moved[2]
+        to_word = np.zeros(len(per_word))
+        for a, b in _blocks(at, BLOCK):
+            np.add.at(to_word, tokens[a:b], sums[a:b])
+        to_gram = _to_grams(to_word / weigh.counts, grams, buckets)[learned]
+        to_soft = table[learned].T @ to_gram + 1e-5 * soft
+        for a, b in _blocks(len(learned), BLOCK):
+            some = learned[a:b]
+            grad = np.outer(to_gram[a:b], soft) + decay * table[some]
+            table[some] -= _adam([m[a:b] for m in state[0]], grad, step, rate)
+        soft -= _adam(state[1], to_soft, step, rate)
+        bias -= _adam(state[2], np.array([to_window.sum()]), step, rate)
     # Centred on the clean class: an n-gram without weight then counts as a usual one does.
     line = table @ soft
-    per_word = np.bincount(gram_word, line[grams], len(counts)) / np.maximum(1, counts)
-    clean = per_word[tokens[is_clean]]
-    usual = float(clean.mean()) if len(clean) else 0.0
+    per_word, size, start = weigh(line), 0, 0
+    for own, label in zip(per_text, y):
+        if label == 0:
+            sums[size : size + own] = per_word[tokens[start : start + own]]
+            size += own
+        start += own
+    usual = float(sums[:size].mean()) if size else 0.0
     line[learned] -= usual
     return Model(line.astype(np.float32), float(bias[0]) + usual, sharpness)
 
@@ -242,33 +252,78 @@ def train_tuned(texts: list[str], labels: list[int]) -> Model:
     losses = []
     for decay in DECAYS:
         model = train([texts[i] for i in rest], [labels[i] for i in rest], decay=decay)
-        scores = []
-        for words in (words_of(texts[i]) for i in left_out):
-            scores.append(model.text(model.words(words) if words else np.zeros(0)))
+        give_back()  # what a training held, before the next one
+        scores = scores_of((texts[i] for i in left_out), model, {})
         losses.append(mean_loss(np.array(scores), y[inner]))
     return train(texts, labels, decay=DECAYS[int(np.argmin(losses))])
 
 
-def _grams_of_many(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """:func:`gram_ids` of many words, some at a time, in numbers of half the size."""
-    parts = [(np.zeros(0, np.int32), np.zeros(0, np.int32))]
-    for start in range(0, len(words), 10_000):
-        rows, owner = gram_ids(words[start : start + 10_000], buckets)
-        parts.append((rows.astype(np.int32), (owner + start).astype(np.int32)))
-    return tuple(np.concatenate(column) for column in zip(*parts))
+def _blocks(size: int, step: int) -> list[tuple[int, int]]:
+    """Bounds of consecutive stretches of at most ``step`` that cover ``size``."""
+    return [(start, min(size, start + step)) for start in range(0, size, step)]
+
+
+def _sums_at(places: np.ndarray, values: np.ndarray, start: int, stop: int) -> np.ndarray:
+    """Sums of the values by their place, for the places from ``start`` to ``stop``; in order."""
+    a, b = np.searchsorted(places, (start, stop))
+    return np.bincount(places[a:b] - start, values[a:b], stop - start)
+
+
+def _adam(moments: list[np.ndarray], grad: np.ndarray, step: int, rate: float) -> np.ndarray:
+    """How far to go down; the moments are changed in place."""
+    moments[0] *= 0.9
+    moments[0] += 0.1 * grad
+    moments[1] *= 0.99
+    moments[1] += 0.01 * grad * grad
+    spread = np.sqrt(moments[1] / (1 - 0.99**step))
+    return rate * (moments[0] / (1 - 0.9**step)) / (spread + 1e-9)
+
+
+Grams = list[tuple[int, int, np.ndarray, np.ndarray]]
+"""For each block of words its bounds, the table rows of its n-grams and the word of each in it."""
 
 
-def _texts_of_grams(
-    numbers: list[np.ndarray], words: int, gram_word: np.ndarray, grams: np.ndarray, buckets: int
-) -> np.ndarray:
-    """How many texts hold a word with the n-gram; texts count per word, so at least that.
+def _grams_of_many(words: list[str], buckets: int) -> Grams:
+    """:func:`gram_ids` of many words, some at a time, in numbers of few bytes."""
+    parts = []
+    for a, b in _blocks(len(words), BLOCK_WORDS):
+        rows, owner = gram_ids(words[a:b], buckets)
+        parts.append((a, b, rows.astype(np.int32), owner.astype(np.uint16)))
+    return parts
 
-    ``numbers`` are those of each text's words.
+
+class _WordWeights:
+    """The weight of each word, the mean over its n-grams, for a weight per n-gram."""
+
+    def __init__(self, grams: Grams, words: int):
+        self.grams, self.counts = grams, np.ones(words)
+        for a, b, _, owner in grams:
+            self.counts[a:b] = np.bincount(owner, minlength=b - a)
+
+    def __call__(self, line: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(self.counts))
+        for a, b, rows, owner in self.grams:
+            sums[a:b] = np.bincount(owner, line[rows], b - a)
+        return sums / self.counts
+
+
+def _to_grams(per_word: np.ndarray, grams: Grams, buckets: int) -> np.ndarray:
+    """Sums over the words that have the n-gram."""
+    sums = np.zeros(buckets)
+    for a, b, rows, owner in grams:
+        np.add.at(sums, rows, per_word[a:b][owner])
+    return sums
+
+
+def _texts_of_words(numbers: list[np.ndarray], words: int) -> np.ndarray:
+    """How many texts hold each word; ``numbers`` are those of each text's words.
+
+    Summed over the words of an n-gram, that is at least the number of texts that hold it.
     """
-    per_word = np.zeros(words, np.int64)
+    per_word = np.zeros(words)
     for own in numbers:
         per_word[np.unique(own)] += 1
-    return np.bincount(grams, per_word[gram_word], buckets)
+    return per_word
 
 
 def fold(doc_id: Column) -> Column:
@@ -322,12 +377,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         )
 
     # The bounded sample in one task; a table of fixed size comes back.
-    made = (
-        rows.select("text", "toxic", "at", "doc_id")
-        .repartition(1)
-        .mapInArrow(learn, "weights binary, bias double, sharpness double")
-        .first()
-    )
+    with small_batches(rows.sparkSession):
+        made = (
+            rows.select("text", "toxic", "at", "doc_id")
+            .repartition(1)
+            .mapInArrow(learn, "weights binary, bias double, sharpness double")
+            .first()
+        )
     if made is None:  # nothing to learn from
         return train([], [])
     return Model(np.frombuffer(made.weights, np.float32), made.bias, made.sharpness)

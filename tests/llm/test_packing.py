@@ -178,3 +178,26 @@ def test_python_gets_few_texts_at_a_time(spark, documents, monkeypatch):
     monkeypatch.setattr(packing, "slices", counted)
     docs = documents([f"w{n}" for n in range(2 * common.BATCH_ROWS + 1)]).coalesce(1)
     assert packing.pack_documents(docs, PATH).count() == docs.count()
+
+
+def test_tasks_end_by_giving_memory_back(spark, documents, monkeypatch, tmp_path):
+    monkeypatch.setattr(packing, "give_back", lambda: (tmp_path / "given").touch())
+    packing.pack_documents(documents(["a b", None]).coalesce(1), PATH)
+    assert (tmp_path / "given").exists()
+
+
+def test_the_tokenizer_is_asked_for_few_words_at_a_time(monkeypatch):
+    """What it answers with takes hundreds of bytes a word."""
+    words = [f"w{chr(97 + n % 26)}{chr(97 + n // 26 % 26)}{chr(97 + n // 676)}" for n in range(17_000)]
+    encoder, asked = packing.Encoder(PATH), []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            asked.append(sum(len(text.split(" ")) for text in texts))
+            return TOKENIZER.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(encoder, "tokenizer", Counted())
+    text = " ".join(words)
+    ids = plain_ids(text)
+    assert encoder.encode([text]) == [struct.pack(f"<{len(ids)}I", *ids)]
+    assert sum(asked) == len(set(words)) and max(asked) <= 10_000

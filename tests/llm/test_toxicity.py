@@ -198,3 +198,26 @@ def test_tasks_end_by_giving_memory_back(spark, documents, monkeypatch, tmp_path
     scored = len(list(tmp_path.iterdir()))
     near_dup.sketch(docs)
     assert 0 < scored < len(list(tmp_path.iterdir()))
+
+
+def test_training_holds_few_bytes_an_ngram():
+    draw = random.Random(2)
+    pool = ["".join(draw.choices("abcdefghijklmnop", k=12)) for _ in range(40_000)]
+    texts = [" ".join(pool[i::100]) for i in range(100)]
+    grams = 40_000 * (12 + 11 + 10 + 1)
+    tracemalloc.start()
+    toxicity.train(texts, [n % 2 for n in range(100)], buckets=4096, steps=3)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 30 * grams  # with all of them as floats at once it took 36
+
+
+def test_training_does_not_depend_on_blocks(monkeypatch, corpus):
+    texts, labels = ["", *(t for _, t, _ in corpus)], [0, *(int(y) for _, _, y in corpus)]
+    whole = toxicity.train(texts, labels, steps=5)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    parts = toxicity.train(texts, labels, steps=5)
+    assert parts.bias == whole.bias and np.array_equal(parts.weights, whole.weights)
+    monkeypatch.setattr(toxicity, "BLOCK_WORDS", 11)
+    parts = toxicity.train(texts, labels, steps=5)
+    assert np.allclose(parts.weights, whole.weights, atol=1e-6)
